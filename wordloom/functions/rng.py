@@ -37,7 +37,7 @@ def keyed_uniform(purpose: str, seed, *keys) -> Column:
 
 def uniform_sql(purpose: str, seed, *keys: str) -> str:
     """The same draw written for DuckDB (used by the SQL oracles)."""
-    parts = ", ".join([f"'{purpose}'", str(seed)] + list(keys))
+    parts = ", ".join([f"'{purpose}'", str(seed)] + [str(k) for k in keys])
     return (f"(('0x' || substr(md5(concat_ws('|', {parts})), 1, 12))::BIGINT::DOUBLE"
             f" / 281474976710656.0)")
 

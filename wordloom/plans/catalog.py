@@ -135,3 +135,120 @@ QUERIES = {
     "noise_table": q_noise_table,
     "noise_table_shifted": q_noise_table_shifted,
 }
+
+
+# ---------------------------------------------------------------- slice 3
+
+from ..operators import examples as E  # noqa: E402
+
+
+def _prep(spark, sf, threshold=CHECK_SUBSAMPLE):
+    tokens = T.tokenize(C.corpus_lines(spark, sf))
+    vocab = V.build_vocab(tokens, CHECK_MIN_COUNT)
+    stats = V.collect_stats(vocab)
+    encoded = E.encode_lines(tokens, vocab, stats.vocab_size, stats.total_tokens, threshold)
+    return tokens, vocab, stats, encoded
+
+
+def _arr_str(c) -> F.Column:
+    return F.array_join(F.col(c).cast("array<string>"), " ")
+
+
+def q_encode_tokens(spark, sf):
+    tokens, vocab, stats, _ = _prep(spark, sf)
+    return E.encode_tokens(tokens, vocab, stats.vocab_size)
+
+
+def q_subsample(spark, sf):
+    """Tokens that survive subsampling in epoch 0 (before renumbering)."""
+    _, _, _, enc = _prep(spark, sf)
+    kept = F.filter("toks", lambda x: E.keyed_uniform(
+        "sub", CHECK_SEED, CHECK_EPOCH, F.col("doc_id"), F.col("line_no"), x["pos"]) < x["keep"])
+    return enc.select("doc_id", "line_no", F.explode(kept).alias("x")).select(
+        "doc_id", "line_no", F.col("x.pos").alias("pos"), F.col("x.idx").alias("idx"))
+
+
+def _sents(spark, sf):
+    tokens, vocab, stats, enc = _prep(spark, sf)
+    return stats, E.sample_sentences(enc, CHECK_SEED, CHECK_EPOCH)
+
+
+def q_encoded_sentences(spark, sf):
+    _, s = _sents(spark, sf)
+    return s.select("doc_id", "line_no", F.size("t").cast("bigint").alias("n"), _arr_str("t").alias("t"))
+
+
+def _examples(spark, sf):
+    stats, s = _sents(spark, sf)
+    return stats, E.centre_examples(s, CHECK_WINDOW, CHECK_SEED, CHECK_EPOCH)
+
+
+def q_dynamic_windows(spark, sf):
+    _, ex = _examples(spark, sf)
+    return ex.select("doc_id", "line_no", "p", "center", "win")
+
+
+def q_context_pairs(spark, sf):
+    _, ex = _examples(spark, sf)
+    return E.context_pairs(ex)
+
+
+def _noise_parts(spark, sf):
+    tokens, vocab, stats, enc = _prep(spark, sf)
+    dist = N.noise_distribution(vocab)
+    nb = N.bucket_count(stats.vocab_size)
+    return tokens, vocab, stats, enc, N.noise_buckets(dist, nb), nb
+
+
+def q_negative_samples(spark, sf):
+    _, vocab, stats, enc, buckets, nb = _noise_parts(spark, sf)
+    s = E.sample_sentences(enc, CHECK_SEED, CHECK_EPOCH)
+    ex = E.centre_examples(s, CHECK_WINDOW, CHECK_SEED, CHECK_EPOCH)
+    return E.negative_samples(ex, CHECK_NEGATIVES, CHECK_SEED, CHECK_EPOCH, buckets, nb, stats.vocab_size)
+
+
+def q_training_examples(spark, sf):
+    _, vocab, stats, enc, buckets, nb = _noise_parts(spark, sf)
+    s = E.sample_sentences(enc, CHECK_SEED, CHECK_EPOCH)
+    ex = E.centre_examples(s, CHECK_WINDOW, CHECK_SEED, CHECK_EPOCH)
+    full = E.with_negatives(ex, CHECK_NEGATIVES, CHECK_SEED, CHECK_EPOCH, buckets, nb, stats.vocab_size)
+    return full.select("doc_id", "line_no", "p", "center", _arr_str("context").alias("context"),
+                       _arr_str("negatives").alias("negatives"))
+
+
+def q_estimate_pairs(spark, sf):
+    _, _, _, enc = _prep(spark, sf)
+    return E.estimate_pairs(enc, CHECK_WINDOW)
+
+
+CHECK_EPOCHS = 5
+
+
+def q_lr_schedule(spark, sf):
+    """Step and learning rate of every centre of epoch 0 in sequential order
+    (total steps = pair estimate x 5 epochs)."""
+    _, _, _, enc = _prep(spark, sf)
+    est = E.estimate_pairs(enc, CHECK_WINDOW).first()["estimate"]
+    s = E.sample_sentences(enc, CHECK_SEED, CHECK_EPOCH)
+    ex = E.centre_examples(s, CHECK_WINDOW, CHECK_SEED, CHECK_EPOCH)
+    sched = E.lr_schedule(ex, CHECK_SEED, CHECK_EPOCH, 0, est * CHECK_EPOCHS, CHECK_LR, 0.0001)
+    return sched.select("doc_id", "line_no", "p", "step", r6("lr").alias("lr"))
+
+
+def q_epoch_shuffle(spark, sf):
+    sents = T.tokenized_lines(C.corpus_lines(spark, sf))
+    return E.epoch_order(sents, CHECK_SEED, CHECK_EPOCH)
+
+
+QUERIES.update({
+    "encode_tokens": q_encode_tokens,
+    "subsample": q_subsample,
+    "encoded_sentences": q_encoded_sentences,
+    "dynamic_windows": q_dynamic_windows,
+    "context_pairs": q_context_pairs,
+    "negative_samples": q_negative_samples,
+    "training_examples": q_training_examples,
+    "estimate_pairs": q_estimate_pairs,
+    "lr_schedule": q_lr_schedule,
+    "epoch_shuffle": q_epoch_shuffle,
+})

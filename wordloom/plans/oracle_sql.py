@@ -116,3 +116,86 @@ FROM vocab, tot""",
     "noise_table": _noise_table_sql(False),
     "noise_table_shifted": _noise_table_sql(True),
 }
+
+
+# ---------------------------------------------------------------- slice 3
+
+SEED, EPOCH, WIN, K = Q.CHECK_SEED, Q.CHECK_EPOCH, Q.CHECK_WINDOW, Q.CHECK_NEGATIVES
+TH = repr(Q.CHECK_SUBSAMPLE)
+
+
+def u(purpose: str, *keys: str) -> str:
+    return uniform_sql(purpose, SEED, EPOCH, *keys)
+
+
+ENC = """
+enc AS (SELECT t.doc_id, t.line_no, t.pos, v.idx, v.cnt FROM tokens t JOIN vocab v ON t.word = v.word),
+tot AS (SELECT CAST(sum(cnt) AS DOUBLE) AS n FROM vocab)"""
+
+SUB = f"""
+sub AS (SELECT e.doc_id, e.line_no, e.pos, e.idx FROM enc e, tot
+        WHERE {u('sub', 'e.doc_id', 'e.line_no', 'e.pos')}
+              < least(1.0, sqrt({TH} / (CAST(e.cnt AS DOUBLE) / tot.n)) + {TH} / (CAST(e.cnt AS DOUBLE) / tot.n))),
+ren AS (SELECT doc_id, line_no, idx,
+               CAST(row_number() OVER (PARTITION BY doc_id, line_no ORDER BY pos) - 1 AS INTEGER) AS p,
+               count(*) OVER (PARTITION BY doc_id, line_no) AS n
+        FROM sub),
+sent AS (SELECT doc_id, line_no, idx, p, n FROM ren WHERE n >= 2)"""
+
+WINS = f"""
+win AS (SELECT doc_id, line_no, p, idx AS center,
+               CAST(1 + floor({u('win', 'doc_id', 'line_no', 'p')} * {WIN}) AS INTEGER) AS win
+        FROM sent),
+pairs AS (SELECT w.doc_id, w.line_no, w.p, w.center, s.p AS q, s.idx AS context
+          FROM win w JOIN sent s ON s.doc_id = w.doc_id AND s.line_no = w.line_no
+           AND s.p BETWEEN w.p - w.win AND w.p + w.win AND s.p <> w.p)"""
+
+NEGS = f"""
+draws AS (SELECT w.doc_id, w.line_no, w.p, CAST(s.slot AS INTEGER) AS slot,
+                 {u('neg', 'w.doc_id', 'w.line_no', 'w.p', 's.slot')} AS u
+          FROM win w, (SELECT range AS slot FROM range({K})) s),
+negs AS (SELECT d.doc_id, d.line_no, d.p, d.slot, x.idx AS neg
+         FROM draws d JOIN dist x ON d.u >= x.lo AND d.u < x.hi)"""
+
+BASE3 = with_(LINES, TOKENS, vocab_cte(MC), ENC)
+
+EST = """
+est AS (SELECT CAST(coalesce(sum(greatest(c - 1, 0)), 0) * 10 AS BIGINT) AS estimate
+        FROM (SELECT doc_id, line_no, count(*) AS c FROM enc GROUP BY doc_id, line_no))"""
+
+LR0, LRMIN = Q.CHECK_LR, 0.0001
+
+ORACLES.update({
+    "encode_tokens": BASE3 + " SELECT doc_id, line_no, pos, idx FROM enc",
+    "subsample": BASE3 + "," + SUB + " SELECT doc_id, line_no, pos, idx FROM sub",
+    "encoded_sentences": BASE3 + "," + SUB + """
+SELECT doc_id, line_no, CAST(count(*) AS BIGINT) AS n, string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY p) AS t
+FROM sent GROUP BY doc_id, line_no""",
+    "dynamic_windows": BASE3 + "," + SUB + "," + WINS + " SELECT doc_id, line_no, p, center, win FROM win",
+    "context_pairs": BASE3 + "," + SUB + "," + WINS + """
+SELECT doc_id, line_no, p, center,
+       CAST(row_number() OVER (PARTITION BY doc_id, line_no, p ORDER BY q) - 1 AS INTEGER) AS ci, context
+FROM pairs""",
+    "negative_samples": BASE3 + "," + SUB + "," + WINS + "," + dist_cte() + "," + NEGS +
+        " SELECT doc_id, line_no, p, slot, neg FROM negs",
+    "training_examples": BASE3 + "," + SUB + "," + WINS + "," + dist_cte() + "," + NEGS + """,
+ctx AS (SELECT doc_id, line_no, p, any_value(center) AS center,
+               string_agg(CAST(context AS VARCHAR), ' ' ORDER BY q) AS context
+        FROM pairs GROUP BY doc_id, line_no, p),
+ng AS (SELECT doc_id, line_no, p, string_agg(CAST(neg AS VARCHAR), ' ' ORDER BY slot) AS negatives
+       FROM negs GROUP BY doc_id, line_no, p)
+SELECT c.doc_id, c.line_no, c.p, c.center, c.context, n.negatives
+FROM ctx c JOIN ng n USING (doc_id, line_no, p)""",
+    "estimate_pairs": BASE3 + "," + EST + " SELECT estimate FROM est",
+    "lr_schedule": BASE3 + "," + SUB + "," + WINS + "," + EST + f""",
+ordd AS (SELECT doc_id, line_no, p,
+                CAST(row_number() OVER (ORDER BY {u('shuf', 'doc_id', 'line_no')}, doc_id, line_no, p) - 1 AS BIGINT) AS step
+         FROM win)
+SELECT doc_id, line_no, p, step,
+       {r6(f"greatest({LRMIN!r}, {LR0!r} - {(LR0 - LRMIN)!r} * (CAST(step AS DOUBLE) / CAST((SELECT estimate FROM est) * {Q.CHECK_EPOCHS} AS DOUBLE)))")} AS lr
+FROM ordd""",
+    "epoch_shuffle": with_(LINES) + f"""
+SELECT doc_id, line_no,
+       CAST(row_number() OVER (ORDER BY {u('shuf', 'doc_id', 'line_no')}, doc_id, line_no) - 1 AS BIGINT) AS ord
+FROM lines WHERE len({split_ws('line')}) > 0""",
+})
