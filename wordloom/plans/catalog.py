@@ -252,3 +252,105 @@ QUERIES.update({
     "lr_schedule": q_lr_schedule,
     "epoch_shuffle": q_epoch_shuffle,
 })
+
+
+# ---------------------------------------------------------------- slice 4
+
+from ..operators import serving as S  # noqa: E402
+from ..sources.vectors import embedding_table  # noqa: E402
+
+EMB_DIM = 64
+
+
+def _emb(spark, sf):
+    return embedding_table(spark, sf)
+
+
+def _next_pairs(emb):
+    """Every word with the word of the next id (missing for the last one)."""
+    a = emb.select(F.col("word").alias("word_a"), F.col("idx").alias("_ia"))
+    return a.select("word_a", (F.col("_ia") + 1).cast("string").alias("word_b"))
+
+
+def q_embedding_stats(spark, sf):
+    return S.embedding_stats(_emb(spark, sf))
+
+
+def q_get_vectors(spark, sf):
+    """Vectors of the words (ids + 1) of every row; the last one is unknown."""
+    emb = _emb(spark, sf)
+    asked = _next_pairs(emb).select(F.col("word_b").alias("word"))
+    got = S.get_vectors(asked, emb)
+    return got.select("word", "found", F.posexplode_outer("vec").alias("j", "val")).select(
+        "word", "found", F.col("j").cast("int").alias("j"), r6("val").alias("val"))
+
+
+def q_vector_norms(spark, sf):
+    return S.vector_norms(_emb(spark, sf)).select("idx", "word", r6("norm").alias("norm"))
+
+
+def q_normalize_vectors(spark, sf):
+    n = S.normalize_vectors(_emb(spark, sf))
+    return S.long_form(n, ["idx"]).select("idx", "j", r6("val").alias("val"))
+
+
+def q_pair_similarity(spark, sf):
+    emb = _emb(spark, sf)
+    res = S.pair_similarity(_next_pairs(emb), emb)
+    return res.select("word_a", "word_b", r6("similarity").alias("similarity"), "is_oov")
+
+
+def q_most_similar(spark, sf):
+    """Top-10 neighbours of every word of the table."""
+    emb = _emb(spark, sf)
+    res = S.most_similar(emb.select("word"), emb, CHECK_TOP_K)
+    return res.select("query", "word", r6("similarity").alias("similarity"), "rank")
+
+
+def q_analogy(spark, sf):
+    """Top-5 answers of id - (id+1) + (id+2) for every id of the table."""
+    emb = _emb(spark, sf)
+    ids = emb.select("idx")
+    triples = ids.select(F.col("idx").cast("string").alias("pos_a"),
+                         (F.col("idx") + 1).cast("string").alias("neg_a"),
+                         (F.col("idx") + 2).cast("string").alias("pos_b"))
+    res = S.analogy(triples, emb, 5)
+    return res.select("pos_a", "neg_a", "pos_b", "word", r6("similarity").alias("similarity"), "rank")
+
+
+def q_neighbor_sample(spark, sf):
+    """The first 5 words in byte order, each with its top-5 neighbours."""
+    emb = _emb(spark, sf)
+    first5 = emb.select("word").orderBy("word").limit(5)
+    res = S.most_similar(first5, emb, 5)
+    return res.select("query", "word", r6("similarity").alias("similarity"), "rank")
+
+
+def q_vector_means(spark, sf):
+    m = S.vector_means(_emb(spark, sf), EMB_DIM)
+    return m.select(F.posexplode("mean").alias("j", "mean")).select(
+        F.col("j").cast("int").alias("j"), r6("mean").alias("mean"))
+
+
+def q_centered_vectors(spark, sf):
+    c = S.centered_vectors(_emb(spark, sf), EMB_DIM)
+    return S.long_form(c, ["idx"]).select("idx", "j", r6("val").alias("val"))
+
+
+def q_text_vectors(spark, sf):
+    return S.text_vectors(_emb(spark, sf), EMB_DIM)
+
+
+QUERIES.update({
+    "embedding_stats": q_embedding_stats,
+    "get_vectors": q_get_vectors,
+    "vector_norms": q_vector_norms,
+    "normalize_vectors": q_normalize_vectors,
+    "pair_similarity": q_pair_similarity,
+    "most_similar": q_most_similar,
+    "analogy": q_analogy,
+    "neighbor_sample": q_neighbor_sample,
+    "vector_means": q_vector_means,
+    "centered_vectors": q_centered_vectors,
+    "text_vectors": q_text_vectors,
+})

@@ -199,3 +199,87 @@ SELECT doc_id, line_no,
        CAST(row_number() OVER (ORDER BY {u('shuf', 'doc_id', 'line_no')}, doc_id, line_no) - 1 AS BIGINT) AS ord
 FROM lines WHERE len({split_ws('line')}) > 0""",
 })
+
+
+# ---------------------------------------------------------------- slice 4
+
+EMB = """
+emb AS (SELECT CAST(vec_id AS BIGINT) AS idx, CAST(vec_id AS VARCHAR) AS word,
+               CAST(embedding AS DOUBLE[]) AS vec FROM embeddings)"""
+
+
+def cos_sql(a: str, b: str) -> str:
+    na = f"sqrt(list_dot_product({a}, {a}))"
+    nb = f"sqrt(list_dot_product({b}, {b}))"
+    return (f"(CASE WHEN {na} < 1e-8 OR {nb} < 1e-8 THEN 0.0 "
+            f"ELSE greatest(-1.0, least(1.0, list_dot_product({a}, {b}) / ({na} * {nb}))) END)")
+
+
+def norm_vec_sql(v: str) -> str:
+    n = f"sqrt(list_dot_product({v}, {v}))"
+    return f"(CASE WHEN {n} < 1e-8 THEN {v} ELSE list_transform({v}, lambda x: x / {n}) END)"
+
+
+LONG = """
+SELECT {keys}, CAST(j AS INTEGER) AS j, {val} AS val
+FROM (SELECT *, unnest(generate_series(0, len({vec}) - 1)) AS j FROM {src})"""
+
+
+def _topk_sql(queries: str, k: int, q_cols: str) -> str:
+    """queries CTE must give (qkey cols..., qvec, e1, e2, e3) with e* excluded ids."""
+    return f"""
+sc AS (SELECT {q_cols}, e.word, e.idx, {cos_sql('q.qvec', 'e.vec')} AS sim
+       FROM {queries} q JOIN emb e ON e.idx <> q.e1 AND e.idx <> q.e2 AND e.idx <> q.e3),
+rk AS (SELECT *, row_number() OVER (PARTITION BY {q_cols.replace('q.', '')} ORDER BY sim DESC, idx) AS rank FROM sc)"""
+
+
+ORACLES.update({
+    "embedding_stats": with_(EMB) +
+        " SELECT CAST(count(*) AS BIGINT) AS vocab_size, CAST(max(len(vec)) AS INTEGER) AS embedding_dim FROM emb",
+    "get_vectors": with_(EMB) + f""",
+asked AS (SELECT CAST(idx + 1 AS VARCHAR) AS word FROM emb),
+got AS (SELECT a.word, e.vec FROM asked a LEFT JOIN emb e ON a.word = e.word)
+SELECT word, true AS found, CAST(j AS INTEGER) AS j, {r6('vec[j + 1]')} AS val
+FROM (SELECT word, vec, unnest(generate_series(0, len(vec) - 1)) AS j FROM got WHERE vec IS NOT NULL)
+UNION ALL
+SELECT word, false AS found, CAST(NULL AS INTEGER) AS j, CAST(NULL AS DOUBLE) AS val FROM got WHERE vec IS NULL""",
+    "vector_norms": with_(EMB) + f" SELECT idx, word, {r6('sqrt(list_dot_product(vec, vec))')} AS norm FROM emb",
+    "normalize_vectors": with_(EMB) + f""",
+nv AS (SELECT idx, {norm_vec_sql('vec')} AS vec FROM emb)
+SELECT idx, CAST(j AS INTEGER) AS j, {r6('vec[j + 1]')} AS val
+FROM (SELECT idx, vec, unnest(generate_series(0, len(vec) - 1)) AS j FROM nv)""",
+    "pair_similarity": with_(EMB) + f""",
+pairs AS (SELECT word AS word_a, CAST(idx + 1 AS VARCHAR) AS word_b FROM emb)
+SELECT p.word_a, p.word_b,
+       CASE WHEN a.vec IS NULL OR b.vec IS NULL THEN NULL ELSE {r6(cos_sql('a.vec', 'b.vec'))} END AS similarity,
+       (a.vec IS NULL OR b.vec IS NULL) AS is_oov
+FROM pairs p LEFT JOIN emb a ON p.word_a = a.word LEFT JOIN emb b ON p.word_b = b.word""",
+    "most_similar": with_(EMB) + """,
+qs AS (SELECT word AS query, vec AS qvec, idx AS e1, idx AS e2, idx AS e3 FROM emb),""" +
+        _topk_sql("qs", Q.CHECK_TOP_K, "q.query") + f"""
+SELECT query, word, {r6('sim')} AS similarity, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= {Q.CHECK_TOP_K}""",
+    "analogy": with_(EMB) + f""",
+tr AS (SELECT a.word AS pos_a, b.word AS neg_a, c.word AS pos_b,
+              {norm_vec_sql('list_transform(list_zip(a.vec, b.vec, c.vec), lambda t: t[1] - t[2] + t[3])')} AS qvec,
+              a.idx AS e1, b.idx AS e2, c.idx AS e3
+       FROM emb a JOIN emb b ON b.idx = a.idx + 1 JOIN emb c ON c.idx = a.idx + 2),""" +
+        _topk_sql("tr", 5, "q.pos_a, q.neg_a, q.pos_b") + f"""
+SELECT pos_a, neg_a, pos_b, word, {r6('sim')} AS similarity, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 5""",
+    "neighbor_sample": with_(EMB) + """,
+qs AS (SELECT word AS query, vec AS qvec, idx AS e1, idx AS e2, idx AS e3 FROM emb ORDER BY word LIMIT 5),""" +
+        _topk_sql("qs", 5, "q.query") + f"""
+SELECT query, word, {r6('sim')} AS similarity, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 5""",
+    "vector_means": with_(EMB) + f"""
+SELECT CAST(j AS INTEGER) AS j, {r6('avg(vec[j + 1])')} AS mean
+FROM (SELECT vec, unnest(generate_series(0, len(vec) - 1)) AS j FROM emb) GROUP BY j""",
+    "centered_vectors": with_(EMB) + f""",
+lf AS (SELECT idx, j, vec[j + 1] AS x FROM (SELECT idx, vec, unnest(generate_series(0, len(vec) - 1)) AS j FROM emb)),
+mn AS (SELECT j, avg(x) AS m FROM lf GROUP BY j)
+SELECT idx, CAST(lf.j AS INTEGER) AS j, {r6('x - m')} AS val FROM lf JOIN mn USING (j)""",
+    "text_vectors": with_(EMB) + f"""
+SELECT CAST(0 AS BIGINT) AS line_no, CAST(count(*) AS VARCHAR) || ' ' || '64' AS line FROM emb
+UNION ALL
+SELECT CAST(idx + 1 AS BIGINT) AS line_no,
+       word || ' ' || array_to_string(list_transform(vec, lambda x: printf('%.6f', {r6('x')})), ' ') AS line
+FROM emb""",
+})
