@@ -354,3 +354,102 @@ QUERIES.update({
     "centered_vectors": q_centered_vectors,
     "text_vectors": q_text_vectors,
 })
+
+
+# ---------------------------------------------------------------- slice 5
+
+from ..operators import steps as ST  # noqa: E402
+
+
+def r5(c) -> F.Column:
+    """Half-up to 5 decimals, for sums over very many terms."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c.cast("double") * F.lit(1e5) + F.lit(0.5)).cast("double") / F.lit(1e5)
+
+
+def _step_inputs(spark, sf):
+    """Epoch-0 examples with negatives, and hash-initialised weights (dim 8,
+    non-zero W_out) over the min_count-5 vocabulary of `documents`."""
+    _, vocab, stats, enc, buckets, nb = _noise_parts(spark, sf)
+    s = E.sample_sentences(enc, CHECK_SEED, CHECK_EPOCH)
+    ex = E.centre_examples(s, CHECK_WINDOW, CHECK_SEED, CHECK_EPOCH)
+    full = E.with_negatives(ex, CHECK_NEGATIVES, CHECK_SEED, CHECK_EPOCH, buckets, nb, stats.vocab_size)
+    w = ST.init_weights(vocab, CHECK_DIM, CHECK_SEED, out_init="hash")
+    return stats, full, w
+
+
+def _weights_long(w, digits=r6):
+    lf = w.select("idx", F.posexplode(F.arrays_zip("w_in", "w_out")).alias("j", "z"))
+    return lf.select("idx", F.col("j").cast("int").alias("j"), digits(F.col("z.w_in")).alias("w_in"),
+                     digits(F.col("z.w_out")).alias("w_out"))
+
+
+def _grads_long(g):
+    return g.select("matrix", "idx", F.posexplode("grad").alias("j", "grad")).select(
+        "matrix", "idx", F.col("j").cast("int").alias("j"), r5("grad").alias("grad"))
+
+
+def q_init_weights(spark, sf):
+    """Reference init: W_in ~ U(-r, r), W_out = 0 (dim 8, min_count 5)."""
+    vocab = _vocab(spark, sf, CHECK_MIN_COUNT)
+    return _weights_long(ST.init_weights(vocab, CHECK_DIM, CHECK_SEED))
+
+
+def q_sgns_pair_loss(spark, sf):
+    stats, ex, w = _step_inputs(spark, sf)
+    el = ST.example_loss(ST.sgns_scored(ex, w, stats.vocab_size, CHECK_DIM))
+    return el.select("doc_id", "line_no", "p", r6("loss").alias("loss"), "n_targets")
+
+
+def q_sgns_gradient(spark, sf):
+    stats, ex, w = _step_inputs(spark, sf)
+    return _grads_long(ST.sgns_gradients(ST.sgns_scored(ex, w, stats.vocab_size, CHECK_DIM), CHECK_DIM))
+
+
+def q_sgns_step(spark, sf):
+    stats, ex, w = _step_inputs(spark, sf)
+    return _weights_long(ST.sgns_step(ex, w, stats.vocab_size, CHECK_DIM, CHECK_LR), r5)
+
+
+def q_epoch_loss(spark, sf):
+    """Average skip-gram loss per centre over the epoch-0 examples."""
+    stats, ex, w = _step_inputs(spark, sf)
+    el = ST.epoch_loss(ST.example_loss(ST.sgns_scored(ex, w, stats.vocab_size, CHECK_DIM)))
+    return el.select("centers", r5("avg_loss").alias("avg_loss"))
+
+
+def q_cbow_context_mean(spark, sf):
+    stats, ex, w = _step_inputs(spark, sf)
+    h = ST.cbow_context_mean(ex, w, stats.vocab_size, CHECK_DIM)
+    return h.select("doc_id", "line_no", "p", "n_ctx", F.posexplode("h").alias("j", "h")).select(
+        "doc_id", "line_no", "p", "n_ctx", F.col("j").cast("int").alias("j"), r6("h").alias("h"))
+
+
+def q_cbow_loss(spark, sf):
+    stats, ex, w = _step_inputs(spark, sf)
+    el = ST.example_loss(ST.cbow_scored(ex, w, stats.vocab_size, CHECK_DIM))
+    return el.select("doc_id", "line_no", "p", r6("loss").alias("loss"), "n_targets")
+
+
+def q_cbow_gradient(spark, sf):
+    stats, ex, w = _step_inputs(spark, sf)
+    sc = ST.cbow_scored(ex, w, stats.vocab_size, CHECK_DIM)
+    return _grads_long(ST.cbow_gradients(ex, sc, CHECK_DIM))
+
+
+def q_cbow_step(spark, sf):
+    stats, ex, w = _step_inputs(spark, sf)
+    return _weights_long(ST.cbow_step(ex, w, stats.vocab_size, CHECK_DIM, CHECK_LR), r5)
+
+
+QUERIES.update({
+    "init_weights": q_init_weights,
+    "sgns_pair_loss": q_sgns_pair_loss,
+    "sgns_gradient": q_sgns_gradient,
+    "sgns_step": q_sgns_step,
+    "epoch_loss": q_epoch_loss,
+    "cbow_context_mean": q_cbow_context_mean,
+    "cbow_loss": q_cbow_loss,
+    "cbow_gradient": q_cbow_gradient,
+    "cbow_step": q_cbow_step,
+})

@@ -70,7 +70,7 @@ cum AS (SELECT idx, w,
                sum(w) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ci
         FROM pw),
 tw AS (SELECT max(ci) AS t FROM cum),
-dist AS (SELECT idx, w / t AS p,
+dist AS MATERIALIZED (SELECT idx, w / t AS p,
                 coalesce(lag(ci) OVER (ORDER BY idx), 0.0) / t AS lo,
                 ci / t AS hi
          FROM cum, tw)"""
@@ -129,7 +129,7 @@ def u(purpose: str, *keys: str) -> str:
 
 
 ENC = """
-enc AS (SELECT t.doc_id, t.line_no, t.pos, v.idx, v.cnt FROM tokens t JOIN vocab v ON t.word = v.word),
+enc AS MATERIALIZED (SELECT t.doc_id, t.line_no, t.pos, v.idx, v.cnt FROM tokens t JOIN vocab v ON t.word = v.word),
 tot AS (SELECT CAST(sum(cnt) AS DOUBLE) AS n FROM vocab)"""
 
 SUB = f"""
@@ -140,13 +140,13 @@ ren AS (SELECT doc_id, line_no, idx,
                CAST(row_number() OVER (PARTITION BY doc_id, line_no ORDER BY pos) - 1 AS INTEGER) AS p,
                count(*) OVER (PARTITION BY doc_id, line_no) AS n
         FROM sub),
-sent AS (SELECT doc_id, line_no, idx, p, n FROM ren WHERE n >= 2)"""
+sent AS MATERIALIZED (SELECT doc_id, line_no, idx, p, n FROM ren WHERE n >= 2)"""
 
 WINS = f"""
-win AS (SELECT doc_id, line_no, p, idx AS center,
+win AS MATERIALIZED (SELECT doc_id, line_no, p, idx AS center,
                CAST(1 + floor({u('win', 'doc_id', 'line_no', 'p')} * {WIN}) AS INTEGER) AS win
         FROM sent),
-pairs AS (SELECT w.doc_id, w.line_no, w.p, w.center, s.p AS q, s.idx AS context
+pairs AS MATERIALIZED (SELECT w.doc_id, w.line_no, w.p, w.center, s.p AS q, s.idx AS context
           FROM win w JOIN sent s ON s.doc_id = w.doc_id AND s.line_no = w.line_no
            AND s.p BETWEEN w.p - w.win AND w.p + w.win AND s.p <> w.p)"""
 
@@ -154,7 +154,7 @@ NEGS = f"""
 draws AS (SELECT w.doc_id, w.line_no, w.p, CAST(s.slot AS INTEGER) AS slot,
                  {u('neg', 'w.doc_id', 'w.line_no', 'w.p', 's.slot')} AS u
           FROM win w, (SELECT range AS slot FROM range({K})) s),
-negs AS (SELECT d.doc_id, d.line_no, d.p, d.slot, x.idx AS neg
+negs AS MATERIALIZED (SELECT d.doc_id, d.line_no, d.p, d.slot, x.idx AS neg
          FROM draws d JOIN dist x ON d.u >= x.lo AND d.u < x.hi)"""
 
 BASE3 = with_(LINES, TOKENS, vocab_cte(MC), ENC)
@@ -283,3 +283,115 @@ SELECT CAST(idx + 1 AS BIGINT) AS line_no,
        word || ' ' || array_to_string(list_transform(vec, lambda x: printf('%.6f', {r6('x')})), ' ') AS line
 FROM emb""",
 })
+
+
+# ---------------------------------------------------------------- slice 5
+
+import math  # noqa: E402
+
+DIM = Q.CHECK_DIM
+R_INIT = repr(math.sqrt(6.0 / DIM))
+R5 = "(CAST(floor(CAST({x} AS DOUBLE) * 100000.0 + 0.5) AS DOUBLE) / 100000.0)"
+
+
+def r5(x: str) -> str:
+    return R5.format(x=x)
+
+
+def init_u(purpose: str) -> str:
+    return uniform_sql(purpose, SEED, "v.idx", "r.j")
+
+
+def weights_cte(out_hash: bool) -> str:
+    wo = (f"CAST((2.0 * {init_u('init_out')} - 1.0) * {R_INIT} AS FLOAT)" if out_hash
+          else "CAST(0.0 AS FLOAT)")
+    return f"""
+wl AS (SELECT v.idx, CAST(r.j AS INTEGER) AS j,
+              CAST((2.0 * {init_u('init')} - 1.0) * {R_INIT} AS FLOAT) AS wi, {wo} AS wo
+       FROM vocab v, (SELECT range AS j FROM range({DIM})) r),
+w AS MATERIALIZED (SELECT idx, list(CAST(wi AS DOUBLE) ORDER BY j) AS w_in, list(CAST(wo AS DOUBLE) ORDER BY j) AS w_out
+      FROM wl GROUP BY idx)"""
+
+
+def closs(score: str, label: str) -> str:
+    sp_pos = f"(greatest(-({score}), 0.0) + ln(1.0 + exp(-abs({score}))))"
+    sp_neg = f"(greatest({score}, 0.0) + ln(1.0 + exp(-abs({score}))))"
+    return f"(CASE WHEN {label} = 1 THEN least(30.0, {sp_pos}) ELSE least(30.0, {sp_neg}) END)"
+
+
+STEP_BASE = (BASE3 + "," + SUB + "," + WINS + "," + dist_cte() + "," + NEGS + "," + weights_cte(True))
+
+SG = f""",
+tg AS (SELECT doc_id, line_no, p, center, q, context AS target, 1 AS label FROM pairs
+       UNION ALL
+       SELECT pr.doc_id, pr.line_no, pr.p, pr.center, pr.q, n.neg AS target, 0 AS label
+       FROM pairs pr JOIN negs n ON n.doc_id = pr.doc_id AND n.line_no = pr.line_no AND n.p = pr.p
+       WHERE n.neg <> pr.context),
+sc AS (SELECT t.*, list_dot_product(a.w_in, b.w_out) AS score, a.w_in AS v_c, b.w_out AS v_t
+       FROM tg t JOIN w a ON a.idx = t.center JOIN w b ON b.idx = t.target),
+sc2 AS MATERIALIZED (SELECT *, 1.0 / (1.0 + exp(-score)) - label AS g, {closs('score', 'label')} AS loss FROM sc)"""
+
+SG_GRADS = """,
+gr AS (SELECT 'in' AS matrix, center AS idx, CAST(r.j AS INTEGER) AS j, sum(g * v_t[r.j + 1]) AS grad
+       FROM sc2, (SELECT range AS j FROM range({dim})) r GROUP BY center, r.j
+       UNION ALL
+       SELECT 'out' AS matrix, target AS idx, CAST(r.j AS INTEGER) AS j, sum(g * v_c[r.j + 1]) AS grad
+       FROM sc2, (SELECT range AS j FROM range({dim})) r GROUP BY target, r.j)""".format(dim=DIM)
+
+LR = Q.CHECK_LR
+APPLY = f""",
+nw AS (SELECT l.idx, l.j,
+              CASE WHEN gi.grad IS NULL THEN l.wi ELSE CAST(l.wi + ({-LR!r}) * gi.grad AS FLOAT) END AS w_in,
+              CASE WHEN go.grad IS NULL THEN l.wo ELSE CAST(l.wo + ({-LR!r}) * go.grad AS FLOAT) END AS w_out
+       FROM wl l
+       LEFT JOIN gr gi ON gi.matrix = 'in' AND gi.idx = l.idx AND gi.j = l.j
+       LEFT JOIN gr go ON go.matrix = 'out' AND go.idx = l.idx AND go.j = l.j)
+SELECT idx, j, {r5('w_in')} AS w_in, {r5('w_out')} AS w_out FROM nw"""
+
+CB = f""",
+hl AS (SELECT pr.doc_id, pr.line_no, pr.p, CAST(r.j AS INTEGER) AS j, avg(w.w_in[r.j + 1]) AS h,
+              count(*) AS n_ctx
+       FROM pairs pr JOIN w ON w.idx = pr.context, (SELECT range AS j FROM range({DIM})) r
+       GROUP BY pr.doc_id, pr.line_no, pr.p, r.j),
+hv AS (SELECT doc_id, line_no, p, any_value(n_ctx) AS n_ctx, list(h ORDER BY j) AS h
+       FROM hl GROUP BY doc_id, line_no, p),
+tg AS (SELECT doc_id, line_no, p, center, center AS target, 1 AS label FROM win
+       UNION ALL
+       SELECT x.doc_id, x.line_no, x.p, x.center, n.neg AS target, 0 AS label
+       FROM win x JOIN negs n ON n.doc_id = x.doc_id AND n.line_no = x.line_no AND n.p = x.p
+       WHERE n.neg <> x.center),
+sc AS (SELECT t.*, hv.h, hv.n_ctx, list_dot_product(hv.h, b.w_out) AS score, b.w_out AS v_t
+       FROM tg t JOIN hv ON hv.doc_id = t.doc_id AND hv.line_no = t.line_no AND hv.p = t.p
+       JOIN w b ON b.idx = t.target),
+sc2 AS MATERIALIZED (SELECT *, 1.0 / (1.0 + exp(-score)) - label AS g, {closs('score', 'label')} AS loss FROM sc)"""
+
+CB_GRADS = f""",
+ghl AS (SELECT doc_id, line_no, p, any_value(n_ctx) AS n_ctx, CAST(r.j AS INTEGER) AS j, sum(g * v_t[r.j + 1]) AS gh
+        FROM sc2, (SELECT range AS j FROM range({DIM})) r GROUP BY doc_id, line_no, p, r.j),
+gr AS (SELECT 'out' AS matrix, target AS idx, CAST(r.j AS INTEGER) AS j, sum(g * h[r.j + 1]) AS grad
+       FROM sc2, (SELECT range AS j FROM range({DIM})) r GROUP BY target, r.j
+       UNION ALL
+       SELECT 'in' AS matrix, pr.context AS idx, gl.j, sum((1.0 / CAST(gl.n_ctx AS DOUBLE)) * gl.gh) AS grad
+       FROM pairs pr JOIN ghl gl ON gl.doc_id = pr.doc_id AND gl.line_no = pr.line_no AND gl.p = pr.p
+       GROUP BY pr.context, gl.j)"""
+
+ORACLES.update({
+    "init_weights": with_(LINES, TOKENS, vocab_cte(MC)) + "," + weights_cte(False) +
+        f" SELECT idx, j, {r6('wi')} AS w_in, {r6('wo')} AS w_out FROM wl",
+    "sgns_pair_loss": STEP_BASE + SG + f"""
+SELECT doc_id, line_no, p, {r6('sum(loss)')} AS loss, CAST(count(*) AS BIGINT) AS n_targets
+FROM sc2 GROUP BY doc_id, line_no, p""",
+    "sgns_gradient": STEP_BASE + SG + SG_GRADS + f" SELECT matrix, idx, j, {r5('grad')} AS grad FROM gr",
+    "sgns_step": STEP_BASE + SG + SG_GRADS + APPLY,
+    "epoch_loss": STEP_BASE + SG + f""",
+el AS (SELECT doc_id, line_no, p, sum(loss) AS loss FROM sc2 GROUP BY doc_id, line_no, p)
+SELECT CAST(count(*) AS BIGINT) AS centers,
+       {r5('CASE WHEN count(*) = 0 THEN 0.0 ELSE sum(loss) / count(*) END')} AS avg_loss FROM el""",
+    "cbow_context_mean": STEP_BASE + CB + f"""
+SELECT doc_id, line_no, p, CAST(n_ctx AS BIGINT) AS n_ctx, j, {r6('h')} AS h FROM hl""",
+    "cbow_loss": STEP_BASE + CB + f"""
+SELECT doc_id, line_no, p, {r6('sum(loss)')} AS loss, CAST(count(*) AS BIGINT) AS n_targets
+FROM sc2 GROUP BY doc_id, line_no, p""",
+    "cbow_gradient": STEP_BASE + CB + CB_GRADS + f" SELECT matrix, idx, j, {r5('grad')} AS grad FROM gr",
+    "cbow_step": STEP_BASE + CB + CB_GRADS + APPLY,
+})
