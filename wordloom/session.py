@@ -39,6 +39,25 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+_PKG_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ensure_worker_path(spark: SparkSession) -> None:
+    """Let local Python workers import this package.
+
+    On a cluster the package is shipped with ``--py-files`` (a zip of the
+    ``wordloom`` folder); in local mode the workers get the repository root
+    on their PYTHONPATH through the context's worker environment.
+    """
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        return
+    cur = sc.environment.get("PYTHONPATH", "")
+    parts = [p for p in cur.split(os.pathsep) if p]
+    if _PKG_ROOT not in parts:
+        sc.environment["PYTHONPATH"] = os.pathsep.join(parts + [_PKG_ROOT])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
@@ -46,6 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     shared file system folder and is used as is.  Only when nothing is set
     (tests, local runs) a scratch folder is created.
     """
+    ensure_worker_path(spark)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
