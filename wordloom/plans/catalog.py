@@ -453,3 +453,64 @@ QUERIES.update({
     "cbow_gradient": q_cbow_gradient,
     "cbow_step": q_cbow_step,
 })
+
+
+# ---------------------------------------------------------------- slice 6-7
+
+from ..config import Word2VecConfig  # noqa: E402
+from ..operators import pca as PC  # noqa: E402
+from ..plans import trainer as TR  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import model_store as MS  # noqa: E402
+
+# Training parameters of the registered training queries (whole `documents`).
+TRAIN_CFG = Word2VecConfig(embedding_dim=16, window_size=5, negative_samples=5, epochs=2,
+                           min_count=CHECK_MIN_COUNT, seed=CHECK_SEED, rounds_per_epoch=2,
+                           kernel_batch=256)
+
+
+def _train(spark, sf, model="skipgram"):
+    return TR.train(spark, C.corpus_lines(spark, sf), TRAIN_CFG.with_(model=model))
+
+
+def q_train_skipgram(spark, sf):
+    return _train(spark, sf).embeddings()
+
+
+def q_train_cbow(spark, sf):
+    return _train(spark, sf, "cbow").embeddings()
+
+
+def q_training_history(spark, sf):
+    return _train(spark, sf).history
+
+
+def q_model_roundtrip(spark, sf):
+    m = _train(spark, sf)
+    path = scratch_path(spark, "model")
+    MS.save_model(m, path)
+    return MS.load_model(spark, path).embeddings()
+
+
+def q_loss_curve_points(spark, sf):
+    return PC.loss_curve_points(_train(spark, sf).history)
+
+
+def q_pca_2d(spark, sf):
+    """PCA coordinates of every word of the `embeddings` table."""
+    return PC.pca_2d(_emb(spark, sf))
+
+
+def q_pca_ranges(spark, sf):
+    return PC.pca_ranges(PC.pca_2d(_emb(spark, sf)))
+
+
+QUERIES.update({
+    "train_skipgram": q_train_skipgram,
+    "train_cbow": q_train_cbow,
+    "training_history": q_training_history,
+    "model_roundtrip": q_model_roundtrip,
+    "loss_curve_points": q_loss_curve_points,
+    "pca_2d": q_pca_2d,
+    "pca_ranges": q_pca_ranges,
+})
