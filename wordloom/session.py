@@ -91,6 +91,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    Used for state that is rebuilt every round (weights, round outputs,
+    epoch examples): the re-read table has a short lineage and statistics
+    from its real file size.  (A checkpoint keeps the estimate of the plan
+    that made it, and in a loop those estimates compound.)
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fits_broadcast(n_rows: int, row_bytes: int,
                    max_rows: int = DEFAULT_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
