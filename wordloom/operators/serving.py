@@ -75,9 +75,10 @@ def _block_of(col: str, n_blocks: int) -> F.Column:
 
 def _topk_kernel(k: int):
     def run(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        cols = ["qid", "idx", "word", "similarity"]
+        cols = ["qid", "qname", "idx", "word", "similarity"]
         if len(q) == 0 or len(c) == 0:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "idx": pd.Series([], dtype="int64"),
+            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "qname": pd.Series([], dtype="object"),
+                                 "idx": pd.Series([], dtype="int64"),
                                  "word": pd.Series([], dtype="object"),
                                  "similarity": pd.Series([], dtype="float64")})[cols]
         qm = np.stack(q["qvec"].to_numpy()).astype(np.float64)
@@ -98,8 +99,9 @@ def _topk_kernel(k: int):
                 if j is not None:
                     s[i, j] = -np.inf
         kk = min(k, s.shape[1])
-        out_q, out_i, out_s = [], [], []
+        out_q, out_i, out_s, out_n = [], [], [], []
         qids = q["qid"].to_numpy(dtype=np.int64)
+        qnames = q["qname"].to_numpy()
         part = np.argpartition(-s, kk - 1, axis=1)[:, :kk]
         for i in range(s.shape[0]):
             row = s[i]
@@ -113,14 +115,15 @@ def _topk_kernel(k: int):
             order = np.lexsort((cidx[cand], -row[cand]))[:kk]
             sel = cand[order]
             out_q.append(np.full(sel.size, qids[i], dtype=np.int64))
+            out_n.append(np.full(sel.size, qnames[i], dtype=object))
             out_i.append(cidx[sel])
             out_s.append(row[sel])
         if not out_q:
             return run(key, q.iloc[0:0], c.iloc[0:0])
         oi = np.concatenate(out_i)
         words = c.set_index("idx").loc[oi, "word"].to_numpy()
-        return pd.DataFrame({"qid": np.concatenate(out_q), "idx": oi, "word": words,
-                             "similarity": np.concatenate(out_s)})[cols]
+        return pd.DataFrame({"qid": np.concatenate(out_q), "qname": np.concatenate(out_n), "idx": oi,
+                             "word": words, "similarity": np.concatenate(out_s)})[cols]
     return run
 
 
@@ -128,14 +131,15 @@ def top_k_cosine(queries: DataFrame, emb: DataFrame, k: int, n_queries: int | No
                  n_cands: int | None = None) -> DataFrame:
     """Exact top-k by cosine for every query row.
 
-    queries: (qid BIGINT, qvec ARRAY<FLOAT|DOUBLE>, excl ARRAY<BIGINT>)
-    returns: (qid, idx, word, similarity, rank) with rank 1..k, ties by idx.
+    queries: (qid BIGINT, qname STRING, qvec ARRAY<FLOAT|DOUBLE>, excl ARRAY<BIGINT>)
+    returns: (qid, qname, idx, word, similarity, rank), rank 1..k, ties by idx.
+    ``qname`` is a label carried through (no join back to the queries).
     """
     n_queries = n_queries if n_queries is not None else queries.count()
     n_cands = n_cands if n_cands is not None else emb.count()
     qb = max(1, math.ceil(n_queries / QUERY_BLOCK_ROWS))
     cb = max(1, math.ceil(n_cands / CAND_BLOCK_ROWS))
-    q = (queries.select("qid", F.col("qvec").cast("array<double>").alias("qvec"), "excl")
+    q = (queries.select("qid", "qname", F.col("qvec").cast("array<double>").alias("qvec"), "excl")
          .withColumn("qblk", _block_of("qid", qb))
          .withColumn("cblk", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
     c = (emb.select("idx", "word", "vec")
@@ -143,7 +147,7 @@ def top_k_cosine(queries: DataFrame, emb: DataFrame, k: int, n_queries: int | No
          .withColumn("qblk", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
     part = (q.groupBy("qblk", "cblk")
             .cogroup(c.groupBy("qblk", "cblk"))
-            .applyInPandas(_topk_kernel(k), "qid long, idx long, word string, similarity double"))
+            .applyInPandas(_topk_kernel(k), "qid long, qname string, idx long, word string, similarity double"))
     w = Window.partitionBy("qid").orderBy(F.desc("similarity"), F.asc("idx"))
     return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -153,11 +157,10 @@ def most_similar(query_words: DataFrame, emb: DataFrame, k: int, word_col: str =
     the query itself excluded.  Unknown query words give no rows."""
     qs = (query_words.select(F.col(word_col).alias("query")).distinct()
           .join(emb.select(F.col("word").alias("query"), "idx", "vec"), "query"))
-    qs = qs.select(F.col("idx").alias("qid"), "query", F.col("vec").alias("qvec"),
+    qs = qs.select(F.col("idx").alias("qid"), F.col("query").alias("qname"), F.col("vec").alias("qvec"),
                    F.array(F.col("idx")).alias("excl"))
-    res = top_k_cosine(qs.select("qid", "qvec", "excl"), emb, k)
-    names = qs.select("qid", "query")
-    return res.join(names, "qid").select("query", "word", "similarity", F.col("rank").cast("int"))
+    res = top_k_cosine(qs, emb, k)
+    return res.select(F.col("qname").alias("query"), "word", "similarity", F.col("rank").cast("int"))
 
 
 def analogy_queries(triples: DataFrame, emb: DataFrame, strict: bool = False) -> DataFrame:
@@ -184,10 +187,12 @@ def analogy_queries(triples: DataFrame, emb: DataFrame, strict: bool = False) ->
 def analogy(triples: DataFrame, emb: DataFrame, k: int, strict: bool = False) -> DataFrame:
     """(pos_a, neg_a, pos_b, word, similarity, rank): k best answers of
     a - b + c, the three terms excluded."""
-    qs = analogy_queries(triples, emb, strict).distinct()
-    res = top_k_cosine(qs.select("qid", "qvec", "excl"), emb, k)
-    return res.join(qs.select("qid", "pos_a", "neg_a", "pos_b"), "qid").select(
-        "pos_a", "neg_a", "pos_b", "word", "similarity", F.col("rank").cast("int"))
+    qs = analogy_queries(triples, emb, strict).dropDuplicates(["qid"])
+    qs = qs.withColumn("qname", F.to_json(F.array("pos_a", "neg_a", "pos_b")))
+    res = top_k_cosine(qs.select("qid", "qname", "qvec", "excl"), emb, k)
+    terms = F.from_json("qname", "array<string>")
+    return res.select(terms[0].alias("pos_a"), terms[1].alias("neg_a"), terms[2].alias("pos_b"),
+                      "word", "similarity", F.col("rank").cast("int"))
 
 
 def vector_means(emb: DataFrame, dim: int) -> DataFrame:

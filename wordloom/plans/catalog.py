@@ -359,6 +359,7 @@ QUERIES.update({
 # ---------------------------------------------------------------- slice 5
 
 from ..operators import steps as ST  # noqa: E402
+from ..session import cut_lineage  # noqa: E402
 
 
 def r5(c) -> F.Column:
@@ -374,7 +375,9 @@ def _step_inputs(spark, sf):
     s = E.sample_sentences(enc, CHECK_SEED, CHECK_EPOCH)
     ex = E.centre_examples(s, CHECK_WINDOW, CHECK_SEED, CHECK_EPOCH)
     full = E.with_negatives(ex, CHECK_NEGATIVES, CHECK_SEED, CHECK_EPOCH, buckets, nb, stats.vocab_size)
-    w = ST.init_weights(vocab, CHECK_DIM, CHECK_SEED, out_init="hash")
+    # Examples and weights are read several times by a step: materialise once.
+    full = cut_lineage(full)
+    w = cut_lineage(ST.init_weights(vocab, CHECK_DIM, CHECK_SEED, out_init="hash"))
     return stats, full, w
 
 
