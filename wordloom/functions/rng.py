@@ -32,7 +32,10 @@ def keyed_uniform(purpose: str, seed, *keys) -> Column:
     """
     parts = [F.lit(purpose), _as_col(seed)] + [_as_col(k) for k in keys]
     h = F.md5(F.concat_ws("|", *parts))
-    return F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / F.lit(TWO_POW_48)
+    u = F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / F.lit(TWO_POW_48)
+    # Never null (12 hex digits always parse); saying so lets the optimizer
+    # drop inferred IS NOT NULL filters that would hash the key again.
+    return F.coalesce(u, F.lit(0.0))
 
 
 def uniform_sql(purpose: str, seed, *keys: str) -> str:

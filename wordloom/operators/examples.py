@@ -91,18 +91,27 @@ def window_width(seed: int, epoch: int, window: int, p) -> F.Column:
 
 def centre_examples(sents: DataFrame, window: int, seed: int, epoch: int) -> DataFrame:
     """(doc_id, line_no, p, center, win, context ARRAY<BIGINT>), one row per
-    centre; context = ids at positions p-win..p+win except p, in order."""
+    centre; context = ids at positions p-win..p+win except p, in order.
+
+    The widths are drawn once per position into an array first (a lambda
+    body has no common-subexpression elimination, so referring to the draw
+    three times would hash three times).  Each centre row carries only its
+    own <= 2 * window context ids, never the whole sentence.
+    """
     n = F.size("t")
+    positions = F.sequence(F.lit(0), n - 1)
+    with_w = sents.select(*SENT_KEY, "t", F.transform(
+        positions, lambda p: window_width(seed, epoch, window, p)).alias("_w"))
 
     def one(p):
-        w = window_width(seed, epoch, window, p)
+        w = F.element_at("_w", p + 1)
         start = F.greatest(p - w, F.lit(0))
         left = F.slice("t", start + 1, p - start)
         right = F.slice("t", p + 2, w)
         return F.struct(p.alias("p"), F.element_at("t", p + 1).alias("center"),
                         w.alias("win"), F.concat(left, right).alias("context"))
 
-    ex = sents.select(*SENT_KEY, F.explode(F.transform(F.sequence(F.lit(0), n - 1), one)).alias("e"))
+    ex = with_w.select(*SENT_KEY, F.explode(F.transform(positions, one)).alias("e"))
     ex = ex.select(*SENT_KEY, F.col("e.p").cast("int").alias("p"), F.col("e.center").alias("center"),
                    F.col("e.win").alias("win"), F.col("e.context").alias("context"))
     return ex.where(F.size("context") > 0)
@@ -135,19 +144,21 @@ def with_negatives(examples: DataFrame, k: int, seed: int, epoch: int, buckets:
                    n_buckets: int, vocab_size: int, shifted: bool = False) -> DataFrame:
     """Examples with ``negatives ARRAY<BIGINT>`` (slot order).
 
-    The draws carry the example through explode + broadcast lookup, so the
-    regroup by centre key finds the rows already clustered by sentence.
+    Draws carry the example through explode + lookup; the regroup keys on
+    the example itself (context array included) with one fixed-width
+    ``max(when(slot = s))`` per slot, so it stays a codegen'd hash
+    aggregate.  The input keeps its sentence partitioning through the
+    explode and the broadcast lookup, so the regroup needs no shuffle then.
     """
     draws = examples.select(*SENT_KEY, "p", "center", "context",
                             F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("slot"))
     draws = draws.withColumn("u", keyed_uniform("neg", seed, epoch, F.col("doc_id"),
                                                 F.col("line_no"), F.col("p"), F.col("slot")))
     got = N.lookup_draws(draws, buckets, n_buckets, vocab_size, "u", "neg", shifted)
-    g = got.groupBy(*SENT_KEY, "p").agg(
-        F.first("center").alias("center"), F.first("context").alias("context"),
-        F.array_sort(F.collect_list(F.struct("slot", "neg"))).alias("_n"))
+    g = got.groupBy(*SENT_KEY, "p", "center", "context").agg(
+        *[F.max(F.when(F.col("slot") == s, F.col("neg"))).alias(f"_n{s}") for s in range(k)])
     return g.select(*SENT_KEY, "p", "center", "context",
-                    F.transform("_n", lambda x: x["neg"]).alias("negatives"))
+                    F.array(*[F.col(f"_n{s}") for s in range(k)]).alias("negatives"))
 
 
 def estimate_pairs(encoded: DataFrame, window: int) -> DataFrame:

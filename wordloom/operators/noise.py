@@ -89,3 +89,14 @@ def noise_table(dist: DataFrame, n_buckets: int, vocab_size: int,
     if shifted:
         word = F.least(word + F.lit(1), F.lit(vocab_size - 1))
     return hit.select(F.col("slot").cast("bigint").alias("slot"), word.cast("bigint").alias("idx"))
+
+
+def noise_shifted(dist: DataFrame, vocab_size: int) -> DataFrame:
+    """(idx, p) of the reference's shifted table law: word j >= 1 gets the
+    mass of word j - 1, word 0 gets none, the last word also keeps its own."""
+    prev = dist.select((F.col("idx") + 1).alias("idx"), F.col("p").alias("_p"))
+    own_last = dist.where(F.col("idx") == vocab_size - 1).select("idx", F.col("p").alias("_p"))
+    parts = prev.where(F.col("idx") < vocab_size).unionByName(own_last)
+    got = parts.groupBy("idx").agg(F.sum("_p").alias("p"))
+    zero = dist.where(F.col("idx") == 0).select("idx", F.lit(0.0).alias("p"))
+    return got.unionByName(zero)

@@ -517,3 +517,13 @@ QUERIES.update({
     "pca_2d": q_pca_2d,
     "pca_ranges": q_pca_ranges,
 })
+
+
+def q_noise_distribution_shifted(spark, sf):
+    """The probability law of the reference's table loop (mass moved one id up)."""
+    vocab = _vocab(spark, sf, CHECK_MIN_COUNT)
+    n = V.collect_stats(vocab).vocab_size
+    return N.noise_shifted(N.noise_distribution(vocab), n).select("idx", r6("p").alias("p"))
+
+
+QUERIES["noise_distribution_shifted"] = q_noise_distribution_shifted

@@ -395,3 +395,8 @@ FROM sc2 GROUP BY doc_id, line_no, p""",
     "cbow_gradient": STEP_BASE + CB + CB_GRADS + f" SELECT matrix, idx, j, {r5('grad')} AS grad FROM gr",
     "cbow_step": STEP_BASE + CB + CB_GRADS + APPLY,
 })
+
+ORACLES["noise_distribution_shifted"] = with_(LINES, TOKENS, vocab_cte(MC), dist_cte()) + f"""
+SELECT d.idx,
+       {r6("CASE WHEN d.idx = 0 THEN 0.0 WHEN d.idx = (SELECT max(idx) FROM dist) THEN q.p + d.p ELSE q.p END")} AS p
+FROM dist d LEFT JOIN dist q ON q.idx = d.idx - 1"""

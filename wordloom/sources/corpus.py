@@ -25,12 +25,30 @@ def split_lines(text_col) -> F.Column:
             .otherwise(parts))
 
 
+def balance_lines(lines: DataFrame) -> DataFrame:
+    """Spread an under-partitioned corpus over the cluster.
+
+    A scan gives one task per file split / row group.  When that is fewer
+    tasks than the cluster runs at once (a small or unsplittable input), the
+    lines are hash-partitioned by their sentence key, which the later
+    per-sentence regroup then reuses without another shuffle.  Large inputs
+    already have enough splits and are left alone.
+    """
+    spark = lines.sparkSession
+    want = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    if lines.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return lines
+    return lines.repartition(want, "doc_id", "line_no")
+
+
 def lines_from_text(df: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, text) rows -> corpus(doc_id, line_no, line); row-local, no shuffle."""
-    return df.select(
+    """(key, text) rows -> corpus(doc_id, line_no, line); row-local, plus a
+    rebalance only when the input is under-partitioned."""
+    lines = df.select(
         F.col(key_col).cast("bigint").alias("doc_id"),
         F.posexplode(split_lines(F.col(text_col))).alias("line_no", "line"),
     ).select("doc_id", F.col("line_no").cast("int").alias("line_no"), "line")
+    return balance_lines(lines)
 
 
 def corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
