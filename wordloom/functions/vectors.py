@@ -22,6 +22,17 @@ def dot(a, b) -> Column:
         F.lit(0.0).cast("double"), lambda acc, v: acc + v)
 
 
+def dot_fixed(a, b, dim: int) -> Column:
+    """dot for a dimension known when the plan is built: an explicit sum of
+    element products, which whole-stage codegen compiles (higher-order
+    functions are interpreted).  Same left-to-right order as ``dot``."""
+    a, b = _c(a), _c(b)
+    acc = F.lit(0.0).cast("double")
+    for j in range(dim):
+        acc = acc + a[j].cast("double") * b[j].cast("double")
+    return acc
+
+
 def sq_norm(a) -> Column:
     return F.aggregate(_c(a), F.lit(0.0).cast("double"),
                        lambda acc, x: acc + x.cast("double") * x.cast("double"))

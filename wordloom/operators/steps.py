@@ -52,21 +52,27 @@ def _maybe_broadcast(df: DataFrame, vocab_size: int, dim: int) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(vocab_size, dim * 8 + 32) else df
 
 
+def _with_targets(df: DataFrame, positive: str) -> DataFrame:
+    """Explode [positive] ++ negatives; keep the positive (label 1) and every
+    negative that differs from it (label 0).  Plain explode + filter: no
+    higher-order function, so the stage stays in generated code."""
+    t = df.select("*", F.posexplode(F.concat(F.array(F.col(positive)), F.col("negatives")))
+                  .alias("_k", "target"))
+    t = t.where((F.col("_k") == 0) | (F.col("target") != F.col(positive)))
+    return t.withColumn("label", (F.col("_k") == 0).cast("int")).drop("_k")
+
+
 def sgns_targets(examples: DataFrame) -> DataFrame:
     """One row per (centre, context slot, target): the context word with
     label 1, then each negative that differs from that context word with
     label 0 (negatives are shared by all contexts of the centre)."""
     pc = examples.select(*EX_KEY, "center", "negatives", F.posexplode("context").alias("ci", "ctx"))
-    tg = F.concat(
-        F.array(F.struct(F.col("ctx").alias("target"), F.lit(1).alias("label"))),
-        F.transform(F.filter("negatives", lambda n: n != F.col("ctx")),
-                    lambda n: F.struct(n.alias("target"), F.lit(0).alias("label"))))
-    t = pc.select(*EX_KEY, "center", F.col("ci").cast("int").alias("ci"), F.explode(tg).alias("t"))
-    return t.select(*EX_KEY, "center", "ci", F.col("t.target").alias("target"), F.col("t.label").alias("label"))
+    pc = pc.select(*EX_KEY, "center", F.col("ci").cast("int").alias("ci"), "ctx", "negatives")
+    return _with_targets(pc, "ctx").select(*EX_KEY, "center", "ci", "target", "label")
 
 
-def _score(df: DataFrame, in_vec: str, out_vec: str) -> DataFrame:
-    s = VX.dot(in_vec, out_vec)
+def _score(df: DataFrame, in_vec: str, out_vec: str, dim: int) -> DataFrame:
+    s = VX.dot_fixed(in_vec, out_vec, dim)
     return (df.withColumn("score", s)
             .withColumn("g", sigmoid(F.col("score")) - F.col("label").cast("double"))
             .withColumn("loss", F.when(F.col("label") == 1, positive_loss(F.col("score")))
@@ -81,7 +87,7 @@ def sgns_scored(examples: DataFrame, weights: DataFrame, vocab_size: int, dim: i
                            vocab_size, dim)
     wout = _maybe_broadcast(weights.select(F.col("idx").alias("target"), F.col("w_out").alias("v_t")),
                             vocab_size, dim)
-    return _score(t.join(win, "center").join(wout, "target"), "v_c", "v_t")
+    return _score(t.join(win, "center").join(wout, "target"), "v_c", "v_t", dim)
 
 
 def example_loss(scored: DataFrame) -> DataFrame:
@@ -149,15 +155,11 @@ def cbow_scored(examples: DataFrame, weights: DataFrame, vocab_size: int, dim: i
     """Targets of CBOW (centre label 1, negatives != centre label 0), scored
     against the context mean h."""
     h = cbow_context_mean(examples, weights, vocab_size, dim)
-    tg = F.concat(
-        F.array(F.struct(F.col("center").alias("target"), F.lit(1).alias("label"))),
-        F.transform(F.filter("negatives", lambda n: n != F.col("center")),
-                    lambda n: F.struct(n.alias("target"), F.lit(0).alias("label"))))
-    t = examples.select(*EX_KEY, "center", F.explode(tg).alias("t")).select(
-        *EX_KEY, "center", F.col("t.target").alias("target"), F.col("t.label").alias("label"))
+    t = _with_targets(examples.select(*EX_KEY, "center", "negatives"), "center") \
+        .select(*EX_KEY, "center", "target", "label")
     wout = _maybe_broadcast(weights.select(F.col("idx").alias("target"), F.col("w_out").alias("v_t")),
                             vocab_size, dim)
-    return _score(t.join(h, EX_KEY).join(wout, "target"), "h", "v_t")
+    return _score(t.join(h, EX_KEY).join(wout, "target"), "h", "v_t", dim)
 
 
 def cbow_gradients(examples: DataFrame, scored: DataFrame, dim: int) -> DataFrame:
