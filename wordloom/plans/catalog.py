@@ -469,7 +469,7 @@ from ..sources import model_store as MS  # noqa: E402
 # Training parameters of the registered training queries (whole `documents`).
 TRAIN_CFG = Word2VecConfig(embedding_dim=16, window_size=5, negative_samples=5, epochs=2,
                            min_count=CHECK_MIN_COUNT, seed=CHECK_SEED, rounds_per_epoch=2,
-                           kernel_batch=256)
+                           kernel_batch=16)
 
 
 def _train(spark, sf, model="skipgram"):
