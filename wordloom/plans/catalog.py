@@ -527,3 +527,11 @@ def q_noise_distribution_shifted(spark, sf):
 
 
 QUERIES["noise_distribution_shifted"] = q_noise_distribution_shifted
+
+
+def q_conversation_lines(spark, sf):
+    """The `conversations` table as a corpus (one sentence per line of a turn)."""
+    return C.conversation_lines(spark, sf)
+
+
+QUERIES["conversation_lines"] = q_conversation_lines

@@ -400,3 +400,5 @@ ORACLES["noise_distribution_shifted"] = with_(LINES, TOKENS, vocab_cte(MC), dist
 SELECT d.idx,
        {r6("CASE WHEN d.idx = 0 THEN 0.0 WHEN d.idx = (SELECT max(idx) FROM dist) THEN q.p + d.p ELSE q.p END")} AS p
 FROM dist d LEFT JOIN dist q ON q.idx = d.idx - 1"""
+
+ORACLES["conversation_lines"] = with_(CONV_LINES) + " SELECT doc_id, line_no, line FROM conv_lines"
