@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import fits_broadcast, write_table
 
-__all__ = ["lower_ascii", "measured_broadcast", "store", "table"]
+__all__ = ["lower_ascii", "measured_broadcast", "sorted_groups", "store", "table"]
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -31,3 +31,29 @@ def measured_broadcast(small: DataFrame, row_bytes: int) -> DataFrame:
     """``small`` with a broadcast hint if its counted rows fit the size gate;
     otherwise without one, so that the join shuffles and AQE splits hot keys."""
     return F.broadcast(small) if fits_broadcast(small.count(), row_bytes) else small
+
+
+def sorted_groups(batches, keys: list[str]):
+    """Pandas frames of equal consecutive ``keys`` from Arrow batches whose rows
+    are sorted by them; only the group under way is held across batches."""
+    import numpy as np
+    import pandas as pd
+
+    held = []
+    for b in batches:
+        df = b.to_pandas()
+        if not len(df):
+            continue
+        new = (df[keys] != df[keys].shift()).any(axis=1).to_numpy()
+        if held and (held[-1][keys].iloc[-1] == df[keys].iloc[0]).all():
+            new[0] = False
+        cuts = np.flatnonzero(new).tolist()
+        for a, z in zip([0, *cuts], [*cuts, len(df)]):
+            if a == z:
+                continue
+            if new[a] and held:
+                yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+                held = []
+            held.append(df.iloc[a:z])
+    if held:
+        yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)

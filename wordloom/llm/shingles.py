@@ -106,14 +106,37 @@ def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
         return np.unique(fmix(acc + U64(w)))
 
 
-def minima(s: np.ndarray, mult: np.ndarray, add: np.ndarray, chunk: int = 1 << 15) -> np.ndarray:
-    """Minimum of every hash function ``mult * x + add`` (mod 2^64) over a set."""
-    out = np.full(len(mult), np.iinfo(np.uint64).max, dtype=U64)
+def minima_of_sets(sets: list[np.ndarray], mult: np.ndarray, add: np.ndarray,
+                   chunk: int = 1 << 15) -> np.ndarray:
+    """One row of minima per set (all ones for an empty set).
+
+    Sets are laid end to end and cut into chunks that stay in the CPU cache;
+    one multiply, one add and one segmented minimum serve a whole chunk.
+    """
+    out = np.full((len(sets), len(mult)), np.iinfo(np.uint64).max, dtype=U64)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    full = np.flatnonzero(sizes)
+    if not len(full):
+        return out
+    flat = np.concatenate([sets[i] for i in full])
+    bounds = np.concatenate([[0], np.cumsum(sizes[full])])
     with np.errstate(over="ignore"):
-        for a in range(0, len(s), chunk):
-            part = s[a:a + chunk]
+        for a in range(0, len(flat), chunk):
+            z = min(a + chunk, len(flat))
+            lo = int(np.searchsorted(bounds, a, side="right")) - 1
+            hi = int(np.searchsorted(bounds, z, side="left"))
+            starts = np.maximum(bounds[lo:hi], a) - a
+            rows, part = full[lo:hi], flat[a:z]
+            low = np.empty((len(rows), len(mult)), dtype=U64)
             for i in range(len(mult)):
-                m = (part * mult[i] + add[i]).min()
-                if m < out[i]:
-                    out[i] = m
+                low[:, i] = np.minimum.reduceat(part * mult[i] + add[i], starts)
+            out[rows] = np.minimum(out[rows], low)
     return out
+
+
+def set_fingerprint(s: np.ndarray) -> tuple[int, int]:
+    """Two independent 64-bit sums over a set, as signed integers."""
+    with np.errstate(over="ignore"):
+        a = fmix(s ^ U64(0x51ED270B35A4C6F1)).sum(dtype=U64)
+        b = fmix(s + U64(0x2545F4914F6CDD1D)).sum(dtype=U64)
+    return int(a.view(np.int64)), int(b.view(np.int64))
