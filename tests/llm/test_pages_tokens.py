@@ -101,7 +101,7 @@ def test_counts_equal_brute_force(spark, sf_tables):
     q = {r.q: r.n_tokens for r in TC.quantiles(spark, sums, [0.0, 0.5, 0.99, 1.0]).collect()}
     want = np.sort(n)
     assert q == {p: int(want[max(1, int(np.ceil(p * len(n)))) - 1]) for p in q}
-    cut = TC.truncated_totals(hist, spark.createDataFrame([(7,), (4097,), (0,)], "context_limit long")).collect()
+    cut = TC.truncated_totals(hist, [7, 4097, 0]).collect()
     assert {r.context_limit: (r.kept_tokens, r.cut_docs) for r in cut} == {
         c: (int(np.minimum(n, c).sum()), int((n > c).sum())) for c in (7, 4097, 0)}
     assert TC.suffix_sums(hist.limit(0)).count() == 0

@@ -76,14 +76,13 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
         "total_docs", "total_tokens")
 
 
-def truncated_totals(hist: DataFrame, limits: DataFrame) -> DataFrame:
-    """``(context_limit, kept_tokens, cut_docs)`` for any limits (column
-    ``context_limit``), not only lengths that occur.  The limits meet the
-    histogram as one aggregate each: a stated query set against all rows."""
-    lim = limits.select("context_limit").distinct()
-    pairs = F.broadcast(lim).join(hist)
+def truncated_totals(hist: DataFrame, limits: list[int]) -> DataFrame:
+    """``(context_limit, kept_tokens, cut_docs)`` for any limits (a short literal
+    list), not only lengths that occur."""
+    rows = hist.select("n_tokens", "n_docs", F.explode(F.array(*[F.lit(int(x)).cast("long") for x in limits]))
+                       .alias("context_limit"))
     cut = F.col("n_tokens") > F.col("context_limit")
-    return pairs.groupBy("context_limit").agg(
+    return rows.groupBy("context_limit").agg(
         F.sum(F.least("n_tokens", "context_limit") * F.col("n_docs")).alias("kept_tokens"),
         F.sum(F.when(cut, F.col("n_docs")).otherwise(0)).alias("cut_docs"))
 
