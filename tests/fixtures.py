@@ -52,14 +52,6 @@ def cycled(sentences, n):
     return [sentences[i % len(sentences)] for i in range(n)]
 
 
-def word_cycle(n=30):
-    return [f"word{i % 5} word{(i + 1) % 5} word{(i + 2) % 5}" for i in range(n)]
-
-
-def w_cycle(n=50):
-    return [f"w{i % 8} w{(i + 1) % 8} w{(i + 2) % 8} w{(i + 3) % 8}" for i in range(n)]
-
-
 def corpus_df(spark, sentences):
     """(doc_id, line_no, line): one document per sentence, as the reference's
     in-memory corpus (one string per sentence)."""

@@ -51,6 +51,13 @@ def test_subsampling_keeps_rare_words(spark):
     full = {r["idx"]: r["cnt"] for r in vocab.collect()}
     assert sum(counts.values()) < st.total_tokens
     assert counts.get(0, 0) < full[0]          # the most frequent word is thinned
+    # A word of probability 1 keeps every token.
+    keep = {r["idx"]: r["keep"] for r in V.with_keep_probability(vocab, st.total_tokens, 2e-2).collect()}
+    _, _, mild = prep(spark, lines, threshold=2e-2)
+    left = E.sample_sentences(mild, 42, 0, min_len=0).select(F.explode("t").alias("i")).groupBy("i").count()
+    left = {r["i"]: r["count"] for r in left.collect()}
+    rare = [i for i, k in keep.items() if k >= 1.0]
+    assert rare and len(rare) < len(keep) and all(left[i] == full[i] for i in rare)
 
 
 def test_keyed_draws_do_not_depend_on_partitioning(spark):

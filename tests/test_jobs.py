@@ -28,3 +28,17 @@ def test_text_file_corpus(spark, tmp_path):
     p.write_text("the cat sat\r\non the mat\n\nthe end\n")
     lines = sorted(r["line"] for r in text_file_lines(spark, str(p)).collect())
     assert lines == ["", "on the mat", "the cat sat", "the end"]
+
+
+def test_only_line_feeds_end_lines_and_keys_ignore_splits(spark, tmp_path):
+    from wordloom.sources.corpus import text_file_lines
+    (tmp_path / "a.txt").write_bytes(b"a b\rc d\r\ne f\r\r\ng h")
+    (tmp_path / "b.txt").write_bytes(b"".join(b"line %d\n" % i for i in range(500)))
+    seen = []
+    for size in ("128m", "700b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        seen.append(sorted((r["doc_id"], r["line"]) for r in text_file_lines(spark, str(tmp_path)).collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen[0] == seen[1]
+    assert [x for _, x in seen[0]][:3] == ["a b\rc d", "e f\r", "g h"]
+    assert [d for d, _ in seen[0]] == list(range(503))

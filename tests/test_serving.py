@@ -96,3 +96,27 @@ def test_text_vectors_header(spark, small):
     lines = S.text_vectors(small, 3).orderBy("line_no").collect()
     assert lines[0]["line"] == "6 3"
     assert lines[1]["line"] == "a 1.000000 0.000000 0.000000"
+
+
+def test_six_decimals_keep_sign_and_round_half_even(spark):
+    values = [-1e-7, 0.0078125, -0.0078125, 0.0234375, -0.0, 0.0, 1.5, -123456.5, 2.5e-6, 3.4e38, float("nan")]
+    df = spark.createDataFrame([([float(v) for v in values],)], "vec array<float>")
+    got = df.select(F.transform("vec", S.six_decimals).alias("x")).first()["x"]
+    import numpy as np
+    assert got[:9] == ["%.6f" % float(np.float32(v)) for v in values[:9]]
+    assert got[10] == "NaN"
+
+
+def test_analogy_flags_unknown_words_once(spark, small):
+    t = spark.createDataFrame([("a", "b", "c"), ("a", "b", "nope"), ("a", "b", "nope"), ("a", "b", "c")],
+                              "pos_a string, neg_a string, pos_b string")
+    res = S.analogy(t, small, 2).collect()
+    assert [r["word"] for r in res if r["is_oov"]] == [None]
+    assert len([r for r in res if not r["is_oov"]]) == 2
+
+
+def test_scan_and_blocks_agree(spark, small, monkeypatch):
+    q = small.select("word")
+    scan = sorted(map(tuple, S.most_similar(q, small, 3).collect()))
+    monkeypatch.setattr(S, "SMALL_QUERIES", 0)
+    assert scan == sorted(map(tuple, S.most_similar(q, small, 3).collect()))

@@ -2,6 +2,6 @@
 Spark DataFrame jobs: corpus -> vocabulary -> training examples -> model
 rounds -> vector queries."""
 
-from .config import Word2VecConfig  # noqa: F401
+from .config import EmbeddingConfig  # noqa: F401
 
 __version__ = "0.1.0"

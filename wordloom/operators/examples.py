@@ -11,14 +11,14 @@ noise table.  So an epoch adds no shuffle of the corpus.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rng import keyed_uniform
 from ..functions.training import keep_probability, linear_decay
 from ..session import fits_broadcast
 from . import noise as N
-from .rank import dense_index
+from .rank import dense_index, prefix_sum
 
 _VOCAB_ROW_BYTES = 64
 SENT_KEY = ["doc_id", "line_no"]
@@ -182,9 +182,14 @@ def lr_schedule(examples: DataFrame, seed: int, epoch: int, step0: int, total_st
                 lr0: float, lr_min: float) -> DataFrame:
     """(doc_id, line_no, p, step, lr) in the sequential order of the epoch:
     sentences by shuffle key, centres by position."""
-    keyed = examples.select(*SENT_KEY, "p", shuffle_key(seed, epoch).alias("_u"))
-    ranked = dense_index(keyed, ["_u", "doc_id", "line_no", "p"], "_r")
-    step = (F.col("_r") + F.lit(int(step0))).cast("bigint")
+    # Only sentences are ranked; a centre adds its place inside its sentence.
+    per = examples.groupBy(*SENT_KEY).agg(F.count(F.lit(1)).alias("_n")) \
+        .withColumn("_u", shuffle_key(seed, epoch))
+    ranked = prefix_sum(dense_index(per, ["_u", "doc_id", "line_no"], "_ord"), "_ord", "_n", "_ci", "_ce")
+    inside = F.row_number().over(Window.partitionBy(*SENT_KEY).orderBy("p")) - 1
+    ranked = examples.select(*SENT_KEY, "p", inside.alias("_in")).join(
+        ranked.select(*SENT_KEY, F.col("_ce").cast("bigint").alias("_ce")), SENT_KEY)
+    step = (F.col("_ce") + F.col("_in") + F.lit(int(step0))).cast("bigint")
     progress = step.cast("double") / F.lit(float(max(total_steps, 1)))
     return ranked.select(*SENT_KEY, "p", step.alias("step"),
                          linear_decay(lr0, lr_min, progress).alias("lr"))

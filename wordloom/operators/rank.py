@@ -16,23 +16,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import fits_broadcast, write_table
 
 _PART_SHIFT = 33                      # monotonically_increasing_id layout
 _ROW_MASK = (1 << _PART_SHIFT) - 1
 DEFAULT_BLOCK = 1 << 16               # rows per prefix-sum block
 
 
+def _small(offsets: DataFrame) -> DataFrame:
+    """Offsets hold one row per partition or block: counted, then broadcast."""
+    return F.broadcast(offsets) if fits_broadcast(offsets.count(), 32) else offsets
+
+
 def dense_index(df: DataFrame, order_cols, idx_col: str = "idx") -> DataFrame:
     """Add ``idx`` = 0-based position of each row in the total order
     ``order_cols`` (which must be a strict order: ties broken by the caller).
 
-    The sorted table is checkpointed so the row ids cannot change between the
-    size count and the join; the result keeps the sorted partitions.
+    The sorted table is written with its row ids, so they cannot change between
+    the size count and the join, and every consumer reads it from there.
     """
     cols = df.columns
     tagged = df.orderBy(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = cut_lineage(tagged)
+    tagged = write_table(tagged, "sorted")
     part = F.shiftright(F.col("_mid"), _PART_SHIFT)
     sizes = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: the running sum over it is tiny and exact (integers).
@@ -40,7 +45,7 @@ def dense_index(df: DataFrame, order_cols, idx_col: str = "idx") -> DataFrame:
         "_part",
         F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    joined = tagged.join(F.broadcast(offsets), part == F.col("_part"))
+    joined = tagged.join(_small(offsets), part == F.col("_part"))
     return joined.select(
         (F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_ROW_MASK))).cast("bigint").alias(idx_col),
         *cols)
@@ -68,7 +73,7 @@ def prefix_sum(df: DataFrame, idx_col: str, value_col: str,
         "_blk",
         F.coalesce(F.sum("_tot").over(Window.orderBy("_blk").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_boff"))
-    out = local.join(F.broadcast(offsets), "_blk")
+    out = local.join(_small(offsets), "_blk")
     return out.select(
         *[c for c in df.columns],
         (F.col("_boff") + F.col("_li")).alias(incl_col),

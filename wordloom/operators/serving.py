@@ -8,7 +8,8 @@ block exactly once in a cogroup, and a numpy matrix product scores the pair
 of blocks and keeps only its per-query top-k.  A final per-query top-k
 over (k x candidate blocks) rows finishes the job.  Groups are bounded by
 the block sizes, so no group or task ever holds a whole table, and no
-all-pairs table is ever written.
+all-pairs table is ever written.  A small query set (counted) goes to every
+task instead, and the candidates are scanned in place without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as VX
 
-QUERY_BLOCK_ROWS = 512
-CAND_BLOCK_ROWS = 16384
+# Near-square blocks: a query is copied V / 4096 times and a candidate Q / 4096.
+QUERY_BLOCK_ROWS = 4096
+CAND_BLOCK_ROWS = 4096
+SMALL_QUERIES = 256           # query rows sent to every task
 
 
 class UnknownWordError(KeyError):
@@ -136,22 +139,46 @@ def top_k_cosine(queries: DataFrame, emb: DataFrame, k: int, n_queries: int | No
     ``qname`` is a label carried through (no join back to the queries).
     """
     n_queries = n_queries if n_queries is not None else queries.count()
+    w = Window.partitionBy("qid", "qname").orderBy(F.desc("similarity"), F.asc("idx"))
+    q = queries.select("qid", "qname", F.col("qvec").cast("array<double>").alias("qvec"), "excl")
+    schema = "qid long, qname string, idx long, word string, similarity double"
+    if n_queries <= SMALL_QUERIES:
+        rows = q.collect()                       # at most SMALL_QUERIES rows
+        part = emb.select("idx", "word", "vec").mapInPandas(_scan_kernel(rows, k), schema)
+        return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     n_cands = n_cands if n_cands is not None else emb.count()
     qb = max(1, math.ceil(n_queries / QUERY_BLOCK_ROWS))
     cb = max(1, math.ceil(n_cands / CAND_BLOCK_ROWS))
-    q = (queries.select("qid", "qname", F.col("qvec").cast("array<double>").alias("qvec"), "excl")
-         .withColumn("qblk", _block_of("qid", qb))
+    q = (q.withColumn("qblk", _block_of("qid", qb))
          .withColumn("cblk", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
     c = (emb.select("idx", "word", "vec")
          .withColumn("cblk", _block_of("idx", cb))
          .withColumn("qblk", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
     part = (q.groupBy("qblk", "cblk")
             .cogroup(c.groupBy("qblk", "cblk"))
-            .applyInPandas(_topk_kernel(k), "qid long, qname string, idx long, word string, similarity double"))
-    w = Window.partitionBy("qid").orderBy(F.desc("similarity"), F.asc("idx"))
+            .applyInPandas(_topk_kernel(k), schema))
     return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _scan_kernel(rows, k: int):
+    """Best k of every query among a task's candidates, batch by batch."""
+    best_of = _topk_kernel(k)
+
+    def run(batches):
+        if not rows:
+            return
+        q = pd.DataFrame([r.asDict() for r in rows])
+        best = None
+        for c in batches:
+            got = best_of(None, q, c)
+            best = got if best is None else pd.concat([best, got], ignore_index=True)
+            best = best.sort_values(["similarity", "idx"], ascending=[False, True], kind="stable") \
+                .groupby(["qid", "qname"], sort=False).head(k)
+        if best is not None:
+            yield best
+    return run
+
+
 def most_similar(query_words: DataFrame, emb: DataFrame, k: int, word_col: str = "word") -> DataFrame:
     """(query, word, similarity, rank): k nearest words of every query word,
     the query itself excluded.  Unknown query words give no rows."""
@@ -163,36 +190,40 @@ def most_similar(query_words: DataFrame, emb: DataFrame, k: int, word_col: str =
     return res.select(F.col("qname").alias("query"), "word", "similarity", F.col("rank").cast("int"))
 
 
+TERMS = ["pos_a", "neg_a", "pos_b"]
+
+
 def analogy_queries(triples: DataFrame, emb: DataFrame, strict: bool = False) -> DataFrame:
-    """(pos_a, neg_a, pos_b) -> (qid, pos_a, neg_a, pos_b, qvec, excl) with
-    qvec = normalise(a - b + c).  Unknown words drop the triple (or raise)."""
-    def side(name):
-        return emb.select(F.col("word").alias(name), F.col("idx").alias(f"_{name}_i"),
-                          F.col("vec").alias(f"_{name}_v"))
-    t = triples.select("pos_a", "neg_a", "pos_b")
+    """(pos_a, neg_a, pos_b) -> (qid, pos_a, neg_a, pos_b, qvec, excl, is_oov) with
+    qvec = normalise(a - b + c), null if a word is unknown (``strict``: an error)."""
+    j = triples.select(*TERMS).dropDuplicates(TERMS)
+    for name in TERMS:
+        j = j.join(emb.select(F.col("word").alias(name), F.col("idx").alias(f"_{name}_i"),
+                              F.col("vec").alias(f"_{name}_v")), name, "left")
+    oov = F.col("_pos_a_i").isNull() | F.col("_neg_a_i").isNull() | F.col("_pos_b_i").isNull()
     if strict:
-        known = t.join(side("pos_a"), "pos_a", "left").join(side("neg_a"), "neg_a", "left") \
-                 .join(side("pos_b"), "pos_b", "left")
-        bad = known.where(F.col("_pos_a_i").isNull() | F.col("_neg_a_i").isNull()
-                          | F.col("_pos_b_i").isNull()).limit(1).collect()
+        bad = j.where(oov).limit(1).collect()
         if bad:
-            raise UnknownWordError(f"Unknown word in analogy {tuple(bad[0][:3])}")
-    j = t.join(side("pos_a"), "pos_a").join(side("neg_a"), "neg_a").join(side("pos_b"), "pos_b")
+            raise UnknownWordError(f"Unknown word in analogy {tuple(bad[0][t] for t in TERMS)}")
     qv = VX.normalize(VX.add(VX.sub("_pos_a_v", "_neg_a_v"), "_pos_b_v"))
     return j.select(
-        F.xxhash64("pos_a", "neg_a", "pos_b").alias("qid"), "pos_a", "neg_a", "pos_b",
-        qv.alias("qvec"), F.array("_pos_a_i", "_neg_a_i", "_pos_b_i").alias("excl"))
+        F.xxhash64(*TERMS).alias("qid"), *TERMS, F.when(~oov, qv).alias("qvec"),
+        F.array("_pos_a_i", "_neg_a_i", "_pos_b_i").alias("excl"), oov.alias("is_oov"))
 
 
 def analogy(triples: DataFrame, emb: DataFrame, k: int, strict: bool = False) -> DataFrame:
-    """(pos_a, neg_a, pos_b, word, similarity, rank): k best answers of
-    a - b + c, the three terms excluded."""
-    qs = analogy_queries(triples, emb, strict).dropDuplicates(["qid"])
-    qs = qs.withColumn("qname", F.to_json(F.array("pos_a", "neg_a", "pos_b")))
-    res = top_k_cosine(qs.select("qid", "qname", "qvec", "excl"), emb, k)
+    """(pos_a, neg_a, pos_b, word, similarity, rank, is_oov): k best answers of
+    a - b + c, the three terms excluded.  A triple with an unknown word gives one
+    row with is_oov and no answer."""
+    qs = analogy_queries(triples, emb, strict).withColumn("qname", F.to_json(F.array(*TERMS)))
+    res = top_k_cosine(qs.where(~F.col("is_oov")).select("qid", "qname", "qvec", "excl"), emb, k)
     terms = F.from_json("qname", "array<string>")
-    return res.select(terms[0].alias("pos_a"), terms[1].alias("neg_a"), terms[2].alias("pos_b"),
-                      "word", "similarity", F.col("rank").cast("int"))
+    found = res.select(*[terms[i].alias(t) for i, t in enumerate(TERMS)], "word", "similarity",
+                       F.col("rank").cast("int").alias("rank"), F.lit(False).alias("is_oov"))
+    unknown = qs.where("is_oov").select(
+        *TERMS, F.lit(None).cast("string").alias("word"), F.lit(None).cast("double").alias("similarity"),
+        F.lit(None).cast("int").alias("rank"), F.lit(True).alias("is_oov"))
+    return found.unionByName(unknown)
 
 
 def vector_means(emb: DataFrame, dim: int) -> DataFrame:
@@ -208,14 +239,21 @@ def centered_vectors(emb: DataFrame, dim: int) -> DataFrame:
     return emb.select("idx", "word", VX.sub("vec", VX.literal_vector(mean)).alias("vec"))
 
 
+def six_decimals(x: F.Column) -> F.Column:
+    """``%.6f`` with ties to even and the sign of a negative zero."""
+    exact = F.abs(x).cast("double").cast("decimal(38,20)")
+    digits = F.bround(exact, 6).cast("decimal(38,6)").cast("string")
+    sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    return F.coalesce(F.concat(sign, digits), x.cast("string"))
+
+
 def text_vectors(emb: DataFrame, dim: int) -> DataFrame:
     """Word2vec text format as (line_no, line): header 'V dim' at line 0,
     then 'word x1 ... xd' with 6 decimals in id order at line idx + 1."""
     header = emb.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(0).cast("bigint").alias("line_no"),
         F.concat_ws(" ", F.col("n").cast("string"), F.lit(str(dim))).alias("line"))
-    fmt = F.transform("vec", lambda x: F.format_string(
-        "%.6f", F.floor(x.cast("double") * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)))
+    fmt = F.transform("vec", six_decimals)
     body = emb.select((F.col("idx") + 1).cast("bigint").alias("line_no"),
                       F.concat_ws(" ", F.col("word"), F.array_join(fmt, " ")).alias("line"))
     return header.unionByName(body)

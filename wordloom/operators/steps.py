@@ -1,14 +1,20 @@
 """Batch gradient steps on DataFrames (skip-gram and CBOW with negatives).
 
 The model is a table ``weights(idx, w_in ARRAY<FLOAT>, w_out ARRAY<FLOAT>)``.
-A step joins the examples to the weights, scores every (input, target) pair,
-sums gradients per row with one SUM per dimension (partial aggregation on
-the map side, so a hot word is pre-summed before the shuffle), and joins the
-sums back.  Every target sees the model as it was at the start of the batch;
-with small batches this approaches the reference's sequential updates.
-
-The weights side is broadcast while V * dim stays under the size gate;
-beyond it the joins shuffle on the word id, with AQE splitting hot ids.
+Every target sees the model as it was at the start of the batch; with small
+batches this approaches the reference's sequential updates.
+
+Skip-gram.  Equal (centre, target, label) have the same score and gradient, so they
+are counted first (combined map-side) and each distinct pair is scored once; only
+scalars are kept.  Each gradient side then joins the *other* side's vectors and
+sums on its own key: the join and the sum never share a key, so AQE can split a
+hot join key, and hot sums are combined before their shuffle.
+
+CBOW.  Context means and scored targets are written once and feed both sides in
+the same way.
+
+The weights are broadcast while V * dim stays under the size gate; beyond it the
+joins shuffle on the word id.
 """
 
 from __future__ import annotations
@@ -21,7 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as VX
 from ..functions.rng import keyed_uniform
 from ..functions.training import negative_loss, positive_loss, sigmoid
-from ..session import fits_broadcast
+from ..session import fits_broadcast, write_table
 
 EX_KEY = ["doc_id", "line_no", "p"]
 
@@ -79,15 +85,30 @@ def _score(df: DataFrame, in_vec: str, out_vec: str, dim: int) -> DataFrame:
                         .otherwise(negative_loss(F.col("score")))))
 
 
+def _side(weights: DataFrame, key: str, matrix: str, vec: str, vocab_size: int, dim: int) -> DataFrame:
+    return _maybe_broadcast(weights.select(F.col("idx").alias(key), F.col(matrix).alias(vec)), vocab_size, dim)
+
+
 def sgns_scored(examples: DataFrame, weights: DataFrame, vocab_size: int, dim: int) -> DataFrame:
-    """Targets with score, g = sigmoid(score) - label, capped log loss, and
-    the two vectors used (v_c = w_in[center], v_t = w_out[target])."""
-    t = sgns_targets(examples)
-    win = _maybe_broadcast(weights.select(F.col("idx").alias("center"), F.col("w_in").alias("v_c")),
-                           vocab_size, dim)
-    wout = _maybe_broadcast(weights.select(F.col("idx").alias("target"), F.col("w_out").alias("v_t")),
-                            vocab_size, dim)
-    return _score(t.join(win, "center").join(wout, "target"), "v_c", "v_t", dim)
+    """Targets of every example with score, g = sigmoid(score) - label and
+    capped log loss."""
+    t = sgns_targets(examples).join(_side(weights, "center", "w_in", "v_c", vocab_size, dim), "center") \
+        .join(_side(weights, "target", "w_out", "v_t", vocab_size, dim), "target")
+    return _score(t, "v_c", "v_t", dim).drop("v_c", "v_t")
+
+
+def sgns_pairs(examples: DataFrame, weights: DataFrame, vocab_size: int, dim: int) -> DataFrame:
+    """(center, target, label, n, score, g, loss): each distinct pair once, with
+    the number of times the batch holds it."""
+    t = sgns_targets(examples).groupBy("center", "target", "label").agg(F.count(F.lit(1)).alias("n"))
+    t = t.join(_side(weights, "center", "w_in", "v_c", vocab_size, dim), "center") \
+        .join(_side(weights, "target", "w_out", "v_t", vocab_size, dim), "target")
+    return _score(t, "v_c", "v_t", dim).drop("v_c", "v_t")
+
+
+def pair_loss(pairs: DataFrame) -> DataFrame:
+    """(loss): the batch's summed loss from counted pairs."""
+    return pairs.agg(F.coalesce(F.sum(F.col("n") * F.col("loss")), F.lit(0.0)).alias("loss"))
 
 
 def example_loss(scored: DataFrame) -> DataFrame:
@@ -96,27 +117,38 @@ def example_loss(scored: DataFrame) -> DataFrame:
                                        F.count(F.lit(1)).alias("n_targets"))
 
 
-def epoch_loss(ex_loss: DataFrame) -> DataFrame:
+def epoch_loss(total: DataFrame, examples: DataFrame) -> DataFrame:
     """(loss_sum, centers, avg_loss); avg is 0 when there are no centres."""
-    a = ex_loss.agg(F.coalesce(F.sum("loss"), F.lit(0.0)).alias("loss_sum"),
-                    F.count(F.lit(1)).alias("centers"))
+    parts = total.select(F.col("loss"), F.lit(0).cast("long").alias("n")).union(
+        examples.agg(F.lit(0.0), F.count(F.lit(1))))
+    a = parts.agg(F.sum("loss").alias("loss_sum"), F.sum("n").alias("centers"))
     return a.select("loss_sum", "centers",
                     F.when(F.col("centers") == 0, F.lit(0.0))
                     .otherwise(F.col("loss_sum") / F.col("centers")).alias("avg_loss"))
 
 
-def _grad_sum(df: DataFrame, key: str, coef: F.Column, vec: str, dim: int, matrix: str) -> DataFrame:
+def _grad_sum(df: DataFrame, key: str, coef: F.Column, vec: str, dim: int, matrix: str,
+              updates: F.Column) -> DataFrame:
     agg = df.groupBy(F.col(key).alias("idx")).agg(
-        *[F.sum(coef * F.col(vec)[j].cast("double")).alias(f"_g{j}") for j in range(dim)])
-    return agg.select(F.lit(matrix).alias("matrix"), "idx", VX.assemble("_g", dim).alias("grad"))
+        *[F.sum(coef * F.col(vec)[j].cast("double")).alias(f"_g{j}") for j in range(dim)],
+        F.sum(updates).alias("n"))
+    return agg.select(F.lit(matrix).alias("matrix"), "idx", VX.assemble("_g", dim).alias("grad"), "n")
+
+
+def sgns_pair_gradients(pairs: DataFrame, weights: DataFrame, vocab_size: int, dim: int) -> DataFrame:
+    """(matrix, idx, grad, n): d loss / d w_in[center] = sum g * w_out[target],
+    d loss / d w_out[target] = sum g * w_in[center]; n counts the updates."""
+    coef = F.col("n") * F.col("g")
+    g_in = _grad_sum(pairs.join(_side(weights, "target", "w_out", "v_t", vocab_size, dim), "target"),
+                     "center", coef, "v_t", dim, "in", F.when(F.col("label") == 1, F.col("n")).otherwise(0))
+    g_out = _grad_sum(pairs.join(_side(weights, "center", "w_in", "v_c", vocab_size, dim), "center"),
+                      "target", coef, "v_c", dim, "out", F.col("n"))
+    return g_in.unionByName(g_out)
 
 
-def sgns_gradients(scored: DataFrame, dim: int) -> DataFrame:
-    """(matrix, idx, grad): d loss / d w_in[center] = sum g * w_out[target],
-    d loss / d w_out[target] = sum g * w_in[center]."""
-    g_in = _grad_sum(scored, "center", F.col("g"), "v_t", dim, "in")
-    g_out = _grad_sum(scored, "target", F.col("g"), "v_c", dim, "out")
-    return g_in.unionByName(g_out)
+def sgns_gradients(examples: DataFrame, weights: DataFrame, vocab_size: int, dim: int) -> DataFrame:
+    pairs = write_table(sgns_pairs(examples, weights, vocab_size, dim), "pairs")
+    return sgns_pair_gradients(pairs, weights, vocab_size, dim)
 
 
 def apply_gradients(weights: DataFrame, grads: DataFrame, lr: float) -> DataFrame:
@@ -133,8 +165,7 @@ def apply_gradients(weights: DataFrame, grads: DataFrame, lr: float) -> DataFram
 
 
 def sgns_step(examples: DataFrame, weights: DataFrame, vocab_size: int, dim: int, lr: float) -> DataFrame:
-    scored = sgns_scored(examples, weights, vocab_size, dim)
-    return apply_gradients(weights, sgns_gradients(scored, dim), lr)
+    return apply_gradients(weights, sgns_gradients(examples, weights, vocab_size, dim), lr)
 
 
 # ------------------------------------------------------------------ CBOW
@@ -151,30 +182,38 @@ def cbow_context_mean(examples: DataFrame, weights: DataFrame, vocab_size: int,
     return agg.select(*EX_KEY, VX.assemble("_h", dim).alias("h"), "n_ctx")
 
 
-def cbow_scored(examples: DataFrame, weights: DataFrame, vocab_size: int, dim: int) -> DataFrame:
+def cbow_scored(examples: DataFrame, means: DataFrame, weights: DataFrame, vocab_size: int, dim: int) -> DataFrame:
     """Targets of CBOW (centre label 1, negatives != centre label 0), scored
-    against the context mean h."""
-    h = cbow_context_mean(examples, weights, vocab_size, dim)
+    against the context means ``h``."""
     t = _with_targets(examples.select(*EX_KEY, "center", "negatives"), "center") \
         .select(*EX_KEY, "center", "target", "label")
-    wout = _maybe_broadcast(weights.select(F.col("idx").alias("target"), F.col("w_out").alias("v_t")),
-                            vocab_size, dim)
-    return _score(t.join(h, EX_KEY).join(wout, "target"), "h", "v_t", dim)
-
-
-def cbow_gradients(examples: DataFrame, scored: DataFrame, dim: int) -> DataFrame:
-    """w_out[target] gets g * h; every context occurrence gets
-    (sum_t g * w_out[t]) / n_ctx on its w_in row."""
-    g_out = _grad_sum(scored, "target", F.col("g"), "h", dim, "out")
-    gh = scored.groupBy(*EX_KEY).agg(
-        F.first("n_ctx").alias("n_ctx"),
+    t = t.join(means.select(*EX_KEY, "h"), EX_KEY).join(
+        _side(weights, "target", "w_out", "v_t", vocab_size, dim), "target")
+    return _score(t, "h", "v_t", dim).drop("h", "v_t")
+
+
+def cbow_gradients(examples: DataFrame, means: DataFrame, scored: DataFrame, weights: DataFrame,
+                   vocab_size: int, dim: int) -> DataFrame:
+    """(matrix, idx, grad, n): w_out[target] gets g * h; every context occurrence
+    gets (sum_t g * w_out[t]) / n_ctx on its w_in row."""
+    one = F.lit(1)
+    slim = scored.select(*EX_KEY, "target", "g")
+    g_out = _grad_sum(slim.join(means.select(*EX_KEY, "h"), EX_KEY), "target", F.col("g"), "h", dim, "out", one)
+    gh = slim.join(_side(weights, "target", "w_out", "v_t", vocab_size, dim), "target").groupBy(*EX_KEY).agg(
         *[F.sum(F.col("g") * F.col("v_t")[j].cast("double")).alias(f"_s{j}") for j in range(dim)])
-    gh = gh.select(*EX_KEY, "n_ctx", VX.assemble("_s", dim).alias("gh"))
-    per_ctx = examples.select(*EX_KEY, F.explode("context").alias("ctx")).join(gh, EX_KEY)
-    g_in = _grad_sum(per_ctx, "ctx", F.lit(1.0) / F.col("n_ctx").cast("double"), "gh", dim, "in")
+    gh = gh.select(*EX_KEY, VX.assemble("_s", dim).alias("gh"))
+    per_ctx = examples.select(*EX_KEY, F.size("context").alias("n_ctx"), F.explode("context").alias("ctx")) \
+        .join(gh, EX_KEY)
+    g_in = _grad_sum(per_ctx, "ctx", F.lit(1.0) / F.col("n_ctx").cast("double"), "gh", dim, "in", one)
     return g_in.unionByName(g_out)
 
 
+def cbow_parts(examples: DataFrame, weights: DataFrame, vocab_size: int, dim: int) -> tuple[DataFrame, DataFrame]:
+    """Context means and scored targets of a batch, each written once."""
+    means = write_table(cbow_context_mean(examples, weights, vocab_size, dim), "context-means")
+    return means, write_table(cbow_scored(examples, means, weights, vocab_size, dim), "scored")
+
+
 def cbow_step(examples: DataFrame, weights: DataFrame, vocab_size: int, dim: int, lr: float) -> DataFrame:
-    scored = cbow_scored(examples, weights, vocab_size, dim)
-    return apply_gradients(weights, cbow_gradients(examples, scored, dim), lr)
+    means, scored = cbow_parts(examples, weights, vocab_size, dim)
+    return apply_gradients(weights, cbow_gradients(examples, means, scored, weights, vocab_size, dim), lr)

@@ -315,7 +315,7 @@ def q_analogy(spark, sf):
                          (F.col("idx") + 1).cast("string").alias("neg_a"),
                          (F.col("idx") + 2).cast("string").alias("pos_b"))
     res = S.analogy(triples, emb, 5)
-    return res.select("pos_a", "neg_a", "pos_b", "word", r6("similarity").alias("similarity"), "rank")
+    return res.select("pos_a", "neg_a", "pos_b", "word", r6("similarity").alias("similarity"), "rank", "is_oov")
 
 
 def q_neighbor_sample(spark, sf):
@@ -359,7 +359,7 @@ QUERIES.update({
 # ---------------------------------------------------------------- slice 5
 
 from ..operators import steps as ST  # noqa: E402
-from ..session import cut_lineage  # noqa: E402
+from ..session import write_table  # noqa: E402
 
 
 def r5(c) -> F.Column:
@@ -376,8 +376,8 @@ def _step_inputs(spark, sf):
     ex = E.centre_examples(s, CHECK_WINDOW, CHECK_SEED, CHECK_EPOCH)
     full = E.with_negatives(ex, CHECK_NEGATIVES, CHECK_SEED, CHECK_EPOCH, buckets, nb, stats.vocab_size)
     # Examples and weights are read several times by a step: materialise once.
-    full = cut_lineage(full)
-    w = cut_lineage(ST.init_weights(vocab, CHECK_DIM, CHECK_SEED, out_init="hash"))
+    full = write_table(full, "examples")
+    w = write_table(ST.init_weights(vocab, CHECK_DIM, CHECK_SEED, out_init="hash"), "weights")
     return stats, full, w
 
 
@@ -406,7 +406,7 @@ def q_sgns_pair_loss(spark, sf):
 
 def q_sgns_gradient(spark, sf):
     stats, ex, w = _step_inputs(spark, sf)
-    return _grads_long(ST.sgns_gradients(ST.sgns_scored(ex, w, stats.vocab_size, CHECK_DIM), CHECK_DIM))
+    return _grads_long(ST.sgns_gradients(ex, w, stats.vocab_size, CHECK_DIM))
 
 
 def q_sgns_step(spark, sf):
@@ -417,8 +417,8 @@ def q_sgns_step(spark, sf):
 def q_epoch_loss(spark, sf):
     """Average skip-gram loss per centre over the epoch-0 examples."""
     stats, ex, w = _step_inputs(spark, sf)
-    el = ST.epoch_loss(ST.example_loss(ST.sgns_scored(ex, w, stats.vocab_size, CHECK_DIM)))
-    return el.select("centers", r5("avg_loss").alias("avg_loss"))
+    total = ST.pair_loss(ST.sgns_pairs(ex, w, stats.vocab_size, CHECK_DIM))
+    return ST.epoch_loss(total, ex).select("centers", r5("avg_loss").alias("avg_loss"))
 
 
 def q_cbow_context_mean(spark, sf):
@@ -430,14 +430,15 @@ def q_cbow_context_mean(spark, sf):
 
 def q_cbow_loss(spark, sf):
     stats, ex, w = _step_inputs(spark, sf)
-    el = ST.example_loss(ST.cbow_scored(ex, w, stats.vocab_size, CHECK_DIM))
+    means = ST.cbow_context_mean(ex, w, stats.vocab_size, CHECK_DIM)
+    el = ST.example_loss(ST.cbow_scored(ex, means, w, stats.vocab_size, CHECK_DIM))
     return el.select("doc_id", "line_no", "p", r6("loss").alias("loss"), "n_targets")
 
 
 def q_cbow_gradient(spark, sf):
     stats, ex, w = _step_inputs(spark, sf)
-    sc = ST.cbow_scored(ex, w, stats.vocab_size, CHECK_DIM)
-    return _grads_long(ST.cbow_gradients(ex, sc, CHECK_DIM))
+    means, scored = ST.cbow_parts(ex, w, stats.vocab_size, CHECK_DIM)
+    return _grads_long(ST.cbow_gradients(ex, means, scored, w, stats.vocab_size, CHECK_DIM))
 
 
 def q_cbow_step(spark, sf):
@@ -460,52 +461,82 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- slice 6-7
 
-from ..config import Word2VecConfig  # noqa: E402
+from ..config import EmbeddingConfig  # noqa: E402
 from ..operators import pca as PC  # noqa: E402
 from ..plans import trainer as TR  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sources import model_store as MS  # noqa: E402
 
-# Training parameters of the registered training queries (whole `documents`).
-TRAIN_CFG = Word2VecConfig(embedding_dim=16, window_size=5, negative_samples=5, epochs=2,
-                           min_count=CHECK_MIN_COUNT, seed=CHECK_SEED, rounds_per_epoch=2,
-                           kernel_batch=16)
+# Training parameters of the registered training queries (whole `documents`):
+# batch steps over all examples, which SQL can follow round by round.
+TRAIN_EPOCHS = 2
+TRAIN_CFG = EmbeddingConfig(embedding_dim=CHECK_DIM, window_size=CHECK_WINDOW, negative_samples=CHECK_NEGATIVES,
+                            epochs=TRAIN_EPOCHS, min_count=CHECK_MIN_COUNT, seed=CHECK_SEED,
+                            learning_rate=CHECK_LR, algorithm="batch", rounds_per_epoch=1)
+
+
+def r3(c) -> F.Column:
+    """Half-up to 3 decimals, for values that went through several float steps."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c.cast("double") * F.lit(1e3) + F.lit(0.5)).cast("double") / F.lit(1e3)
 
 
 def _train(spark, sf, model="skipgram"):
     return TR.train(spark, C.corpus_lines(spark, sf), TRAIN_CFG.with_(model=model))
 
 
+def _vectors_long(emb):
+    return emb.select("idx", "word", "cnt", F.posexplode("vec").alias("j", "val")).select(
+        "idx", "word", "cnt", F.col("j").cast("int").alias("j"), r3("val").alias("val"))
+
+
 def q_train_skipgram(spark, sf):
-    return _train(spark, sf).embeddings()
+    """Input vectors after two epochs of batch steps."""
+    return _vectors_long(_train(spark, sf).embeddings())
 
 
 def q_train_cbow(spark, sf):
-    return _train(spark, sf, "cbow").embeddings()
+    return _vectors_long(_train(spark, sf, "cbow").embeddings())
+
+
+def q_train_local(spark, sf):
+    """Epoch history of local-SGD rounds (no SQL form: row check and pytest)."""
+    cfg = TRAIN_CFG.with_(algorithm="local", embedding_dim=16, rounds_per_epoch=2, kernel_batch=16)
+    return TR.train(spark, C.corpus_lines(spark, sf), cfg).history
 
 
 def q_training_history(spark, sf):
-    return _train(spark, sf).history
+    """Everything but the wall time."""
+    return _train(spark, sf).history.select(
+        "epoch", r3("avg_loss").alias("avg_loss"), r6("learning_rate").alias("learning_rate"),
+        "pairs_processed", r6("lr_last").alias("lr_last"), "rounds")
 
 
 def q_model_roundtrip(spark, sf):
     m = _train(spark, sf)
     path = scratch_path(spark, "model")
     MS.save_model(m, path)
-    return MS.load_model(spark, path).embeddings()
+    return _vectors_long(MS.load_model(spark, path).embeddings())
 
 
 def q_loss_curve_points(spark, sf):
-    return PC.loss_curve_points(_train(spark, sf).history)
+    return PC.loss_curve_points(_train(spark, sf).history).select(
+        "epoch", *[r3(c).alias(c) for c in ("avg_loss", "y_min", "y_max")])
 
 
 def q_pca_2d(spark, sf):
     """PCA coordinates of every word of the `embeddings` table."""
-    return PC.pca_2d(_emb(spark, sf))
+    return PC.pca_2d(_emb(spark, sf)).select("idx", "word", r5("pc1").alias("pc1"), r5("pc2").alias("pc2"))
+
+
+def q_pca_top50(spark, sf):
+    """The scatter data of the 50 most frequent words (lowest ids)."""
+    return PC.pca_2d(_emb(spark, sf), 50).select("idx", "word", r5("pc1").alias("pc1"), r5("pc2").alias("pc2"))
 
 
 def q_pca_ranges(spark, sf):
-    return PC.pca_ranges(PC.pca_2d(_emb(spark, sf)))
+    return PC.pca_ranges(PC.pca_2d(_emb(spark, sf))).select(
+        *[r5(c).alias(c) for c in ("x_min", "x_max", "y_min", "y_max")])
 
 
 QUERIES.update({
@@ -514,7 +545,9 @@ QUERIES.update({
     "training_history": q_training_history,
     "model_roundtrip": q_model_roundtrip,
     "loss_curve_points": q_loss_curve_points,
+    "train_local": q_train_local,
     "pca_2d": q_pca_2d,
+    "pca_top50": q_pca_top50,
     "pca_ranges": q_pca_ranges,
 })
 

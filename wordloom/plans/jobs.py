@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import Word2VecConfig
+from ..config import EmbeddingConfig
 from ..operators import pca as PC
 from ..operators import serving as S
 from ..sources import corpus as C
@@ -33,9 +33,9 @@ def corpus_from(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return C.text_file_lines(spark, source)
 
 
-def train_job(spark: SparkSession, source, out_dir: str, algorithm: str = "local", **cfg) -> dict:
-    config = Word2VecConfig(**cfg)
-    model = train(spark, corpus_from(spark, source), config, algorithm)
+def train_job(spark: SparkSession, source, out_dir: str, **cfg) -> dict:
+    config = EmbeddingConfig(**cfg)
+    model = train(spark, corpus_from(spark, source), config)
     MS.save_model(model, f"{out_dir}/model")
     MS.save_history_json(model.history, f"{out_dir}/training_history")
     emb = model.embeddings()

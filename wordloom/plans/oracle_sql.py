@@ -264,7 +264,12 @@ tr AS (SELECT a.word AS pos_a, b.word AS neg_a, c.word AS pos_b,
               a.idx AS e1, b.idx AS e2, c.idx AS e3
        FROM emb a JOIN emb b ON b.idx = a.idx + 1 JOIN emb c ON c.idx = a.idx + 2),""" +
         _topk_sql("tr", 5, "q.pos_a, q.neg_a, q.pos_b") + f"""
-SELECT pos_a, neg_a, pos_b, word, {r6('sim')} AS similarity, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 5""",
+SELECT pos_a, neg_a, pos_b, word, {r6('sim')} AS similarity, CAST(rank AS INTEGER) AS rank, false AS is_oov
+FROM rk WHERE rank <= 5
+UNION ALL
+SELECT CAST(a.idx AS VARCHAR), CAST(a.idx + 1 AS VARCHAR), CAST(a.idx + 2 AS VARCHAR), NULL, NULL, NULL, true
+FROM emb a LEFT JOIN emb b ON b.idx = a.idx + 1 LEFT JOIN emb c ON c.idx = a.idx + 2
+WHERE b.idx IS NULL OR c.idx IS NULL""",
     "neighbor_sample": with_(EMB) + """,
 qs AS (SELECT word AS query, vec AS qvec, idx AS e1, idx AS e2, idx AS e3 FROM emb ORDER BY word LIMIT 5),""" +
         _topk_sql("qs", 5, "q.query") + f"""
@@ -280,7 +285,7 @@ SELECT idx, CAST(lf.j AS INTEGER) AS j, {r6('x - m')} AS val FROM lf JOIN mn USI
 SELECT CAST(0 AS BIGINT) AS line_no, CAST(count(*) AS VARCHAR) || ' ' || '64' AS line FROM emb
 UNION ALL
 SELECT CAST(idx + 1 AS BIGINT) AS line_no,
-       word || ' ' || array_to_string(list_transform(vec, lambda x: printf('%.6f', {r6('x')})), ' ') AS line
+       word || ' ' || array_to_string(list_transform(vec, lambda x: printf('%.6f', x)), ' ') AS line
 FROM emb""",
 })
 
@@ -402,3 +407,118 @@ SELECT d.idx,
 FROM dist d LEFT JOIN dist q ON q.idx = d.idx - 1"""
 
 ORACLES["conversation_lines"] = with_(CONV_LINES) + " SELECT doc_id, line_no, line FROM conv_lines"
+
+
+# ------------------------------------------------ slice 6-7: training and PCA
+
+import re  # noqa: E402
+
+CAP, EPOCHS = Q.TRAIN_CFG.merge_cap, Q.TRAIN_EPOCHS
+R3 = "(CAST(floor(CAST({x} AS DOUBLE) * 1000.0 + 0.5) AS DOUBLE) / 1000.0)"
+
+# Updates per row of a matrix in one round.
+SG_COUNTS = """,
+gn AS (SELECT 'in' AS matrix, center AS idx, sum(label) AS n FROM sc2 GROUP BY center
+       UNION ALL SELECT 'out', target, count(*) FROM sc2 GROUP BY target)"""
+CB_COUNTS = """,
+gn AS (SELECT 'in' AS matrix, context AS idx, count(*) AS n FROM pairs GROUP BY context
+       UNION ALL SELECT 'out', target, count(*) FROM sc2 GROUP BY target)"""
+
+
+def r3(x: str) -> str:
+    return R3.format(x=x)
+
+
+def epoch_ctes(cbow: bool, e: int) -> str:
+    """One batch round: this epoch's examples, scores against the weights left by
+    the round before, capped gradient sums, new weights."""
+    text = "," + SUB + "," + WINS + "," + NEGS
+    text = text.replace(f"{SEED}, {EPOCH},", f"{SEED}, {e},")
+    model = (CB + CB_GRADS + CB_COUNTS) if cbow else (SG + SG_GRADS + SG_COUNTS)
+    text += re.sub(r"\bw\b", f"w_{e}", model)
+    names = "sub|ren|sent|win|pairs|draws|negs|tg|sc|sc2|gr|gn|hl|hv|ghl"
+    text = re.sub(rf"(?<!')\b({names})\b(?!')", rf"\1_{e}", text)
+    done = " + ".join(["0", *(f"(SELECT count(*) FROM win_{i})" for i in range(e))])
+    rate = (f"greatest({LRMIN!r}, {LR!r} - {(LR - LRMIN)!r} * (CAST({done} AS DOUBLE)"
+            f" / CAST((SELECT estimate FROM est) * {EPOCHS} AS DOUBLE)))")
+    new = [f"""CASE WHEN g{m}.grad IS NULL THEN l.w{m[0]}
+                ELSE CAST(l.w{m[0]} - lr * (g{m}.grad * least(1.0, {CAP!r} / greatest(n{m}.n, 1))) AS FLOAT) END AS w{m[0]}"""
+           for m in ("in", "out")]
+    joins = " ".join(f"""LEFT JOIN gr_{e} g{m} ON g{m}.matrix = '{m}' AND g{m}.idx = l.idx AND g{m}.j = l.j
+        LEFT JOIN gn_{e} n{m} ON n{m}.matrix = '{m}' AND n{m}.idx = l.idx""" for m in ("in", "out"))
+    return text + f""",
+rate_{e} AS (SELECT {rate} AS lr),
+wl_{e + 1} AS MATERIALIZED (SELECT l.idx, l.j, {new[0]}, {new[1]} FROM wl_{e} l {joins}, rate_{e}),
+w_{e + 1} AS MATERIALIZED (SELECT idx, list(CAST(wi AS DOUBLE) ORDER BY j) AS w_in,
+  list(CAST(wo AS DOUBLE) ORDER BY j) AS w_out FROM wl_{e + 1} GROUP BY idx)"""
+
+
+def trained(cbow: bool) -> str:
+    start = weights_cte(False).replace("wl AS (", "wl_0 AS MATERIALIZED (").replace("w AS M", "w_0 AS M") \
+        .replace("FROM wl ", "FROM wl_0 ")
+    return (BASE3 + "," + EST + "," + dist_cte() + "," + start
+            + "".join(epoch_ctes(cbow, e) for e in range(EPOCHS)))
+
+
+def vectors_of(cbow: bool) -> str:
+    return trained(cbow) + f"""
+SELECT v.idx, v.word, v.cnt, l.j, {r3('l.wi')} AS val FROM vocab v JOIN wl_{EPOCHS} l ON l.idx = v.idx"""
+
+
+HISTORY = ",hist AS (" + " UNION ALL ".join(
+    f"""SELECT CAST({e + 1} AS INTEGER) AS epoch, sum(loss) / (SELECT count(*) FROM win_{e}) AS avg_loss,
+  {max(LR - (LR - LRMIN) * (e + 1) / EPOCHS, LRMIN)!r} AS learning_rate,
+  (SELECT count(*) FROM win_{e}) AS pairs_processed, (SELECT lr FROM rate_{e}) AS lr_last FROM sc2_{e}"""
+    for e in range(EPOCHS)) + ")"
+
+PCA = """WITH RECURSIVE
+emb AS (SELECT CAST(vec_id AS BIGINT) AS idx, CAST(vec_id AS VARCHAR) AS word,
+               CAST(embedding AS DOUBLE[]) AS vec FROM embeddings {some}),
+lf AS (SELECT idx, word, j, vec[j] AS x FROM (SELECT *, unnest(generate_series(1, len(vec))) AS j FROM emb)),
+mn AS (SELECT j, avg(x) AS m FROM lf GROUP BY j),
+c AS MATERIALIZED (SELECT idx, word, lf.j, x - m AS x FROM lf JOIN mn ON lf.j = mn.j),
+cv AS MATERIALIZED (SELECT idx, word, list(x ORDER BY j) AS v, row_number() OVER (ORDER BY idx) AS r FROM c GROUP BY idx, word),
+g AS (SELECT a.j AS i, b.j AS j, sum(a.x * b.x) AS g FROM c a JOIN c b ON a.idx = b.idx GROUP BY a.j, b.j),
+gm AS MATERIALIZED (SELECT list(row ORDER BY i) AS m FROM (SELECT i, list(g ORDER BY j) AS row FROM g GROUP BY i)),
+p1 AS (SELECT 0 AS k, {start} AS v FROM (SELECT v AS u FROM cv WHERE r = 1)
+       UNION ALL SELECT k + 1, {start} FROM (
+         SELECT k, list_transform(m, lambda row: list_dot_product(row, v)) AS u FROM p1, gm WHERE k < 30)),
+e1 AS MATERIALIZED (SELECT v AS p FROM p1 WHERE k = 30),
+gp AS (SELECT p, list_transform(m, lambda row: list_dot_product(row, p)) AS q, m FROM e1, gm),
+g2 AS MATERIALIZED (SELECT list_transform(range(1, len(p) + 1), lambda i: list_transform(range(1, len(p) + 1),
+         lambda j: m[i][j] - p[i] * q[j] - q[i] * p[j] + s * p[i] * p[j])) AS m
+       FROM (SELECT *, list_dot_product(p, q) AS s FROM gp)),
+p2 AS (SELECT 0 AS k, {start} AS v FROM (
+         SELECT list_transform(list_zip(v, p), lambda t: t[1] - t[2] * d) AS u
+         FROM (SELECT v, p, list_dot_product(v, p) AS d FROM cv, e1 WHERE r = 2))
+       UNION ALL SELECT k + 1, {start} FROM (
+         SELECT k, list_transform(m, lambda row: list_dot_product(row, v)) AS u FROM p2, g2 WHERE k < 30)),
+xy AS (SELECT idx, word, list_dot_product(cv.v, e1.p) AS pc1, list_dot_product(cv.v, b.v) AS pc2
+       FROM cv, e1, (SELECT v FROM p2 WHERE k = 30) b)"""
+
+
+def pca(some: str = "") -> str:
+    unit = ("CASE WHEN sqrt(list_dot_product(u, u)) > 1e-10"
+            " THEN list_transform(u, lambda x: x / sqrt(list_dot_product(u, u))) ELSE u END")
+    return PCA.format(some=some, start=unit)
+
+
+_XY = f" SELECT idx, word, {r5('pc1')} AS pc1, {r5('pc2')} AS pc2 FROM xy"
+_PAD = "greatest(max({c}) - min({c}), 0.1) * 0.15"
+
+ORACLES.update({
+    "train_skipgram": vectors_of(False),
+    "train_cbow": vectors_of(True),
+    "model_roundtrip": vectors_of(False),
+    "training_history": trained(False) + HISTORY + f"""
+SELECT epoch, {r3('avg_loss')} AS avg_loss, {r6('CAST(learning_rate AS FLOAT)')} AS learning_rate,
+       pairs_processed, {r6('lr_last')} AS lr_last, CAST(1 AS INTEGER) AS rounds FROM hist""",
+    "loss_curve_points": trained(False) + HISTORY + f""",
+pad AS (SELECT min(avg_loss) AS lo, max(avg_loss) AS hi, greatest(max(avg_loss) - min(avg_loss), 0.1) * 0.1 AS pad FROM hist)
+SELECT epoch, {r3('avg_loss')} AS avg_loss, {r3('lo - pad')} AS y_min, {r3('hi + pad')} AS y_max FROM hist, pad""",
+    "pca_2d": pca() + _XY,
+    "pca_top50": pca("WHERE vec_id < 50") + _XY,
+    "pca_ranges": pca() + " SELECT " + ", ".join(
+        f"{r5('min(' + c + ') - ' + _PAD.format(c=c))} AS {a}_min, {r5('max(' + c + ') + ' + _PAD.format(c=c))} AS {a}_max"
+        for c, a in (("pc1", "x"), ("pc2", "y"))) + " FROM xy",
+})

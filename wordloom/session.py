@@ -74,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="wordloom-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -85,33 +87,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/wordloom-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss).
-
-    The rows are persisted first so the plan runs once: an eager checkpoint
-    otherwise computes it for the count and again for the write.  The
-    checkpointed frame keeps the plan's partitioning and ordering.
-    """
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-
-
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Used for state that is rebuilt every round (weights, round outputs,
     epoch examples): the re-read table has a short lineage and statistics
     from its real file size.  (A checkpoint keeps the estimate of the plan
-    that made it, and in a loop those estimates compound.)
+    that made it, and in a loop those estimates compound.)  ``by`` names
+    partition columns, so that a filter on them reads only its own files.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("overwrite").partitionBy(*(by or [])).parquet(path)
+    # The schema is known: no file is opened to infer it.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`write_table` returned, through
+    Spark's own file systems (whatever store the shared folder is in)."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/wordloom-" not in name:
+            continue
+        cut = name.find("/", name.rfind("/wordloom-") + 1)
+        path = spark._jvm.org.apache.hadoop.fs.Path(name if cut < 0 else name[:cut])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fits_broadcast(n_rows: int, row_bytes: int,

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.rank import dense_index
+
 LINE_BREAK = r"\r?\n"
 
 
@@ -35,11 +37,8 @@ def balance_lines(lines: DataFrame) -> DataFrame:
     already have enough splits and are left alone.
     """
     spark = lines.sparkSession
-    try:
-        parallelism = spark.sparkContext.defaultParallelism
-        have = lines.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without an RDD view: leave as is
-        return lines
+    parallelism = spark.sparkContext.defaultParallelism
+    have = lines.rdd.getNumPartitions()
     if have >= parallelism:
         return lines
     want = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism)
@@ -66,22 +65,26 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `conversations` table as a corpus: each turn's text, line by line.
 
     doc_id packs (conv_id, turn) as conv_id * 2^20 + turn, so sentences of
-    different turns never share a window.
+    different turns never share a window; a turn that doesn't fit is an error.
     """
     conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    keyed = conv.select(
-        (F.col("conv_id") * F.lit(1 << 20) + F.col("turn")).alias("doc_id"), "text")
+    fits = F.col("turn").between(0, (1 << 20) - 1)
+    turn = F.when(fits, F.col("turn")).otherwise(F.raise_error(F.concat(
+        F.lit("turn outside 0..2^20-1: "), F.coalesce(F.col("turn").cast("string"), F.lit("null")))).cast("long"))
+    keyed = conv.select((F.col("conv_id") * F.lit(1 << 20) + turn).alias("doc_id"), "text")
     return lines_from_text(keyed)
 
 
 def text_file_lines(spark: SparkSession, path: str) -> DataFrame:
     """Plain text files, one sentence per line (the CLI's --input).
 
-    Files are read line by line in parallel splits (never a whole file in one
-    row).  Each line gets its own doc_id from the scan order, which is fixed
-    by the file splits, so re-reading gives the same keys.
+    Only ``\\n`` and ``\\r\\n`` end a line.  Files are read in parallel splits;
+    a line's doc_id is its place in the order (file, line), found by a
+    distributed rank, so it does not depend on how the files were split.
     """
-    raw = spark.read.text(path)
-    return raw.select(F.monotonically_increasing_id().alias("doc_id"),
-                      F.lit(0).cast("int").alias("line_no"),
-                      F.regexp_replace("value", r"\r$", "").alias("line"))
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+        F.regexp_replace("value", r"\r\z", "").alias("line"))
+    ranked = dense_index(raw, ["_file", "_block", "_at"], "doc_id")
+    return ranked.select("doc_id", F.lit(0).cast("int").alias("line_no"), "line")
