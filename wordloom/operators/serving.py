@@ -241,10 +241,11 @@ def centered_vectors(emb: DataFrame, dim: int) -> DataFrame:
 
 def six_decimals(x: F.Column) -> F.Column:
     """``%.6f`` with ties to even and the sign of a negative zero."""
-    exact = F.abs(x).cast("double").cast("decimal(38,20)")
+    exact = F.abs(x).cast("double").try_cast("decimal(38,20)")
     digits = F.bround(exact, 6).cast("decimal(38,6)").cast("string")
     sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    return F.coalesce(F.concat(sign, digits), x.cast("string"))
+    # From 1e18 on a float has no decimals to round; NaN and infinity have none.
+    return F.coalesce(F.concat(sign, digits), F.format_string("%.6f", x.cast("double")))
 
 
 def text_vectors(emb: DataFrame, dim: int) -> DataFrame:
