@@ -11,13 +11,14 @@
    (1/16), and pairs far below the threshold go.
 4. The rest is confirmed exactly on the full sets, and linked.
 5. Buckets that still hold several groups are finished: members of *different*
-   groups are compared by their signatures, block against block, and what
-   stands near the threshold is confirmed as before.  Nothing is capped, and
-   members that already share a group are never paired.
+   groups are compared, block against block, first by signature and then on
+   their full sets; a block emits a spanning forest of its links, never its
+   pairs.  Nothing is capped, a pair is compared in the first band it shares only,
+   and members that already share a group are never compared.
 6. Components carry the smallest doc_id.
 
-Memory: texts and sets stay in Arrow batches; a block holds at most
-``2 * BLOCK`` signatures on average; only emptiness tests reach the driver.
+Memory: texts and sets stay in Arrow batches; a block holds about ``2 * BLOCK``
+sets; only emptiness tests reach the driver.
 
 Rows: null, empty or blank texts have no shingles and link with nothing.  A null
 doc_id links with nothing (component_id null, kept).  Repeated rows are copies.
@@ -41,7 +42,7 @@ BANDS, ROWS = 32, 4
 SLOTS, BITS = 256, 4          # signature: low bits of so many minima
 # A signature's standard error at 0.75 is 0.028: four of them are left.
 ESTIMATE_FROM = THRESHOLD / 100 - 0.11
-BLOCK = 256                   # members of a bucket per compared block
+BLOCK = 512                   # members of a bucket per compared block
 
 _MULT = keyed_words(SLOTS, 21) | U64(1)
 _ADD = keyed_words(SLOTS, 22)
@@ -98,15 +99,19 @@ def estimate(a: str, b: str) -> Column:
     return (F.lit(1.0) - apart / F.lit(float(SLOTS)) - chance) / (1.0 - chance)
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose full sets reach the threshold."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(node, shingles)``: the full sets of distinct ``nodes``, from one document each."""
     wanted = classes.select("node", "first_id").join(nodes, "node")
     texts = docs.join(wanted.select(F.col("first_id").alias("doc_id"), F.col("node").alias("want")), "doc_id") \
         .select("want", "text")
     # A repeated doc_id may carry another text: only the class's own set counts.
-    sets = store(texts.mapInArrow(_sets, "want long, node long, shingles array<long>")
+    return store(texts.mapInArrow(_sets, "want long, node long, shingles array<long>")
                  .where("want = node").select("node", "shingles"), "shingle-sets").dropDuplicates(["node"])
+
+
+def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose full sets reach the threshold."""
+    sets = _sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), classes, docs)
     x = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     y = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -115,36 +120,46 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
                  .where(100 * both >= THRESHOLD * either).select("a", "b"), "confirmed-links")
 
 
-def _compare_blocks(batches):
-    """Rows sorted by (key, lo, hi); emits pairs of different groups whose
-    estimate reaches the bound.  A group of rows is one block pair."""
+def _reach(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two full sets reach the threshold."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= THRESHOLD * (len(a) + len(b) - both)
+
+
+def _close_block(batches):
+    """Rows sorted by (key, lo, hi), a group being one pair of blocks of a bucket:
+    links between members of different groups, as a spanning forest.
+
+    A pair counts in the first band it shares (its members hold all their
+    keys), so it is compared once; the signature's estimate goes first, the full
+    sets decide, and members that are joined meanwhile are not compared again.
+    """
     chance = 1.0 / (1 << BITS)
     most = int(np.floor(SLOTS * (1 - chance) * (1 - ESTIMATE_FROM)))
-
-    def pairs(g):
-        sig = np.stack(g["sig"].to_numpy()).view(U64)
-        node, comp, hub, own = (g[c].to_numpy() for c in ("node", "comp", "hub", "own"))
-        left = np.flatnonzero(own == g["lo"].iat[0])
-        right = np.flatnonzero(own == g["hi"].iat[0])
+    for g in sorted_groups(batches, ["key", "lo", "hi"]):
+        key, lo, hi = (g[c].iat[0] for c in ("key", "lo", "hi"))
+        sig, bands = np.stack(g["sig"].to_numpy()).view(U64), np.stack(g["bands"].to_numpy())
+        node, own, hub = g["node"].to_numpy(), g["own"].to_numpy(), g["hub"].iat[0]
+        sets, group = g["shingles"].to_numpy(), g["comp"].to_numpy().copy()
+        left, right = np.flatnonzero((own == lo) & (node != hub)), np.flatnonzero((own == hi) & (node != hub))
+        links = []
         for i in left:
             d = sig[i] ^ sig[right]
             d |= d >> U64(2)
             d |= d >> U64(1)
             apart = np.bitwise_count(d & U64(_NIBBLES)).sum(axis=1)
-            ok = (apart <= most) & (comp[right] != comp[i]) & (node[right] != hub[0]) & (node[i] != hub[0])
-            for j in right[ok]:
-                if own[i] != own[j] or node[i] < node[j]:
-                    yield min(node[i], node[j]), max(node[i], node[j])
-
-    for g in sorted_groups(batches, ["key", "lo", "hi"]):
-        out = list(pairs(g))
-        if out:
-            yield _pair_batch(out)
-
-
-def _pair_batch(out):
-    a, b = zip(*out)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            at = right[(apart <= most) & (group[right] != group[i])]
+            at = at[(own[at] != own[i]) | (node[i] < node[at])]
+            if not len(at):
+                continue
+            same = bands[at] == bands[i]
+            for j in at[bands[i][np.argmax(same, axis=1)] == key]:
+                if group[i] != group[j] and _reach(sets[i], sets[j]):
+                    links.append((min(node[i], node[j]), max(node[i], node[j])))
+                    group[group == group[j]] = group[i]
+        if links:
+            a, b = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -173,18 +188,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "key", "node", "hub", "n", F.coalesce("root", "node").alias("comp"))
     open_keys = labelled.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")) \
         .where("c0 != c1").select("key")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    spread = labelled.join(open_keys, "key").join(classes.select("node", "sig"), "node") \
-        .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
-        .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-                "own", "node", "comp", "hub", "sig")
-    rest = spread.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi") \
-        .mapInArrow(_compare_blocks, "a long, b long").distinct()
-    rest = store(rest.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-                           ["a", "b"], "left_anti"), "rest-pairs")
-    if not rest.isEmpty():
-        links = links.union(_confirm(rest, classes, docs))
+    members = store(labelled.join(open_keys, "key"), "open-buckets")
+    if not members.isEmpty():
+        sets = _sets_of(members.select("node").distinct(), classes, docs)
+        full = classes.select("node", "bands", "sig").join(sets, "node")
+        blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+        spread = members.join(full, "node") \
+            .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")) \
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
+            .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                    "own", "node", "comp", "hub", "sig", "bands", "shingles")
+        rest = spread.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi") \
+            .mapInArrow(_close_block, "a long, b long")
+        links = links.union(store(rest, "rest-links"))
         groups = store(components(links), "groups")
 
     # Only classes with copies or links need a lookup; all other rows stand alone.
