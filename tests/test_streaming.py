@@ -1,12 +1,14 @@
 from wordloom.session import scratch_path
-from wordloom.streaming.word_counts import run_to_memory
+from wordloom.streaming.word_counts import streaming_word_counts
 
 
 def test_streaming_counts_match_batch(spark):
     src = scratch_path(spark, "stream-src")
     spark.createDataFrame([("a b a\nc",), ("b  a",)], "value string").write.mode("overwrite").parquet(src)
     stream = spark.readStream.schema("value string").parquet(src)
-    q = run_to_memory(spark, stream, "wc_test", scratch_path(spark, "stream-ckpt"))
+    q = (streaming_word_counts(stream).writeStream.outputMode("complete").format("memory").queryName("wc_test")
+         .option("checkpointLocation", scratch_path(spark, "stream-ckpt")).start())
+    q.processAllAvailable()
     try:
         got = {r["word"]: r["cnt"] for r in spark.sql("SELECT * FROM wc_test").collect()}
     finally:

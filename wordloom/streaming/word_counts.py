@@ -4,7 +4,7 @@ The reference is batch-only; this applies the same tokenizer and word count
 (G1) to a Structured Streaming source of text lines, so a vocabulary can be
 kept current while a corpus grows.  State is one row per distinct word
 (count), kept by Spark's state store; the sink decides how results are used
-(``complete`` mode for a full table, ``update`` mode for changed words).
+(``update`` mode with a keyed table, so that only changed words move).
 """
 
 from __future__ import annotations
@@ -22,10 +22,3 @@ def streaming_word_counts(text_stream: DataFrame, text_col: str = "value") -> Da
     words = lines.select(F.explode(token_array("line")).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
-
-def run_to_memory(spark, text_stream: DataFrame, name: str, checkpoint: str):
-    """Start the count into an in-memory table (tests / notebooks)."""
-    q = (streaming_word_counts(text_stream).writeStream.outputMode("complete")
-         .format("memory").queryName(name).option("checkpointLocation", checkpoint).start())
-    q.processAllAvailable()
-    return q
