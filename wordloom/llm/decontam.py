@@ -118,7 +118,8 @@ def proximity_matches(index: DataFrame, terms: DataFrame, slop: int) -> DataFram
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Per row of ``docs``: words, words hit, items that occur, and the verdict."""
+    """Per row of ``docs``: words, words hit, items that occur, and the verdict
+    (``d``, ``th``: the row's key)."""
     terms = store(item_terms(items), "item-terms")
     index = store(postings(docs, terms.select("term").distinct()), "postings")
     hits = phrase_matches(index, terms)
@@ -133,18 +134,17 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     return out.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_of, ",").cast("binary"), 256).alias("items_sha256"),
-        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), *DOC)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop(*DOC)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: contaminated documents go."""
-    bad = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
-    gone = bad.select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    bad = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(*DOC).distinct()
+    return _doc_key(docs).join(bad, DOC, "left_anti").select(*docs.columns)
 
 
 _SQL_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -49,7 +49,8 @@ _ADD = keyed_words(SLOTS, 22)
 _BAND = keyed_words(BANDS, 23)
 _NIBBLES = 0x1111111111111111
 
-SIGNED = "doc_id long, n_shingles long, node long, check long, bands array<long>, sig array<long>"
+SIGNED = ("doc_id long, text_hash long, n_shingles long, node long, check long, bands array<long>, "
+          "sig array<long>")
 
 
 def band_keys(mins: np.ndarray) -> np.ndarray:
@@ -71,11 +72,11 @@ def _sign(batches):
         mins = minima_of_sets(sets, _MULT, _ADD)
         prints = [set_fingerprint(s) for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
+            [b.column(0), b.column(2), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()),
              pa.array(list(band_keys(mins)), pa.list_(pa.int64())),
              pa.array(list(packed(mins)), pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "node", "check", "bands", "sig"])
+            ["doc_id", "text_hash", "n_shingles", "node", "check", "bands", "sig"])
 
 
 def _sets(batches):
@@ -163,9 +164,10 @@ def _close_block(batches):
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs(doc_id, text)``."""
+    """``(doc_id, n_shingles, component_id, kept, text_hash)`` per row of
+    ``docs(doc_id, text)``; the hash tells rows apart that share an id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = store(docs.mapInArrow(_sign, SIGNED), "signatures")
+    signed = store(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sign, SIGNED), "signatures")
     usable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # Signature and bands are functions of the set, so any row of a class has them.
     classes = store(usable.groupBy("node", "check").agg(
@@ -210,20 +212,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = rooted.where("n_rows > 1 or root is not null").join(least, "root", "left").select(
         "node", "check", F.coalesce("least_id", "first_id").alias("label"))
     known = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    out = signed.select("doc_id", "n_shingles", "node", "check").join(labels, ["node", "check"], "left")
+    out = signed.select("doc_id", "text_hash", "n_shingles", "node", "check").join(labels, ["node", "check"], "left")
     comp = F.when(known, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", comp.alias("component_id"),
-                      F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"))
+                      F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"), "text_hash")
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group stays (all rows of its doc_id
-    collapse to one), rows with a null doc_id stay."""
-    drop = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    once = docs.where("doc_id is not null").join(drop, "doc_id", "left_anti") \
-        .dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Pipeline stage: one document of each group stays (rows that repeat an id and
+    its text are one document); rows with a null doc_id stay."""
+    row = ["doc_id", "_th"]
+    drop = near_duplicates(docs).where(~F.col("kept")).select("doc_id", F.col("text_hash").alias("_th")).distinct()
+    known = docs.where("doc_id is not null").withColumn("_th", F.xxhash64("text"))
+    once = known.join(drop, row, "left_anti").dropDuplicates(row).select(*docs.columns)
     return once.union(docs.where("doc_id is null"))
