@@ -20,7 +20,7 @@ from ..session import fits_broadcast
 from . import noise as N
 from .rank import dense_index, prefix_sum
 
-_VOCAB_ROW_BYTES = 64
+_VOCAB_ROW_BYTES = 48         # besides the word itself
 SENT_KEY = ["doc_id", "line_no"]
 
 
@@ -32,7 +32,9 @@ def join_vocab(tokens: DataFrame, vocab: DataFrame, vocab_size: int) -> DataFram
     broadcast and only the long tail goes through a shuffle join.
     """
     v = vocab.select("word", "idx", "cnt")
-    if fits_broadcast(vocab_size, _VOCAB_ROW_BYTES):
+    # A token has no length limit: the words' bytes are measured, not assumed.
+    held = vocab.agg(F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("b")).first()["b"]
+    if fits_broadcast(vocab_size, _VOCAB_ROW_BYTES + held // max(vocab_size, 1)):
         return tokens.join(F.broadcast(v), "word")
     from ..session import DEFAULT_BROADCAST_ROWS
     head_n = DEFAULT_BROADCAST_ROWS // 2
