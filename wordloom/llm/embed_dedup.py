@@ -190,3 +190,18 @@ def links_and_components(vectors: DataFrame) -> DataFrame:
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links_and_components(table(spark, sf_dir, "embeddings"))
+
+
+SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e)
+    / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.98),
+t(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT t.a, l.y FROM t JOIN l ON l.x = t.b),
+m AS (SELECT a, min(b) AS c FROM t GROUP BY a),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, m.c AS component_id, m.c = vec_id AS kept
+FROM embeddings e JOIN m ON m.a = e.vec_id LEFT JOIN n ON n.x = e.vec_id
+"""

@@ -231,3 +231,22 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     known = docs.where("doc_id is not null").withColumn("_th", F.xxhash64("text"))
     once = known.join(drop, row, "left_anti").dropDuplicates(row).select(*docs.columns)
     return once.union(docs.where("doc_id is null"))
+
+
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT r, doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+l AS MATERIALIZED (SELECT DISTINCT x, y FROM (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(na.n) AS p, any_value(nb.n) AS q
+  FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r JOIN n na ON na.r = a.r JOIN n nb ON nb.r = b.r
+  GROUP BY a.r, b.r, a.doc_id, b.doc_id) WHERE 100 * c >= 75 * (p + q - c)),
+t(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT t.a, l.y FROM t JOIN l ON l.x = t.b),
+m AS (SELECT a, min(b) AS c FROM t GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, m.c = d.doc_id AS kept
+FROM d LEFT JOIN n USING (r) JOIN m ON m.a = d.doc_id
+"""

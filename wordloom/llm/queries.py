@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, mixing
+from . import chat, decontam, embed_dedup, minhash, mixing
 from .chat import op8_chat_format
 from .decontam import op10_decontamination
 from .embed_dedup import op6_embedding_dedup
@@ -28,7 +28,9 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_minhash_near_dedup": minhash.SQL,
     "op5_mixing": mixing.SQL,
+    "op6_embedding_dedup": embed_dedup.SQL,
     "op8_chat_format": chat.SQL,
     "op10_decontamination": decontam.SQL,
 }
