@@ -34,6 +34,18 @@ def test_page_text():
     assert H.extract("<article><h1>T</h1><p>One.</p></article><p>x</p><artic") == "T\nOne."
 
 
+def test_page_parts_known_by_name():
+    long = "A sentence, with commas, and words. " * 6
+    page = ("<body class='has-sidebar'><div class='wrap with-sidebar'><div class='post-header'><h1>Title</h1></div>"
+            f"<div class='post-body'><p>{long}</p><p>Short.</p><ol class='commentlist'><li>Me too, and more.</li></ol>"
+            "<div class='alert'>Closed.</div><p class='commentary'>Kept.</p></div></div>"
+            "<ins class='adsbygoogle'>Buy</ins><div role='navigation'><a>x</a></div><div hidden>no</div>"
+            "<div style='display: none'>no</div><div id='page_footer'>me</div></body>")
+    assert H.extract(page) == f"Title\n{long.strip()}\nShort.\nKept."
+    loose = f"<body><p><a href=/>Home</a> <a href=/b>About us</a></p><p>{long}</p><p>End.</p></body>"
+    assert H.extract(loose) == f"{long.strip()}\nEnd."
+
+
 def test_pages_of_the_table(sf_tables):
     import html
     import re

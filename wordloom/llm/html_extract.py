@@ -61,8 +61,12 @@ AWAY_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "gdpr", "notice", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup",
               "login", "share", "sharing", "social", "related", "recommended", "recommendations", "comment",
               "comments", "disqus", "reply", "replies", "respond", "pagination", "pager", "copyright", "hidden",
-              "skip", "tags", "toc"}
+              "skip", "tags", "toc", "alert", "announcement", "paywall", "adsbygoogle"}
+AWAY_STARTS = ("comment", "advert", "sponsor", "cookie", "breadcrumb", "sidebar", "navbar", "newsletter", "recommend")
+KEPT_WORDS = {"commentary", "commentator"}
 HEAD_WORDS = {"header", "head"}            # only outside an article
+TITLE_WORDS = {"article", "post", "entry", "story", "content"}   # "post-header" holds the title
+LAYOUT = ("has", "with", "no", "without")  # "has-sidebar" speaks of the page, not of the part
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ARTICLE = {"article", "main"}
 SECTIONS = ARTICLE | {"", "html", "body", "div", "section", "td", "center"}
@@ -96,10 +100,15 @@ def _away(tag: str, at: dict[str, str], in_article: bool) -> bool:
         return True
     if not at or tag in ("html", "body"):
         return False
-    words = {w.lower() for w in _WORDS.findall(f"{at.get('class', '')} {at.get('id', '')}")}
+    words = set()
+    for token in f"{at.get('class', '')} {at.get('id', '')}".split():
+        found = [w.lower() for w in _WORDS.findall(token)]
+        if found and found[0] not in LAYOUT:
+            words.update(found)
+    named = words & AWAY_WORDS or any(w.startswith(AWAY_STARTS) for w in words - KEPT_WORDS)
     return (at.get("role", "").lower() in AWAY_ROLES or "hidden" in at or at.get("aria-hidden") == "true"
-            or bool(HIDDEN.search(at.get("style", ""))) or (tag not in ARTICLE and bool(words & AWAY_WORDS))
-            or (not in_article and tag not in ARTICLE and bool(words & HEAD_WORDS)))
+            or bool(HIDDEN.search(at.get("style", ""))) or (tag not in ARTICLE and bool(named))
+            or (not in_article and tag not in ARTICLE and bool(words & HEAD_WORDS) and not words & TITLE_WORDS))
 
 
 def text_nodes(html: str) -> tuple[list[Node], list[str]]:
@@ -177,7 +186,7 @@ def text_nodes(html: str) -> tuple[list[Node], list[str]]:
             pos = end.end() if end else n
             continue
         if tag == "a":
-            links = 1 if not m[3].rstrip().endswith("/") else links
+            links = 1
         away = stack[-1][3] or _away(tag, at, article > 0)
         if tag in CLOSES_P:
             p = find({"p"}, SCOPE)
@@ -227,7 +236,13 @@ def extract(html: str | None) -> str:
     score = path_scores(nodes, texts)
     content = score >= max(score.max() * 0.25, score.mean() - score.std())
     depth, inside = _container(nodes, texts, content, tags)
-    return "\n".join(t for x, t in zip(nodes, texts) if len(x.chain) > depth and x.chain[depth] == inside)
+    if tags[inside] in ("", "html", "body"):
+        # No element sets the article apart: blocks of nothing but links go.
+        own = [x.linked < 0.8 * len(t) for x, t in zip(nodes, texts)]
+    else:
+        own = [True] * len(nodes)
+    return "\n".join(t for x, t, k in zip(nodes, texts, own)
+                     if k and len(x.chain) > depth and x.chain[depth] == inside)
 
 
 def _container(nodes: list[Node], texts: list[str], content: np.ndarray, tags: list[str]) -> tuple[int, int]:
