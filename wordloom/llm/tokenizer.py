@@ -19,7 +19,6 @@ import numpy as np
 DEFAULT_VOCAB = "byte_bpe_50k.json"
 ID_TYPE = np.dtype("<u4")
 CACHE_PARTS = 1_000_000                     # remembered parts per worker (about 150 MB)
-
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?=\s|\Z)")            # a space after which the text may not be cut
 
@@ -32,6 +31,22 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Memory(dict):
+    """A bounded memory of a function: forgotten as a whole between texts."""
+
+    def __init__(self, fn, most: int) -> None:
+        super().__init__()
+        self.fn, self.most = fn, most
+
+    def __missing__(self, key):
+        got = self[key] = self.fn(key)
+        return got
+
+    def trim(self) -> None:
+        if len(self) > self.most:
+            self.clear()
+
+
 class TextEncoder:
     """ids of whole texts, as little-endian unsigned 32-bit bytes."""
 
@@ -48,20 +63,24 @@ class TextEncoder:
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.chars = _byte_chars()
         self.model = self.tok.model
-        self.cache_parts = cache_parts
-        self.inner: dict[str, bytes] = {}       # parts that follow a space
-        self.first: dict[str, bytes] = {}       # parts that begin a text
+        self.inner = Memory(lambda p: self._part(" " + p), cache_parts)     # parts that follow a space
+        self.first = Memory(self._part, cache_parts // 8)                   # parts that begin a text
+
+    def _piece(self, piece: str) -> list[int]:
+        word = piece.encode("utf-8").decode("latin-1").translate(self.chars)
+        return [t.id for t in self.model.tokenize(word)]
 
     def _part(self, s: str) -> bytes:
-        """Ids of one part.  Latin letters take the model directly (the pattern's
+        """Ids of one part (none for an empty one).  Latin letters take the model directly (the pattern's
         classes are settled there); other scripts take the whole library path."""
-        if s.isascii() or max(s) < "ɐ":
-            ids: list[int] = []
-            for piece in self.pieces(s):
-                word = piece.encode("utf-8").decode("latin-1").translate(self.chars)
-                ids.extend(t.id for t in self.model.tokenize(word))
-        else:
+        if not s:
+            return b""
+        if not s.isascii() and max(s) >= "ɐ":
             ids = self.tok.encode(s, add_special_tokens=False).ids
+        elif s[1:].isalpha() and (s[0] == " " or s[0].isalpha()):
+            ids = self._piece(s)                # a word is one piece
+        else:
+            ids = [i for piece in self.pieces(s) for i in self._piece(piece)]
         return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -71,23 +90,9 @@ class TextEncoder:
                 out.append(b"")
                 continue
             parts = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-            head = self.first.get(parts[0])
-            if head is None:
-                if len(self.first) >= self.cache_parts // 8:
-                    self.first.clear()
-                head = self.first[parts[0]] = self._part(parts[0])
-            parts[0] = ""                        # a later part is never empty
-            inner = self.inner
-            try:
-                out.append(head + b"".join(map(inner.__getitem__, parts[1:])))
-            except KeyError:
-                new = {p for p in parts if p and p not in inner}
-                if len(inner) + len(new) > self.cache_parts:
-                    inner.clear()
-                    new = set(filter(None, parts))
-                for p in new:
-                    inner[p] = self._part(" " + p)
-                out.append(head + b"".join(map(inner.__getitem__, parts[1:])))
+            self.inner.trim()
+            self.first.trim()
+            out.append(self.first[parts[0]] + b"".join(map(self.inner.__getitem__, parts[1:])))
         return out
 
 
