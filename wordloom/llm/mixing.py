@@ -8,9 +8,9 @@ aggregation over the table of sources; two sums per round reach the driver.
 A source of ``target / size`` epochs takes every document the whole number of
 times, and a seeded sample of them once more: documents are ordered by a keyed
 hash, and the sample ends nearest the source's target.  No source is sorted
-as a whole: sizes are summed per 1/65536 of the hash range (map-side), a running
-sum over these cells finds the cell in which the sample ends, and only that
-cell's documents are ordered.  Documents are taken whole, so a source misses its
+as a whole: sizes are summed per 1/256 of the hash range (map-side), a running sum
+over these parts finds the one in which the sample ends, the same once more in
+that part gives a cell (1/65536), and only that cell's documents are ordered.  Documents are taken whole, so a source misses its
 target by at most half of its last sampled document.
 
 DataFrame operations only.  The hash depends on the seed and the doc_id, so reruns
@@ -34,7 +34,8 @@ WEIGHTS = (3, 1, 2)          # by rank of the source, repeating
 BUDGET = 1.5                 # of all words
 MAX_EPOCHS = 2
 SEED = 42
-CELLS = 1 << 16
+CELLS = 1 << 16              # of the hash range
+PARTS = 1 << 8               # cells per part, and parts
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -64,6 +65,17 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: int) -> DataFrame:
     return sources.withColumn("target", F.least(cap.cast("double"), F.lit(level) * F.col("weight")))
 
 
+def _end_of(rows: DataFrame, plan: DataFrame, same) -> DataFrame:
+    """Per source, the last ``at`` of ``rows(source, at, size, base)`` before which
+    no more than ``rest`` words stand, and the words before it.  Sizes are summed
+    per ``at`` first (map-side), so a window holds at most ``PARTS`` rows."""
+    before = Window.partitionBy("source").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("source", "at").agg(F.sum("size").alias("c"), F.first("base").alias("base"))
+    return sums.withColumn("c0", F.col("base") + F.coalesce(F.sum("c").over(before), F.lit(0))) \
+        .join(plan, same).where("c0 <= rest").groupBy("source").agg(F.max(F.struct("at", "c0")).alias("last")) \
+        .select("source", "last.at", "last.c0")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_epochs: int = MAX_EPOCHS,
         seed: int = SEED) -> DataFrame:
     """``docs(doc_id, source, size)`` -> plus ``source_size``, ``target``, ``taken``."""
@@ -82,14 +94,15 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_epochs: in
     same = F.col("source").eqNullSafe(F.col("p_source"))
     small_plan = measured_broadcast(plan, 128)
 
-    # Where in the hash order does each source's sample end?
-    cells = docs.groupBy("source", "cell").agg(F.sum("size").alias("c"))
-    before = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    ends = cells.withColumn("c0", F.coalesce(F.sum("c").over(before), F.lit(0))) \
-        .join(small_plan, same).where("c0 <= rest") \
-        .groupBy("source").agg(F.max(F.struct("cell", "c0")).alias("last"))
-    ends = store(ends.select(F.col("source").alias("e_source"), F.col("last.cell").alias("end_cell"),
-                             F.col("last.c0").alias("end_c0")), "mix-ends")
+    # Where in the hash order does each source's sample end?  First among 256
+    # parts of the range, then among the 256 cells of that part.
+    part = F.floor(F.col("cell") / F.lit(PARTS)).cast("int")
+    first = _end_of(docs.select("source", part.alias("at"), "size", F.lit(0).alias("base")), small_plan, same)
+    first = store(first.select(F.col("source").alias("p_source"), F.col("at").alias("part"), "c0"), "mix-parts")
+    inside = docs.withColumn("part", part).join(measured_broadcast(first.withColumnRenamed("part", "end_part"), 64), same) \
+        .where("part = end_part").select("source", F.col("cell").alias("at"), "size", F.col("c0").alias("base"))
+    ends = store(_end_of(inside, small_plan, same).select(
+        F.col("source").alias("e_source"), F.col("at").alias("end_cell"), F.col("c0").alias("end_c0")), "mix-ends")
     # One plan row per source, its end cell included.
     plan = plan.join(ends, F.col("p_source").eqNullSafe(F.col("e_source")), "left").drop("e_source")
     rows = docs.join(measured_broadcast(plan, 160), same).drop("p_source")
