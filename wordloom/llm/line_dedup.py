@@ -8,8 +8,9 @@ line); equal lines of any length are one class.
   most ``LIMIT`` edits one of them stands unchanged in the other line.
 * A line probes, for every length from its own down to ``LIMIT`` less, the substrings
   that can meet a segment of a line of that length (multi-match-aware starts: twelve
-  probes for a limit of 2).  Segments and probes are 64-bit keys of (length, segment
-  number, content), computed for a whole Arrow batch at once.
+  probes for a limit of 2, three of them its own segments).  Segments and probes
+  are 64-bit keys of (length, segment number, content), computed for a whole Arrow
+  batch at once; only segments and the probes that met one are written.
 * Keys with at most ``HOT`` indexed lines are joined; keys with more are cut into
   blocks of ``BLOCK`` indexed and probing lines that meet in one task each, which
   emits link counts and a spanning forest instead of pairs.
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import measured_broadcast, sorted_groups, store, table
@@ -35,7 +36,7 @@ from .shingles import _POWERS, U64, fmix
 
 LIMIT = 2
 MIN_CHARS = 20
-HOT = 64
+HOT = 16
 BLOCK = 256
 CHUNK = 1 << 20               # code points hashed at once
 
@@ -55,55 +56,61 @@ def probe_starts(i: int, start: int, delta: int, limit: int = LIMIT) -> range:
     return range(lo, hi + 1)
 
 
-def _keys(points: np.ndarray, first: np.ndarray, n: np.ndarray, limit: int):
-    """(row, side, longer, segment, key) of all segments and probes."""
+def _span_keys(points: np.ndarray):
+    """A function (first point, length, line length, segment) -> keys of spans."""
     up, down = _POWERS.get(len(points) + 1)
     total = np.zeros(len(points) + 1, dtype=U64)
     np.cumsum(fmix(points.astype(U64) + U64(77)) * up[:-1], out=total[1:])
-    rows, sides, deltas, segs, keys = [], [], [], [], []
-
-    def add(at, side, delta, i, l, start, length):
-        a = first[at] + start
-        h = (total[a + length] - total[a]) * down[a]
-        keys.append(fmix(fmix(h) + l.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(i + 1)).view(np.int64))
-        rows.append(at)
-        for out, v in ((sides, side), (deltas, delta), (segs, i)):
-            out.append(np.full(len(at), v, dtype=np.int32))
-
-    everyone = np.arange(len(n))
-    start, length = segments(n, limit)
-    for i in range(limit + 1):
-        add(everyone, 0, 0, i, n, start[:, i], length[:, i])
-    for delta in range(limit + 1):
+
+    def keys(a, length, l, i):
+        h = fmix((total[a + length] - total[a]) * down[a])
+        return fmix(h + l.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(i + 1)).view(np.int64)
+    return keys
+
+
+def _index_rows(keys, first, n):
+    """(line, segment, key) of every segment."""
+    start, length = segments(n)
+    for i in range(LIMIT + 1):
+        yield np.arange(len(n)), i, keys(first + start[:, i], length[:, i], n, i)
+
+
+def _probe_rows(keys, first, n):
+    """(line, how much longer than the line it looks for, key) of every probe but
+    the unshifted ones at equal length, which are the line's own segments."""
+    for delta in range(LIMIT + 1):
         at = np.flatnonzero(n - delta >= MIN_CHARS)
         l = n[at] - delta
-        start, length = segments(l, limit)
-        for i in range(limit + 1):
-            for shift in probe_starts(i, 0, delta, limit):
+        start, length = segments(l)
+        for i in range(LIMIT + 1):
+            for shift in probe_starts(i, 0, delta):
                 s = start[:, i] + shift
                 ok = (s >= 0) & (s + length[:, i] <= n[at])
-                add(at[ok], 1, delta, i, l[ok], s[ok], length[ok, i])
-    return tuple(np.concatenate(x) for x in (rows, sides, deltas, segs, keys))
+                if delta or shift:
+                    yield at[ok], delta, keys(first[at[ok]] + s[ok], length[ok, i], l[ok], i)
 
 
-def _line_keys(batches):
-    """Distinct long lines of a batch -> (side, longer, seg, key, node)."""
-    for b in batches:
-        lines = list(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())).items())
-        part, size = [], 0
-        for k, (node, text) in enumerate(lines):
-            part.append((node, text))
-            size += len(text)
-            if size < CHUNK and k + 1 < len(lines):
-                continue
-            n = np.array([len(t) for _, t in part], dtype=np.int64)
-            points = np.frombuffer("".join(t for _, t in part).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-            row, side, delta, seg, key = _keys(points, np.cumsum(n) - n, n, LIMIT)
-            node_of = np.array([x for x, _ in part], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(side), pa.array(delta), pa.array(seg), pa.array(key), pa.array(node_of[row])],
-                ["side", "longer", "seg", "key", "node"])
+def _line_keys(rows_of, name: str):
+    """Distinct long lines of a batch -> (``name``, key, node)."""
+    def run(batches):
+        for b in batches:
+            lines = list(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())).items())
             part, size = [], 0
+            for k, (node, text) in enumerate(lines):
+                part.append((node, text))
+                size += len(text)
+                if size < CHUNK and k + 1 < len(lines):
+                    continue
+                n = np.array([len(t) for _, t in part], dtype=np.int64)
+                points = np.frombuffer("".join(t for _, t in part).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+                node_of = np.array([x for x, _ in part], dtype=np.int64)
+                got = list(rows_of(_span_keys(points), np.cumsum(n) - n, n))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([np.full(len(at), v, dtype=np.int32) for at, v, _ in got])),
+                     pa.array(np.concatenate([key for *_, key in got])),
+                     pa.array(node_of[np.concatenate([at for at, *_ in got])])], [name, "key", "node"])
+                part, size = [], 0
+    return run
 
 
 def within_limit(a: list[str], b: list[str], limit: int = LIMIT) -> np.ndarray:
@@ -219,26 +226,37 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(``node, n_links``; ``node, root``) of lines that link with another one."""
     lines = split_lines(docs.select("doc_id", "text"))
     long = lines.where(F.char_length("line") >= MIN_CHARS).select("node", "line")
-    keys = long.mapInArrow(_line_keys, "side int, longer int, seg int, key long, node long").distinct()
-    keys = store(keys, "line-keys")
-    index = keys.where("side = 0").select("key", "seg", F.col("node").alias("a"))
-    probe = keys.where("side = 1").select("key", "longer", F.col("node").alias("b"))
-    hot = store(index.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HOT), "hot-keys")
-    few = measured_broadcast(hot, 32)
-
-    pairs = index.join(few, "key", "left_anti").join(probe, "key").where(
-        "(longer > 0 and a <> b) or (longer = 0 and a < b)").select("a", "b", "seg").distinct()
-    pairs = store(pairs, "line-pairs")
+    index = long.mapInArrow(_line_keys(_index_rows, "seg"), "seg int, key long, node long").distinct()
+    index = store(index.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key"))), "line-index")
+    few = index.where(F.col("m") <= HOT)
+    hot = index.where(F.col("m") > HOT).select("key", "seg", "node")
+    # A probe meets each line of a small key, and a large key once.
+    targets = few.select("key", "seg", F.col("node").alias("a")).union(
+        hot.select("key", "seg", F.lit(None).cast("long")).distinct())
+    probe = long.mapInArrow(_line_keys(_probe_rows, "longer"), "longer int, key long, node long")
+    met = store(probe.withColumnRenamed("node", "b").join(targets, "key").where(
+        "a is null or (longer > 0 and a <> b) or a < b").distinct(), "line-probes")
+
+    some = few.where("m > 1")
+    level = some.select("key", "seg", F.col("node").alias("a")).join(
+        some.select("key", F.col("node").alias("b")), "key").where("a < b")
+    pairs = store(met.where("a is not null").select("a", "b", "seg").union(level.select("a", "b", "seg")).distinct(),
+                  "line-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = store(long.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "line-texts")
     cold = store(pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("s")), "a")
                  .join(texts.select(F.col("node").alias("b"), F.col("line").alias("r")), "b")
                  .select("a", "b", "seg", "s", "r").mapInArrow(_verify_pairs, "a long, b long"), "line-links")
 
-    sizes = keys.join(few, "key").groupBy("key").agg(
+    zero = F.lit(0)
+    members = hot.select("key", "seg", zero.alias("side"), zero.alias("longer"), "node").union(
+        hot.select("key", "seg", F.lit(1), zero, "node")).union(
+        met.where("a is null").select("key", "seg", F.lit(1), "longer", F.col("b"))).distinct()
+    members = store(members, "hot-members")
+    sizes = members.groupBy("key").agg(
         F.ceil(F.count(F.when(F.col("side") == 0, 1)) / F.lit(BLOCK)).cast("int").alias("ni"),
         F.ceil(F.count(F.when(F.col("side") == 1, 1)) / F.lit(BLOCK)).cast("int").alias("nj"))
-    busy = keys.join(measured_broadcast(sizes, 32), "key")
+    busy = members.join(measured_broadcast(sizes, 32), "key")
     own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("ni")).otherwise(F.col("nj"))).cast("int")
     other = F.sequence(F.lit(0), F.when(F.col("side") == 0, F.col("nj")).otherwise(F.col("ni")) - 1)
     placed = busy.withColumn("own", own).withColumn("other", F.explode(other)).select(
