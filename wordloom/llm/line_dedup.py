@@ -222,6 +222,13 @@ def split_lines(docs: DataFrame) -> DataFrame:
         {"node": F.xxhash64("line"), "check": F.xxhash64(F.lit(1), "line")})
 
 
+def _texts_of(lines: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, line)`` of distinct ``nodes``.  Up to the size gate the ids go to
+    the lines; beyond it both shuffle."""
+    nodes = store(nodes, "wanted-lines")
+    return lines.join(measured_broadcast(nodes, 16), "node", "left_semi").dropDuplicates(["node"])
+
+
 def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(``node, n_links``; ``node, root``) of lines that link with another one."""
     lines = split_lines(docs.select("doc_id", "text"))
@@ -243,7 +250,7 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = store(met.where("a is not null").select("a", "b", "seg").union(level.select("a", "b", "seg")).distinct(),
                   "line-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = store(long.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "line-texts")
+    texts = store(_texts_of(long, wanted), "line-texts")
     cold = store(pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("s")), "a")
                  .join(texts.select(F.col("node").alias("b"), F.col("line").alias("r")), "b")
                  .select("a", "b", "seg", "s", "r").mapInArrow(_verify_pairs, "a long, b long"), "line-links")
@@ -263,7 +270,7 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "key", "seg", F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("other")).alias("i"),
         F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("own")).alias("j"), "side", "longer", "node")
     hot_nodes = busy.select("node").distinct()
-    hot_texts = store(long.join(hot_nodes, "node", "left_semi").dropDuplicates(["node"]), "hot-texts")
+    hot_texts = store(_texts_of(long, hot_nodes), "hot-texts")
     blocks = store(placed.join(hot_texts, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
                    .mapInArrow(_verify_blocks, "node long, n long, other long"), "hot-links")
 
