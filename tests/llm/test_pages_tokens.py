@@ -46,6 +46,19 @@ def test_page_parts_known_by_name():
     assert H.extract(loose) == f"{long.strip()}\nEnd."
 
 
+def test_page_text_after_inline_away_parts():
+    skip = "<body><a class='skip-link' href='#c'>Skip</a><article><h1>T</h1><p>One, two.</p></article></body>"
+    assert H.extract(skip) == "T\nOne, two."
+    icon = "<article><h1><i class='icon' aria-hidden='true'></i> Title</h1><p>Text, more.</p></article>"
+    assert H.extract(icon) == "Title\nText, more."
+    for tag in ("span", "a", "ins", "b", "em", "label"):
+        assert H.extract(f"<article><p>one <{tag} class='ad'>x</{tag}> two</p></article>") == "one two"
+    nested = "<article><p>one <span class='ad'>x <span>y <b>z</span> w</span> two</p><p>Three.</p></article>"
+    assert H.extract(nested) == "one two\nThree."
+    # An inline element that is not closed ends with its block.
+    assert H.extract("<article><p>one <span class='ad'>x</p><p>Two.</span></p></article>") == "one\nTwo."
+
+
 def test_pages_of_the_table(sf_tables):
     import html
     import re

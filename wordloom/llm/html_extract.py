@@ -115,7 +115,7 @@ def text_nodes(html: str) -> tuple[list[Node], list[str]]:
     """Block text nodes in page order, without the parts that are known not to
     be the article; and the tag of every element serial."""
     tags = [""]
-    # (tag, path, serial, away); only block elements and away elements open a level.
+    # (tag, path, serial, away); block elements, away elements and all in those open a level.
     stack = [("", "", 0, False)]
     nodes: list[Node] = []
     node = None
@@ -138,8 +138,10 @@ def text_nodes(html: str) -> tuple[list[Node], list[str]]:
     def close_to(depth: int) -> None:
         nonlocal article, node
         while len(stack) > depth:
-            article -= stack.pop()[0] in ARTICLE
-        node = None
+            tag = stack.pop()[0]
+            article -= tag in ARTICLE
+            if tag in BLOCK:
+                node = None
 
     def find(tags, stop=frozenset()) -> int:
         for i in range(len(stack) - 1, 0, -1):
@@ -173,6 +175,11 @@ def text_nodes(html: str) -> tuple[list[Node], list[str]]:
                 at = find({tag})
                 if at:
                     close_to(at)
+            else:
+                # Inline: on the stack only as, or in, an away part.
+                at = find({tag}, BLOCK)
+                if at:
+                    close_to(at)
             continue
         if tag in VOID:
             if tag == "br":
@@ -197,7 +204,7 @@ def text_nodes(html: str) -> tuple[list[Node], list[str]]:
                 i = find({open_tag}, SCOPE - {open_tag})
                 if i:
                     close_to(i)
-        if tag in BLOCK or (away and not stack[-1][3]):
+        if tag in BLOCK or away:
             if m[3].rstrip().endswith("/") and tag not in BLOCK:
                 continue
             serial += 1
