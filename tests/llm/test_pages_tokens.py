@@ -59,6 +59,33 @@ def test_page_text_after_inline_away_parts():
     assert H.extract("<article><p>one <span class='ad'>x</p><p>Two.</span></p></article>") == "one\nTwo."
 
 
+def test_page_names_lower_a_score_and_do_not_delete():
+    long = "A sentence, with commas, and words. " * 6
+    para = f"<p>{long}</p>"
+    text = long.strip()
+    # Wrappers of the article, by an article element or by most of the text.
+    for page in (f"<div class='content-sidebar-wrap'><main>{para}</main></div>",
+                 f"<div id='content' class='sidebar-right'>{para}</div>",
+                 f"<div class='social widget'><div class='sidebar'><article>{para}</article></div></div>",
+                 f"<div class='ad-free'>{para}</div><div class='ad'>Buy, now.</div>",
+                 f"<form id='aspnetForm'><div>{para}</div></form>",
+                 f"<span class='banner'>{para}</span>"):
+        assert H.extract(f"<body>{page}</body>") == text
+    # Parts of the article with a common word in their name.
+    for part, want in (("<section id='related-work'><h2>Related work</h2>" + para + "<p>Ok.</p></section>",
+                        f"Related work\n{text}\nOk."),
+                       ("<h2 id='recommendations'>Advice</h2>" + para, f"Advice\n{text}"),
+                       ("<p class='share-price'>It rose.</p>", "It rose."),
+                       ("<p>It <b id='share'>rose</b> <span class='social-policy'>fast</span>.</p>", "It rose fast.")):
+        for tag in ("article", "div"):
+            assert H.extract(f"<body><{tag}>{para * 2}{part}</{tag}></body>") == f"{text}\n{text}\n{want}"
+    # Names still tell what is beside the article, however long the comments are.
+    for part in ("<div class='related'><a href=/>More</a></div>", "<div class='share-buttons'>Share</div>",
+                 f"<div id='comments'>{para * 5}</div>", "<p class='copyright'>Me.</p>",
+                 f"<div class='widget'><p>{long[:36]}</p></div>", f"<div style='display:none'>{para * 5}</div>"):
+        assert H.extract(f"<body><article>{para * 2}</article>{part}</body>") == f"{text}\n{text}"
+
+
 def test_pages_of_the_table(sf_tables):
     import html
     import re

@@ -13,8 +13,11 @@ words.  Per path:
 
 Paths above it are content; the container that holds most content text is the
 article, and its other blocks (headings, short paragraphs, lists, tables) go with
-it.  Menus, page headers and footers, sidebars, notices, adverts, forms, comments
-and hidden parts are known by element, role or class words and never count.
+it.  Navigation, page headers, footers and asides are known by element and never
+count.  Forms, roles, hidden parts and name words (class or id) are marks: a mark on
+an element that holds most text of the page's article (of the page, if it has no
+article element) is void; else forms, roles and hidden parts go, and a name lowers
+the best path ratio of its element, which stays whole if that still passes.
 
 The output keeps every content block whole: references decoded, white space
 one space, blocks joined by a line feed.  Null or empty html gives an empty text.
@@ -63,6 +66,17 @@ AWAY_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "comments", "disqus", "reply", "replies", "respond", "pagination", "pager", "copyright", "hidden",
               "skip", "tags", "toc", "alert", "announcement", "paywall", "adsbygoogle"}
 AWAY_STARTS = ("comment", "advert", "sponsor", "cookie", "breadcrumb", "sidebar", "navbar", "newsletter", "recommend")
+# Away words that also name true parts of an article or its layout.
+COMMON_WORDS = {"alert", "announcement", "aside", "banner", "consent", "copyright", "hidden", "login", "notice",
+                "overlay", "promo", "promotion", "related", "recommended", "recommendations", "reply", "respond",
+                "share", "sharing", "sidebar", "skip", "social", "subscription", "tags", "toc", "toolbar", "widget"}
+COMMON_STARTS = ("sidebar", "recommend")
+# What a name leaves of the ratio: a clear word, a common one alone, one in a compound ("related-work").
+CLEAR, ALONE, COMPOUND = 0.1, 0.2, 0.5
+MARK_TAGS = {"form", "fieldset"}           # they may also wrap a page
+GONE_TAGS = AWAY_TAGS - MARK_TAGS
+TEXT_TAGS = HEADINGS | {"p", "pre", "blockquote"}   # with inline elements: ids are anchors, compounds are topics
+SKIP_LINK = {"skip-link", "skiplink", "skip-to-content"}
 KEPT_WORDS = {"commentary", "commentator"}
 HEAD_WORDS = {"header", "head"}            # only outside an article
 TITLE_WORDS = {"article", "post", "entry", "story", "content"}   # "post-header" holds the title
@@ -85,38 +99,64 @@ class Node:
     __slots__ = ("path", "parts", "linked", "chain")
 
     def __init__(self, path: str, chain: tuple):
+        # A part is (text, in a link, numbers of the marks on it).
         self.path, self.chain, self.parts, self.linked = path, chain, [], 0
 
     def text(self) -> str:
-        return _SPACE.sub(" ", unescape("".join(self.parts))).strip()
+        return _SPACE.sub(" ", unescape("".join(x[0] for x in self.parts))).strip()
+
+    def drop(self, gone: set[int]) -> None:
+        """Without the parts under the given marks."""
+        self.parts = [x for x in self.parts if gone.isdisjoint(x[2])]
+        self.linked = sum(len(x[0]) for x in self.parts if x[1])
 
 
 def _attributes(s: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(s)} if s.strip(" /") else {}
 
 
-def _away(tag: str, at: dict[str, str], in_article: bool) -> bool:
-    if tag in AWAY_TAGS or (tag == "header" and not in_article):
-        return True
-    if not at or tag in ("html", "body"):
-        return False
-    words = set()
-    for token in f"{at.get('class', '')} {at.get('id', '')}".split():
-        found = [w.lower() for w in _WORDS.findall(token)]
-        if found and found[0] not in LAYOUT:
-            words.update(found)
-    named = words & AWAY_WORDS or any(w.startswith(AWAY_STARTS) for w in words - KEPT_WORDS)
-    return (at.get("role", "").lower() in AWAY_ROLES or "hidden" in at or at.get("aria-hidden") == "true"
-            or bool(HIDDEN.search(at.get("style", ""))) or (tag not in ARTICLE and bool(named))
-            or (not in_article and tag not in ARTICLE and bool(words & HEAD_WORDS) and not words & TITLE_WORDS))
-
-
-def text_nodes(html: str) -> tuple[list[Node], list[str]]:
-    """Block text nodes in page order, without the parts that are known not to
-    be the article; and the tag of every element serial."""
+def _name_share(tag: str, at: dict[str, str], in_article: bool) -> float:
+    """What the class and id words of an element leave of its ratio."""
+    share = 1.0
+    text = tag in TEXT_TAGS or tag not in BLOCK
+    for key in ("class",) if text else ("class", "id"):
+        for token in at.get(key, "").split():
+            found = [w.lower() for w in _WORDS.findall(token)]
+            if not found or found[0] in LAYOUT:
+                continue
+            whole = len(found) == 1
+            if text and not whole and token.lower() not in SKIP_LINK:
+                continue
+            for w in found:
+                if w in AWAY_WORDS or (w.startswith(AWAY_STARTS) and w not in KEPT_WORDS):
+                    common = w in COMMON_WORDS or w.startswith(COMMON_STARTS)
+                    anchor = tag == "section" and key == "id"
+                    share = min(share, COMPOUND if not whole and (common or anchor) else ALONE if common else CLEAR)
+            if not in_article and not text and HEAD_WORDS.intersection(found) and not TITLE_WORDS.intersection(found):
+                share = min(share, CLEAR)
+    return share
+
+
+def _mark(tag: str, at: dict[str, str], in_article: bool) -> tuple[float, bool]:
+    """(share of the ratio left, shown) of an element; 0 for a form, a role or a hidden part."""
+    if not at and tag not in MARK_TAGS or tag in ("html", "body"):
+        return 1.0, True
+    if "hidden" in at or at.get("aria-hidden") == "true" or HIDDEN.search(at.get("style", "")):
+        return 0.0, False
+    if tag in MARK_TAGS or at.get("role", "").lower() in AWAY_ROLES:
+        return 0.0, True
+    return (1.0 if tag in ARTICLE else _name_share(tag, at, in_article)), True
+
+
+def text_nodes(html: str) -> tuple[list[Node], list[str], list[tuple[float, bool]], set[int]]:
+    """Block text nodes in page order, without the parts that are known by element
+    not to be the article; the tag of every element serial; the marks; and the
+    serials of article elements with a name word."""
     tags = [""]
-    # (tag, path, serial, away); block elements, away elements and all in those open a level.
-    stack = [("", "", 0, False)]
+    marks: list[tuple[float, bool]] = []
+    named: set[int] = set()
+    # (tag, path, serial, away, marks); block, away and marked elements open a level, and all in an inline one.
+    stack = [("", "", 0, False, ())]
     nodes: list[Node] = []
     node = None
     serial = links = article = 0
@@ -129,9 +169,9 @@ def text_nodes(html: str) -> tuple[list[Node], list[str]]:
         if node is None:
             if s.isspace():
                 return
-            node = Node(stack[-1][1], tuple(x[2] for x in stack))
+            node = Node(stack[-1][1], tuple(x[2] for x in stack if x[0] in BLOCK or not x[0]))
             nodes.append(node)
-        node.parts.append(s)
+        node.parts.append((s, links > 0, stack[-1][4]))
         if links:
             node.linked += len(s)
 
@@ -176,7 +216,7 @@ def text_nodes(html: str) -> tuple[list[Node], list[str]]:
                 if at:
                     close_to(at)
             else:
-                # Inline: on the stack only as, or in, an away part.
+                # Inline: on the stack only as, or in, an away or marked part.
                 at = find({tag}, BLOCK)
                 if at:
                     close_to(at)
@@ -194,7 +234,8 @@ def text_nodes(html: str) -> tuple[list[Node], list[str]]:
             continue
         if tag == "a":
             links = 1
-        away = stack[-1][3] or _away(tag, at, article > 0)
+        away = stack[-1][3] or tag in GONE_TAGS or (tag == "header" and not article)
+        mark = (1.0, True) if away else _mark(tag, at, article > 0)
         if tag in CLOSES_P:
             p = find({"p"}, SCOPE)
             if p:
@@ -204,17 +245,90 @@ def text_nodes(html: str) -> tuple[list[Node], list[str]]:
                 i = find({open_tag}, SCOPE - {open_tag})
                 if i:
                     close_to(i)
-        if tag in BLOCK or away:
+        top = stack[-1]
+        if tag in BLOCK or away or mark[0] < 1 or (top[0] and top[0] not in BLOCK):
             if m[3].rstrip().endswith("/") and tag not in BLOCK:
                 continue
+            on = top[4]
+            if mark[0] < 1:
+                on = (*on, len(marks))
+                marks.append(mark)
+            if tag not in BLOCK:
+                stack.append((tag, top[1], top[2], away, on))
+                continue
             serial += 1
             tags.append(tag)
+            if tag in ARTICLE and _name_share(tag, at, True) < 1:
+                named.add(serial)
             name = f"{tag}.{at['class'].split()[0]}" if at.get("class", "").split() else tag
-            stack.append((tag, f"{stack[-1][1]}/{name}", serial, away))
+            stack.append((tag, f"{top[1]}/{name}", serial, away, on))
             article += tag in ARTICLE
-            if tag in BLOCK:
-                node = None
-    return nodes, tags
+            node = None
+    return nodes, tags, marks, named
+
+
+def _fused(chars, marks):
+    return np.sqrt((1 + chars) * (1 + marks)) - 1
+
+
+def away_marks(nodes: list[Node], tags: list[str], marks: list[tuple[float, bool]], named: set[int]) -> set[int]:
+    """The marks whose parts are not the article."""
+    if not marks:
+        return set()
+    # Text outside links, by part: (characters, chain, marks, shown, without a clear name).
+    parts = []
+    for x in nodes:
+        for s, linked, on in x.parts:
+            if not linked:
+                parts.append((len(s) - s.count(" ") - s.count("\n"), x.chain, on, all(marks[i][1] for i in on),
+                              all(marks[i][0] > CLEAR for i in on)))
+    for seen in ([p for p in parts if p[3] and p[4]], [p for p in parts if p[3]], parts):
+        if sum(p[0] for p in seen):
+            break
+    # The article element: the largest that holds a quarter of the text, or the main element that does.
+    held = defaultdict(int)
+    for n, chain, *_ in seen:
+        for serial in chain:
+            if tags[serial] in ARTICLE and serial not in named:
+                held[serial] += n
+    least = 0.25 * sum(p[0] for p in seen)
+    region = None
+    for tag in ("article", "main"):
+        found = [(n, -serial) for serial, n in held.items() if tags[serial] == tag and n >= least]
+        if found and region is None:
+            region = -max(found)[1]
+    shown = [p for p in parts if p[3]] if any(p[3] and p[0] for p in parts) else parts
+    whole, inside, within = 0, defaultdict(int), set()
+    for n, chain, on, *_ in shown:
+        if region is None or region in chain:
+            whole += n
+            for i in on:
+                inside[i] += n
+                within.add(i)
+    void = {i for i, n in inside.items() if 2 * n > whole}
+    # Outside a known article a name says more.
+    share = {i: v if region is None or i in within else 0.0 if v <= CLEAR else 0.1 * v
+             for i, (v, _) in enumerate(marks) if i not in void}
+    gone = {i for i, v in share.items() if v == 0}
+    if len(gone) == len(share):
+        return gone
+    # Path ratios: of what is not under a mark, and of every mark's own parts.
+    ratio = {}
+    for x in nodes:
+        by_mark = defaultdict(list)
+        for p in x.parts:
+            for i in [j for j in p[2] if j not in void] or [None]:
+                by_mark[i].append(p)
+        for i, kept in by_mark.items():
+            t = "".join(p[0] for p in kept)
+            r = ratio.setdefault((i, x.path), [0, 0, 0])
+            r[0] += sum(len(p[0].strip()) for p in kept if not p[1])
+            r[1] += len(_PUNCT.findall(unescape(t)))
+            r[2] += 1
+    best = defaultdict(float)
+    for (i, _), (c, m, n) in ratio.items():
+        best[i] = max(best[i], float(_fused(c / n, m / n)))
+    return gone | {i for i, v in share.items() if v * best[i] < 0.25 * best[None]}
 
 
 def path_scores(nodes: list[Node], texts: list[str]) -> np.ndarray:
@@ -227,14 +341,18 @@ def path_scores(nodes: list[Node], texts: list[str]) -> np.ndarray:
     ratio = np.array([[chars[x.path] / count[x.path], marks[x.path] / count[x.path]] for x in nodes])
     pad = np.pad(ratio, ((1, 1), (0, 0)), mode="edge")
     smooth = 0.25 * pad[:-2] + 0.5 * pad[1:-1] + 0.25 * pad[2:]
-    return np.sqrt((1 + smooth[:, 0]) * (1 + smooth[:, 1])) - 1
+    return _fused(smooth[:, 0], smooth[:, 1])
 
 
 def extract(html: str | None) -> str:
     """The main text of one page."""
     if not html:
         return ""
-    nodes, tags = text_nodes(html)
+    nodes, tags, marks, named = text_nodes(html)
+    gone = away_marks(nodes, tags, marks, named)
+    if gone:
+        for x in nodes:
+            x.drop(gone)
     texts = [x.text() for x in nodes]
     both = [(x, t) for x, t in zip(nodes, texts) if t]
     if not both:
