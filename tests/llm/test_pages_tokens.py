@@ -86,6 +86,21 @@ def test_page_names_lower_a_score_and_do_not_delete():
         assert H.extract(f"<body><article>{para * 2}</article>{part}</body>") == f"{text}\n{text}"
 
 
+def test_page_content_outside_the_container():
+    long = "A sentence, with commas, and words. " * 6
+    para, text = f"<p>{long}</p>", long.strip()
+    lead = f"<h1>Title</h1><h2>Below</h2><div>{para * 3}</div>"
+    assert H.extract(f"<body>{lead}</body>") == "\n".join(["Title", "Below", *[text] * 3])
+    two = f"<section>{para * 6}</section><section><h2>More</h2>{para}<ul><li>item</ul></section>"
+    assert H.extract(f"<body>{two}</body>") == "\n".join([text] * 6 + ["More", text, "item"])
+    for tag in ("main", "body"):
+        page = f"<{tag}><h1>Title</h1><article>{para * 2}</article></{tag}>"
+        assert H.extract(page) == f"Title\n{text}\n{text}"
+    assert H.extract(f"<main><h2>Title</h2><article>{para}</article></main>") == f"Title\n{text}"
+    split = f"<body><article>{para * 9}</article><div><h1>End</h1>{para}</div><p>x</p></body>"
+    assert H.extract(split) == "\n".join([text] * 9 + ["End", text])
+
+
 def test_pages_of_the_table(sf_tables):
     import html
     import re

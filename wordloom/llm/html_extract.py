@@ -12,8 +12,10 @@ words.  Per path:
   the page.
 
 Paths above it are content; the container that holds most content text is the
-article, and its other blocks (headings, short paragraphs, lists, tables) go with
-it.  Navigation, page headers, footers and asides are known by element and never
+article, and its other blocks (headings, short paragraphs, lists, tables) go with it,
+as with sibling elements that hold content.  Outside it a block stays if its path
+passes the threshold by the ratio before smoothing, and a heading just before a kept
+block does; outside an article element only the title (h1), or one in its main element.  Navigation, page headers, footers and asides are known by element and never
 count.  Forms, roles, hidden parts and name words (class or id) are marks: a mark on
 an element that holds most text of the page's article (of the page, if it has no
 article element) is void; else forms, roles and hidden parts go, and a name lowers
@@ -331,8 +333,8 @@ def away_marks(nodes: list[Node], tags: list[str], marks: list[tuple[float, bool
     return gone | {i for i, v in share.items() if v * best[i] < 0.25 * best[None]}
 
 
-def path_scores(nodes: list[Node], texts: list[str]) -> np.ndarray:
-    """Smoothed and fused tag-path ratio of every node."""
+def path_scores(nodes: list[Node], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Fused tag-path ratio of every node: smoothed, and its path's own."""
     chars, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
     for node, t in zip(nodes, texts):
         chars[node.path] += max(len(t) - node.linked, 0)
@@ -341,7 +343,7 @@ def path_scores(nodes: list[Node], texts: list[str]) -> np.ndarray:
     ratio = np.array([[chars[x.path] / count[x.path], marks[x.path] / count[x.path]] for x in nodes])
     pad = np.pad(ratio, ((1, 1), (0, 0)), mode="edge")
     smooth = 0.25 * pad[:-2] + 0.5 * pad[1:-1] + 0.25 * pad[2:]
-    return _fused(smooth[:, 0], smooth[:, 1])
+    return _fused(smooth[:, 0], smooth[:, 1]), _fused(ratio[:, 0], ratio[:, 1])
 
 
 def extract(html: str | None) -> str:
@@ -358,22 +360,35 @@ def extract(html: str | None) -> str:
     if not both:
         return ""
     nodes, texts = map(list, zip(*both))
-    score = path_scores(nodes, texts)
+    score, own = path_scores(nodes, texts)
     content = score >= max(score.max() * 0.25, score.mean() - score.std())
-    depth, inside = _container(nodes, texts, content, tags)
-    if tags[inside] in ("", "html", "body"):
-        # No element sets the article apart: blocks of nothing but links go.
-        own = [x.linked < 0.8 * len(t) for x, t in zip(nodes, texts)]
-    else:
-        own = [True] * len(nodes)
-    return "\n".join(t for x, t, k in zip(nodes, texts, own)
-                     if k and len(x.chain) > depth and x.chain[depth] == inside)
-
-
-def _container(nodes: list[Node], texts: list[str], content: np.ndarray, tags: list[str]) -> tuple[int, int]:
+    passed = own >= max(own.max() * 0.25, own.mean() - own.std())
+    depth, inside, siblings = _container(nodes, texts, content, passed, tags)
+    text = [x.linked < 0.8 * len(t) for x, t in zip(nodes, texts)]
+    # No element sets the article apart: blocks of nothing but links go.
+    loose = tags[inside] in ("", "html", "body")
+    part = [len(x.chain) > depth and x.chain[depth] in siblings for x in nodes]
+    keep = [(k or not loose) if p else k and bool(c) and tags[x.chain[-1]] not in HEADINGS
+            for x, p, k, c in zip(nodes, part, text, passed)]
+    _headings(nodes, tags, keep, [x for x in nodes[part.index(True)].chain if tags[x] in ARTICLE])
+    return "\n".join(t for t, k in zip(texts, keep) if k)
+
+
+def _headings(nodes: list[Node], tags: list[str], keep: list[bool], around: list[int]) -> None:
+    """Marks the headings just before a kept node as kept.  ``around``: the article
+    elements about the container, from the outermost."""
+    for i in range(len(nodes) - 2, -1, -1):
+        tag = tags[nodes[i].chain[-1]]
+        if not keep[i] and keep[i + 1] and tag in HEADINGS:
+            keep[i] = tag == "h1" or not around or around[0] in nodes[i].chain
+
+
+def _container(nodes: list[Node], texts: list[str], content: np.ndarray, passed: np.ndarray,
+               tags: list[str]) -> tuple[int, int, set[int]]:
     """(depth, serial) of the article: the deepest section that holds most
     content text, widened to the article element around it or, outside the
-    body itself, to sections that add little."""
+    body itself, to sections that add little; and the serials of it and of its
+    sibling elements of the same tag with content of their own."""
     picked, whole, paths = defaultdict(int), defaultdict(int), defaultdict(set)
     for x, t, c in zip(nodes, texts, content):
         for depth, serial in enumerate(x.chain):
@@ -388,11 +403,15 @@ def _container(nodes: list[Node], texts: list[str], content: np.ndarray, tags: l
     chain = next(x.chain for x in nodes if len(x.chain) > depth and x.chain[depth] == serial)
     around = [d for d in range(depth + 1) if tags[chain[d]] in ARTICLE]
     if around:
-        return around[-1], chain[around[-1]]
-    while depth > 1 and tags[chain[depth - 1]] not in ("body", "html", "") \
-            and whole[depth - 1, chain[depth - 1]] <= 1.25 * total:
-        depth -= 1
-    return depth, chain[depth]
+        depth = around[-1]
+    else:
+        while depth > 1 and tags[chain[depth - 1]] not in ("body", "html", "") \
+                and whole[depth - 1, chain[depth - 1]] <= 1.25 * total:
+            depth -= 1
+    siblings = {x.chain[depth] for x, t, c in zip(nodes, texts, passed) if c and x.linked < 0.8 * len(t)
+                and len(x.chain) > depth and x.chain[:depth] == chain[:depth]
+                and tags[x.chain[depth]] == tags[chain[depth]]}
+    return depth, chain[depth], siblings | {chain[depth]}
 
 
 def _run(batches):
