@@ -189,5 +189,18 @@ def test_hot_segments_equal_brute_force(spark, monkeypatch):
     assert {r.doc_id: r.text for r in out}[77] == stem * 2
 
 
+def test_line_keys_are_counted_without_a_window(spark, monkeypatch):
+    plans, keep = {}, LD.store
+
+    def store(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(LD, "store", store)
+    stem = "the same long beginning of every line number "
+    check_lines(spark, [(i, "\n".join(stem + str(1000 + 6 * i + k) for k in range(6))) for i in range(8)], monkeypatch)
+    assert "hot-keys" in plans and not any("Window" in p for p in plans.values())
+
+
 def test_tables(sf_tables):
     sf_tables.check("op10_decontamination", D.SQL)

@@ -11,7 +11,8 @@ line); equal lines of any length are one class.
   probes for a limit of 2, three of them its own segments).  Segments and probes
   are 64-bit keys of (length, segment number, content), computed for a whole Arrow
   batch at once; only segments and the probes that met one are written.
-* Keys with at most ``HOT`` indexed lines are joined; keys with more are cut into
+* Lines are counted per key in a map-side combined grouping, never a window; keys
+  with at most ``HOT`` indexed lines are joined; keys with more are cut into
   blocks of ``BLOCK`` indexed and probing lines that meet in one task each, which
   emits link counts and a spanning forest instead of pairs.
 * Candidates are verified by banded bit-parallel edit distance on whole lines, many
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import measured_broadcast, sorted_groups, store, table
@@ -234,9 +235,12 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = split_lines(docs.select("doc_id", "text"))
     long = lines.where(F.char_length("line") >= MIN_CHARS).select("node", "line")
     index = long.mapInArrow(_line_keys(_index_rows, "seg"), "seg int, key long, node long").distinct()
-    index = store(index.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key"))), "line-index")
-    few = index.where(F.col("m") <= HOT)
-    hot = index.where(F.col("m") > HOT).select("key", "seg", "node")
+    index = store(index, "line-index")
+    # Counts combine map-side; only the large keys are kept and sent to the index.
+    large = measured_broadcast(store(index.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+                                     .where(F.col("m") > HOT).select("key"), "hot-keys"), 8)
+    few = index.join(large, "key", "left_anti")
+    hot = index.join(large, "key", "left_semi").select("key", "seg", "node")
     # A probe meets each line of a small key, and a large key once.
     targets = few.select("key", "seg", F.col("node").alias("a")).union(
         hot.select("key", "seg", F.lit(None).cast("long")).distinct())
@@ -244,9 +248,10 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = store(probe.withColumnRenamed("node", "b").join(targets, "key").where(
         "a is null or (longer > 0 and a <> b) or a < b").distinct(), "line-probes")
 
-    some = few.where("m > 1")
-    level = some.select("key", "seg", F.col("node").alias("a")).join(
-        some.select("key", F.col("node").alias("b")), "key").where("a < b")
+    # At most HOT lines a key.
+    same = few.groupBy("key", "seg").agg(F.collect_list("node").alias("nodes")).where(F.size("nodes") > 1)
+    level = same.select("seg", F.explode("nodes").alias("a"), "nodes").select(
+        "seg", "a", F.explode("nodes").alias("b")).where("a < b")
     pairs = store(met.where("a is not null").select("a", "b", "seg").union(level.select("a", "b", "seg")).distinct(),
                   "line-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
