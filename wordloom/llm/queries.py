@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, embed_dedup, minhash, mixing
+from . import chat, decontam, embed_dedup, merkle, minhash, mixing
 from .chat import op8_chat_format
 from .decontam import op10_decontamination
 from .embed_dedup import op6_embedding_dedup
 from .html_extract import op7_html_extraction
 from .lang_id import op1_language_id
 from .line_dedup import op2_line_dedup
+from .merkle import op12_merkle_manifest
 from .minhash import op4_minhash_near_dedup
 from .mixing import op5_mixing
 from .token_counts import op3_token_counts
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_token_output": op9_token_output,
     "op10_decontamination": op10_decontamination,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -33,4 +35,5 @@ ORACLES: dict[str, str] = {
     "op6_embedding_dedup": embed_dedup.SQL,
     "op8_chat_format": chat.SQL,
     "op10_decontamination": decontam.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
