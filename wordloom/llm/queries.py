@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, embed_dedup, merkle, minhash, mixing
+from . import centroids, chat, decontam, embed_dedup, license_scan, merkle, minhash, mixing
+from .centroids import op11_centroid_clustering
 from .chat import op8_chat_format
 from .decontam import op10_decontamination
 from .embed_dedup import op6_embedding_dedup
 from .html_extract import op7_html_extraction
 from .lang_id import op1_language_id
+from .license_scan import op13_license_scan
 from .line_dedup import op2_line_dedup
 from .merkle import op12_merkle_manifest
 from .minhash import op4_minhash_near_dedup
@@ -26,7 +28,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_token_output": op9_token_output,
     "op10_decontamination": op10_decontamination,
+    "op11_centroid_clustering": op11_centroid_clustering,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLES: dict[str, str] = {
@@ -35,5 +39,7 @@ ORACLES: dict[str, str] = {
     "op6_embedding_dedup": embed_dedup.SQL,
     "op8_chat_format": chat.SQL,
     "op10_decontamination": decontam.SQL,
+    "op11_centroid_clustering": centroids.SQL,
     "op12_merkle_manifest": merkle.SQL,
+    "op13_license_scan": license_scan.SQL,
 }
