@@ -13,8 +13,10 @@ entries it makes as one run, every file in order of (cluster, key).  Drift never
 falls, so an entry's key says by itself when it was popped: between last round's
 drift and this one's.  Popping is a range filter on (cluster, key) over the runs,
 which Parquet's statistics answer from the heads of the sorted files; entries
-popped before are left behind and never rewritten.  Popped vectors are rescanned
-against all centroids (numpy on Arrow batches) and pushed with a new key.
+popped before are left behind.  Popped vectors are rescanned against all centroids
+(numpy on Arrow batches) and pushed with a new key.  After a round that popped
+more than half of all entries the next run takes in the live rest as it is, and the
+older runs are deleted, so dead entries never outgrow the live ones for long.
 Centroid sums change by the vectors that changed cluster alone.
 
 Keys are lowered by a relative 1e-12, far more than the rounding of the bounds, so
@@ -42,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import drop_table, scratch_path
+from ..session import drop_table
 from .common import store, table
 
 DIM = 64
@@ -124,36 +126,54 @@ def _measure(centroids: np.ndarray):
 
 
 class Heaps:
-    """The clusters' heaps: runs of sorted entries under one folder."""
+    """The clusters' heaps: written runs of sorted entries, the last one newest."""
 
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.path, self.last = spark, scratch_path(spark, "heaps"), -1
+    def __init__(self) -> None:
+        self.runs: list[DataFrame] = []
 
-    def entries(self) -> DataFrame:
-        return self.spark.read.schema(f"{ENTRY}, run int").parquet(self.path)
-
-    def push(self, vectors: DataFrame, centroids: np.ndarray, drift: np.ndarray) -> DataFrame:
-        """Write one more run and return it."""
-        self.last += 1
+    def push(self, vectors: DataFrame, centroids: np.ndarray, drift: np.ndarray, merge: bool = False) -> DataFrame:
+        """Write one more run and return it.  ``merge`` takes every live entry into
+        it (``was`` null: not rescanned) and deletes the older runs."""
         run = vectors.mapInArrow(_push(centroids, drift), ENTRY)
-        run.sortWithinPartitions("cluster", "key").write.parquet(f"{self.path}/run={self.last}")
-        return self.spark.read.schema(ENTRY).parquet(f"{self.path}/run={self.last}")
+        if merge:
+            for old in self.runs:
+                rest = old.where(self._keys(drift, lambda d: F.col("key") > d))
+                run = run.unionByName(rest.withColumn("was", F.lit(None).cast("int")))
+        new = store(run.sortWithinPartitions("cluster", "key"), "heap-run")
+        if merge:
+            self.drop()
+        self.runs.append(new)
+        return new
+
+    @staticmethod
+    def _keys(drift: np.ndarray, of) -> F.Column:
+        """A condition on the key for every cluster, for Parquet to prune by."""
+        out = F.lit(False)
+        for j, d in enumerate(drift.tolist()):
+            out = out | ((F.col("cluster") == j) & of(d))
+        return out
 
     def popped(self, before: np.ndarray, now: np.ndarray) -> DataFrame:
         """Entries that expire as drifts go from ``before`` to ``now``.  Those of
         the last run may hold keys below ``before``: ties, expired at once."""
-        due = F.lit(False)
-        for j, (a, b) in enumerate(zip(before.tolist(), now.tolist())):
-            live = (F.col("run") == self.last) | (F.col("key") > a)
-            due = due | ((F.col("cluster") == j) & (F.col("key") <= b) & live)
-        return self.entries().where(due)
+        *older, last = self.runs
+        out = last.where(self._keys(now, lambda d: F.col("key") <= d))
+        for run in older:
+            out = out.unionByName(run.where(self._keys(before, lambda d: F.col("key") > d)
+                                            & self._keys(now, lambda d: F.col("key") <= d)))
+        return out
 
     def live(self, drift: np.ndarray) -> DataFrame:
         """One entry per vector."""
-        kept = F.col("run") == self.last
-        for j, d in enumerate(drift.tolist()):
-            kept = kept | ((F.col("cluster") == j) & (F.col("key") > d))
-        return self.entries().where(kept)
+        *older, out = self.runs
+        for run in older:
+            out = out.unionByName(run.where(self._keys(drift, lambda d: F.col("key") > d)))
+        return out
+
+    def drop(self) -> None:
+        for run in self.runs:
+            drop_table(run)
+        self.runs = []
 
 
 def _moved_sums(run: DataFrame, dim: int) -> list:
@@ -177,7 +197,7 @@ def heap_clusters(vectors: DataFrame, k: int = K, rounds: int = ROUNDS, prefix:
     if not len(centroids):
         return spark.createDataFrame([], "vec_id long, cluster int, distance long"), centroids, []
     dim = centroids.shape[1]
-    heaps = Heaps(spark)
+    heaps = Heaps()
     drift = np.zeros(len(centroids))
     run = heaps.push(vectors.withColumn("was", F.lit(-1)), centroids, drift)
     scanned = [run.count()]
@@ -194,11 +214,11 @@ def heap_clusters(vectors: DataFrame, k: int = K, rounds: int = ROUNDS, prefix:
         others = np.array([np.delete(step, j).max(initial=0.0) for j in range(len(step))])
         drift = before + step + others
         due = heaps.popped(before, drift).select("vec_id", "v", F.col("cluster").alias("was"))
-        run = heaps.push(due, centroids, drift)
-        scanned.append(run.count())
+        run = heaps.push(due, centroids, drift, merge=2 * scanned[-1] > scanned[0])
+        scanned.append(run.where("was is not null").count())
     assigned = store(heaps.live(drift).select("vec_id", "v", "cluster").mapInArrow(
         _measure(centroids), "vec_id long, cluster int, distance long"), "clusters")
-    drop_table(heaps.entries())
+    heaps.drop()
     return assigned, centroids, scanned
 
 
