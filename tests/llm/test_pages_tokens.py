@@ -122,11 +122,30 @@ def test_pages_edges(spark):
 
 
 def test_encoder_equals_the_library():
-    enc, rng = TextEncoder(cache_parts=50), random.Random(1)
-    bits = [" ", "  ", "\n", "a", "é", "I'm", "123", "…", "中", " ", "　", "\x1c", "'s", ".", "\t", "Ġ", "😀", "ab, cd"]
+    enc, rng = TextEncoder(memory_bytes=20_000), random.Random(1)
+    guarded = TextEncoder(guard_control=True)
+    bits = [" ", "  ", "\n", "a", "é", "I'm", "123", "…", "中", " ", "　", "\x1c", "'s", ".", "\t", "Ġ", "😀", "ab, cd", "<|endoftext|>", "x" * 80, "end."]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + [None]
     for t, got in zip(texts, enc.encode(texts)):
-        assert np.frombuffer(got, "<u4").tolist() == TOK.encode(t or "", add_special_tokens=False).ids
+        assert np.frombuffer(got, enc.type).tolist() == TOK.encode(t or "", add_special_tokens=False).ids
+        assert guarded.control is None and 50256 not in np.frombuffer(guarded.encode_one(t), enc.type)
+    assert len(enc.inner) < 100 and all(len(p) <= 64 for p in enc.inner)      # bounded in bytes, no long part
+
+
+def test_too_many_ids_are_an_error(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(TO, "MAX_VOCAB", 1000)
+    with pytest.raises(ValueError, match="at most 1000"):
+        TO.write_token_files(spark.createDataFrame([(1, "a")], "doc_id long, text string"), f"{tmp_path}/t")
+    assert not (tmp_path / "t").exists()
+
+
+def test_slices_are_bounded_in_bytes():
+    import pyarrow as pa
+    from wordloom.llm.common import bounded
+    texts = ["a" * n for n in (10, 500, 3000, 20, 0, 900)] + [None, "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], ["i", "t"])
+    got = [s.column(1).to_pylist() for s in bounded([batch, batch.slice(0, 0)], 1, 1000)]
+    assert sum(got, []) == texts and all(len(s) == 1 or sum(len(t or "") for t in s) <= 1000 for s in got)
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 1000])

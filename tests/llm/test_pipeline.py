@@ -48,3 +48,32 @@ def test_stages(spark):
         rows.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert got == rows
+
+
+NAMES = "d th text_hash times rows nth size u cell score lang_pred node at target weight _th".split()
+
+
+def test_stages_leave_other_columns_alone(spark):
+    """Columns named like the stages' own come out as they went in."""
+    from pyspark.sql import functions as F
+    rows = table(spark, SF, "documents").limit(60).collect()
+    docs = spark.createDataFrame(rows, table(spark, SF, "documents").schema)
+    wide = store(docs.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in NAMES], F.lit(1).alias("a.b c")),
+                 "test-wide")
+    plain = docs
+    for name, stage in P.STAGES[:-1]:
+        wide, plain = store(stage(spark, wide, SF), "test-wide"), store(stage(spark, plain, SF), "test-plain")
+        assert wide.columns == [*docs.columns, *NAMES, "a.b c"]
+        got = wide.collect()
+        assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in plain.collect()) and got
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in NAMES)
+
+
+def test_empty_and_null_tables(spark):
+    """No rows give no rows; rows of nulls have no language and go in the first stage."""
+    schema = table(spark, SF, "documents").schema
+    for rows in ([], [(None,) * len(schema)] * 3):
+        docs = spark.createDataFrame(rows, schema)
+        for name, stage in P.STAGES:
+            docs = store(stage(spark, docs, SF), "test-none")
+            assert docs.count() == 0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import fits_broadcast, write_table
 
-__all__ = ["lower_ascii", "measured_broadcast", "sorted_groups", "store", "table"]
+__all__ = ["bounded", "columns_of", "free_names", "lower_ascii", "measured_broadcast", "sorted_groups", "store", "table"]
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -22,6 +22,43 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return write_table(df, name)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (nor each other)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+SLICE_BYTES = 4 << 20
+
+
+def bounded(batches, column: int, most: int = SLICE_BYTES):
+    """The rows of Arrow batches in slices of at most ``most`` bytes of text in
+    ``column`` (one longer text is a slice of its own)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy().astype(np.int64) + 64)
+        a = 0
+        while a < b.num_rows:
+            done = ends[a - 1] if a else 0
+            z = max(a + 1, int(np.searchsorted(ends, done + most, side="right")))
+            yield b.slice(a, z - a)
+            a = z
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, _UPPER, _UPPER.lower())

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, measured_broadcast, store, table
+from .common import columns_of, free_names, lower_ascii, measured_broadcast, store, table
 
 WINDOW = 13
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"                    # after lower-casing
@@ -44,9 +44,9 @@ def _words(c) -> F.Column:
     return F.split(lower_ascii(c), _BREAKS)
 
 
-def _doc_key(df: DataFrame) -> DataFrame:
-    return df.withColumns({"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
-                           "th": F.xxhash64("text")})
+def _doc_key(df: DataFrame, d: str = "d", th: str = "th") -> DataFrame:
+    return df.withColumns({d: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
+                           th: F.xxhash64("text")})
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -143,8 +143,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: contaminated documents go."""
+    key = free_names(docs, *DOC)
     bad = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(*DOC).distinct()
-    return _doc_key(docs).join(bad, DOC, "left_anti").select(*docs.columns)
+    return _doc_key(docs, *key).join(bad.toDF(*key), key, "left_anti").select(*columns_of(docs))
 
 
 _SQL_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

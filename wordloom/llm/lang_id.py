@@ -34,8 +34,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import table
+from .common import bounded, columns_of, free_names, table
 
 BUCKETS = 1 << 15
 ORDERS = 3
@@ -133,7 +134,7 @@ def tf_vector(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _df_of_task(batches):
     df = np.zeros(BUCKETS, dtype=np.int64)
-    for b in batches:
+    for b in bounded(batches, 0):
         for t in b.column(0).to_pylist():
             if t:
                 df[np.unique(ngram_buckets(t))] += 1
@@ -142,7 +143,7 @@ def _df_of_task(batches):
 
 
 def _sample_features(batches):
-    for b in batches:
+    for b in bounded(batches, 2):
         rows = [tf_vector(ngram_buckets(t)) if t else ((), ()) for t in b.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [b.column(0).cast(pa.string()), b.column(1),
@@ -264,21 +265,24 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, max_langs: int = MAX_LA
     return Model(langs, w, idf, bias, temperature)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` added."""
+def predict(docs: DataFrame, model: Model, text_col: str = "text", pred: str = "lang_pred",
+            score: str = "score") -> DataFrame:
+    """``docs`` with the columns ``pred`` and ``score`` added (or put in place of its own)."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    at = rest.index(text_col)
+    rows = docs.drop(pred, score)
+    rest, at = rows.columns, rows.columns.index(text_col)
+    # Plain names on the way through Arrow, whatever the table's are.
+    plain = [f"c{i}" for i in range(len(rest))]
+    rows = rows.toDF(*plain)
 
     def run(batches):
-        for b in batches:
+        for b in bounded(batches, at):
             names, scores = held.value.predict(b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                [*rest, "lang_pred", "score"])
-    rows = docs.select(*rest)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{fields}, lang_pred string, score double")
+                [*plain, "pred", "score"])
+    schema = StructType([*rows.schema.fields, StructField("pred", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(run, schema).toDF(*rest, pred, score)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,5 +294,6 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without a language, or with an unsure one, go."""
-    return predict(docs, train(docs)).where(
-        (F.col("lang_pred") != UND) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    pred, score = free_names(docs, "lang_pred", "score")
+    return predict(docs, train(docs), pred=pred, score=score).where(
+        (F.col(pred) != UND) & (F.col(score) >= MIN_SCORE)).select(*columns_of(docs))

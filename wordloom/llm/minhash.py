@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sorted_groups, store, table
+from .common import bounded, columns_of, free_names, sorted_groups, store, table
 from .components import components
 from .shingles import _POS, U64, fmix, keyed_words, minima_of_sets, set_fingerprint, shingle_set
 
@@ -67,7 +67,7 @@ def packed(mins: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches):
-    for b in batches:
+    for b in bounded(batches, 1):
         sets = [shingle_set(t, WIDTH) for t in b.column(1).to_pylist()]
         mins = minima_of_sets(sets, _MULT, _ADD)
         prints = [set_fingerprint(s) for s in sets]
@@ -80,7 +80,7 @@ def _sign(batches):
 
 
 def _sets(batches):
-    for b in batches:
+    for b in bounded(batches, 1):
         sets = [shingle_set(t, WIDTH) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array([set_fingerprint(s)[0] for s in sets], pa.int64()),
@@ -226,10 +226,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group stays (rows that repeat an id and
     its text are one document); rows with a null doc_id stay."""
-    row = ["doc_id", "_th"]
-    drop = near_duplicates(docs).where(~F.col("kept")).select("doc_id", F.col("text_hash").alias("_th")).distinct()
-    known = docs.where("doc_id is not null").withColumn("_th", F.xxhash64("text"))
-    once = known.join(drop, row, "left_anti").dropDuplicates(row).select(*docs.columns)
+    th, = free_names(docs, "text_hash")
+    drop = near_duplicates(docs).where(~F.col("kept")).select("doc_id", F.col("text_hash").alias(th)).distinct()
+    known = docs.where("doc_id is not null").withColumn(th, F.xxhash64("text"))
+    once = known.join(drop, ["doc_id", th], "left_anti").dropDuplicates(["doc_id", th]).select(*columns_of(docs))
     return once.union(docs.where("doc_id is null"))
 
 

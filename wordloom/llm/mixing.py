@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rng import keyed_uniform, uniform_sql
 from ..operators.rank import dense_index
-from .common import measured_broadcast, store, table
+from .common import columns_of, free_names, measured_broadcast, store, table
 
 WEIGHTS = (3, 1, 2)          # by rank of the source, repeating
 BUDGET = 1.5                 # of all words
@@ -127,19 +127,19 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document stands as often as the mix takes it."""
-    cols = docs.columns
-    key = docs.withColumns({"_th": F.xxhash64("text"), "_n": n_words("text")})
-    mixed = mix(key.select("doc_id", "source", "_th", F.col("_n").alias("size")))
-    times = mixed.where("taken > 0").groupBy("doc_id", "source", "_th").agg(
-        F.sum(F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    copies = mixed.groupBy("doc_id", "source", "_th").agg(F.count(F.lit(1)).alias("_rows"))
-    both = ["doc_id", "source", "_th"]
+    th, times, rows, nth = free_names(docs, "text_hash", "times", "rows", "nth")
+    both = ["doc_id", "source", th]
+    key = docs.withColumn(th, F.xxhash64("text"))
+    mixed = mix(key.select(*both, n_words("text").alias("size")))
+    got = mixed.groupBy(*both).agg(
+        F.sum(F.when(F.col("taken") > 0, F.col("taken") / F.col("size"))).cast("int").alias(times),
+        F.count(F.lit(1)).alias(rows))
+    plan = store(got.where(F.col(times) > 0), "mix-times")
     same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in both]
-    plan = store(times.alias("x").join(copies.alias("y"), same).select("x.*", "_rows"), "mix-times")
-    joined = key.alias("x").join(plan.alias("y"), same).select("x.*", "_times", "_rows")
+    joined = key.alias("x").join(plan.alias("y"), same).select("x.*", f"y.{times}", f"y.{rows}")
     # Repeated input rows share their repetitions, so one of them stands for all.
-    once = joined.where("_rows = 1").unionByName(joined.where("_rows > 1").dropDuplicates(both))
-    return once.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*cols)
+    once = joined.where(F.col(rows) == 1).unionByName(joined.where(F.col(rows) > 1).dropDuplicates(both))
+    return once.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*columns_of(docs))
 
 
 _N = "coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)"

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import store, table
+from .common import bounded, store, table
 from .tokenizer import DEFAULT_VOCAB, encoder
 
 BLOCK = 1 << 12          # histogram lengths per prefix-sum block
@@ -32,8 +32,8 @@ def encoded_lengths(docs: DataFrame, text_col: str = "text", vocab: str = DEFAUL
     """One row ``(n_tokens long)`` per document."""
     def run(batches):
         enc = encoder(vocab)
-        for b in batches:
-            n = [len(x) // 4 + extra for x in enc.encode(b.column(0).to_pylist())]
+        for b in bounded(batches, 0):
+            n = [len(x) // enc.width + extra for x in enc.encode(b.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], ["n_tokens"])
     return docs.select(F.col(text_col)).mapInArrow(run, "n_tokens long")
 

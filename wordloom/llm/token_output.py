@@ -3,9 +3,9 @@
 Writing
   1. documents are range-partitioned by the order key and sorted inside each
      partition, so parts follow each other in ascending order;
-  2. texts are encoded whole and the ids written once into the shared folder;
-  3. ids are counted over all of them (one row per task and id leaves a
-     worker) and ranked by frequency: the most frequent id gets rank 0;
+  2. texts are encoded whole and the ids written once into the shared folder,
+     every task adding one row with its own counts of ids;
+  3. these rows are summed per id and ranked: the most frequent id gets rank 0;
   4. ranks are packed in blocks: per rank a two-bit length code in a control
      stream (four codes a byte) and one to four little-endian bytes in a data
      stream kept apart from it.
@@ -20,7 +20,8 @@ Reading
   once and maps them to ids.  Starts come from the parts' totals (one row each).
 
 Null and empty texts hold only the end id.  Rows that share a key keep an order
-by text; null keys come first; an empty table gives empty files.
+by text; null keys come first; an empty table gives empty files.  A vocabulary of
+more than MAX_VOCAB ids is an error.
 """
 
 from __future__ import annotations
@@ -33,13 +34,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .common import store, table
+from ..session import drop_table, scratch_path
+from .common import bounded, store, table
 from .tokenizer import DEFAULT_VOCAB, encoder
 
 BLOCK_IDS = 1 << 18
 MAX_VOCAB = 1 << 20          # ids a vocabulary may have: bounds the rank table
 RAW = "part int, seq long, doc_id long, ids binary"
+SUM_TASKS = 16
+COUNTS = -1                  # seq of a task's row of counts
 BLOCKS = "part int, block long, doc_ids array<long>, lens array<int>, control binary, data binary"
 
 
@@ -84,21 +87,30 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def _encode_sorted(vocab: str, end_id: int):
+    def rows(part, seq, docs, ids):
+        n = len(ids)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part] * n, pa.int32()), pa.array(seq, pa.int64()), docs, pa.array(ids, pa.binary())],
+            ["part", "seq", "doc_id", "ids"])
+
     def run(batches):
         enc = encoder(vocab)
         part, seq = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype="<u4").tobytes()
-        for b in batches:
+        end = np.array([end_id], dtype=enc.type).tobytes()
+        total = np.zeros(enc.tok.get_vocab_size(), dtype=np.int64)
+        for b in bounded(batches, 1):
+            # One join per slice, the end ids in it, serves the counts and the rows.
             ids = [x + end for x in enc.encode(b.column(1).to_pylist())]
-            n = len(ids)
-            # 16 bits hold this vocabulary's ids; half the bytes to write.
-            small = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids] \
-                if enc.tok.get_vocab_size() <= 1 << 16 else ids
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()),
-                 b.column(0).cast(pa.int64()), pa.array(small, pa.binary())],
-                ["part", "seq", "doc_id", "ids"])
-            seq += n
+            got = np.bincount(np.frombuffer(b"".join(ids), dtype=enc.type))
+            if len(got) > len(total):                    # an end id outside the vocabulary
+                total = np.append(total, np.zeros(len(got) - len(total), dtype=np.int64))
+            total[:len(got)] += got
+            yield rows(part, range(seq, seq + len(ids)), b.column(0).cast(pa.int64()), ids)
+            seq += len(ids)
+        at = np.flatnonzero(total)
+        if len(at):
+            counts = np.stack([at, total[at]], axis=1).astype("<i8").tobytes()
+            yield rows(part, [COUNTS], pa.array([None], pa.int64()), [counts])
     return run
 
 
@@ -106,18 +118,17 @@ def _ids_of(raw: bytes, width: int) -> np.ndarray:
     return np.frombuffer(raw, dtype=f"<u{width}")
 
 
-def _count_ids(width: int):
-    def run(batches):
-        total = np.zeros(1 << 16, dtype=np.int64)
-        for b in batches:
-            raw = b"".join(b.column(0).to_pylist())
-            if raw:
-                got = np.bincount(_ids_of(raw, width), minlength=len(total))
-                got[:len(total)] += total
-                total = got
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
-    return run
+def _summed(batches):
+    """One row per id for all count rows of a task."""
+    total = np.zeros(0, dtype=np.int64)
+    for b in batches:
+        for raw in b.column(0).to_pylist():
+            at, n = np.frombuffer(raw, "<i8").reshape(-1, 2).T
+            if at[-1] >= len(total):
+                total = np.append(total, np.zeros(int(at[-1]) + 1 - len(total), dtype=np.int64))
+            total[at] += n
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
 
 
 def _write_blocks(rank_of: np.ndarray, width: int):
@@ -148,6 +159,13 @@ def _write_blocks(rank_of: np.ndarray, width: int):
     return run
 
 
+def _checked(vocab: str):
+    enc = encoder(vocab)
+    if enc.tok.get_vocab_size() > MAX_VOCAB:
+        raise ValueError(f"{vocab}: {enc.tok.get_vocab_size()} ids, at most {MAX_VOCAB} can be ranked")
+    return enc
+
+
 def write_token_files(docs: DataFrame, path: str, key_col: str = "doc_id", text_col: str = "text",
                       vocab: str = DEFAULT_VOCAB, end_id: int = 0) -> None:
     """Encode ``docs`` in ascending ``key_col`` order into files under ``path``."""
@@ -158,12 +176,14 @@ def write_token_files(docs: DataFrame, path: str, key_col: str = "doc_id", text_
     rows = rows.withColumn("_h", F.xxhash64("text"))
     ordered = rows.repartitionByRange(parts, "doc_id", "_h") \
         .sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")
+    width = _checked(vocab).width
     raw = store(ordered.mapInArrow(_encode_sorted(vocab, end_id), RAW), "token-ids")
-    width = 2 if encoder(vocab).tok.get_vocab_size() <= 1 << 16 else 4
-    counts = raw.select("ids").mapInArrow(_count_ids(width), "id long, n long") \
+    # A count row per writing task goes to SUM_TASKS tasks, so their sums hold at most so many rows per id.
+    counts = raw.where(F.col("seq") == COUNTS).select("ids").repartition(SUM_TASKS) \
+        .mapInArrow(_summed, "id long, n long") \
         .groupBy("id").agg(F.sum("n").alias("n"))
     # One row per vocabulary id: bounded by the tokenizer, never by the corpus.
-    top = counts.orderBy(F.desc("n"), "id").limit(MAX_VOCAB).collect()
+    top = counts.orderBy(F.desc("n"), "id").collect()
     id_of = np.array([r["id"] for r in top], dtype=np.int64)
     rank_of = np.zeros(int(id_of.max()) + 1 if len(id_of) else 1, dtype="<u4")
     rank_of[id_of] = np.arange(len(id_of))
@@ -174,7 +194,9 @@ def write_token_files(docs: DataFrame, path: str, key_col: str = "doc_id", text_
     def blocks(batches):
         yield from _write_blocks(ranked.value, width)(batches)
     # Each scratch file is one sorted part; a split of it is still in order.
-    raw.mapInArrow(blocks, BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    raw.where(F.col("seq") != COUNTS).mapInArrow(blocks, BLOCKS) \
+        .write.option("compression", "zstd").parquet(f"{path}/blocks")
+    drop_table(raw)
 
 
 def read_token_files(spark: SparkSession, path: str, fn, schema: str) -> DataFrame:

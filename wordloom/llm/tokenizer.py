@@ -3,7 +3,10 @@
 The pre-tokenizer of a byte-level BPE always starts a new piece at a space
 that a non-space follows, so a text may be cut before each such space and the
 parts encoded one by one: the ids are the same.  Parts repeat (words do), so
-each Python worker remembers the ids of parts it has seen, up to a bound.
+each Python worker remembers the ids of parts it has seen, up to a bound in
+bytes.  A text that holds a control string of the vocabulary (``<|endoftext|>``)
+goes through the library whole: it gives the control's id, as the plain call does.
+``guard_control=True`` encodes control strings as ordinary text instead.
 
 The vocabulary file is looked up by name on the worker and never copied.
 """
@@ -17,10 +20,10 @@ from struct import pack
 import numpy as np
 
 DEFAULT_VOCAB = "byte_bpe_50k.json"
-ID_TYPE = np.dtype("<u4")
-CACHE_PARTS = 1_000_000                     # remembered parts per worker (about 150 MB)
+MEMORY_BYTES = 128 << 20                    # remembered parts per worker, both generations
+LONG_PART = 64                              # characters: longer parts are not remembered
+_ENTRY_BYTES = 150                          # of a remembered part besides its characters and ids
 _CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?=\s|\Z)")            # a space after which the text may not be cut
 
 
 def _byte_chars() -> dict[int, str]:
@@ -31,26 +34,37 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Odd(Exception):
+    """A space that white space or the text's end follows: no place to cut."""
+
+
 class Memory(dict):
-    """A bounded memory of a function: forgotten as a whole between texts."""
+    """A function's values, bounded in bytes.  Two generations: once the younger
+    holds half the bound it becomes the older one, whose entries stay only if they
+    are asked for again."""
 
-    def __init__(self, fn, most: int) -> None:
+    def __init__(self, fn, most_bytes: int) -> None:
         super().__init__()
-        self.fn, self.most = fn, most
+        self.fn, self.most, self.held, self.old = fn, most_bytes // 2, 0, {}
 
     def __missing__(self, key):
-        got = self[key] = self.fn(key)
+        got = self.old.get(key)
+        if got is None:
+            got = self.fn(key)
+        if len(key) <= LONG_PART:
+            if self.held > self.most:
+                self.old, self.held = dict(self), 0
+                self.clear()
+            self[key] = got
+            self.held += _ENTRY_BYTES + len(key) + len(got)
         return got
 
-    def trim(self) -> None:
-        if len(self) > self.most:
-            self.clear()
-
 
 class TextEncoder:
-    """ids of whole texts, as little-endian unsigned 32-bit bytes."""
+    """ids of whole texts, as little-endian unsigned integers of ``width`` bytes
+    (2 while the vocabulary's ids fit, else 4)."""
 
-    def __init__(self, vocab: str = DEFAULT_VOCAB, cache_parts: int = CACHE_PARTS) -> None:
+    def __init__(self, vocab: str = DEFAULT_VOCAB, memory_bytes: int = MEMORY_BYTES, guard_control: bool = False) -> None:
         import os
 
         import public_tokenizers
@@ -59,16 +73,32 @@ class TextEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(vocab if "/" in vocab else public_tokenizers.path(vocab))
-        self.tok.encode_special_tokens = True   # a document can't write control ids
+        self.tok.encode_special_tokens = guard_control
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.control = None if guard_control or not added else re.compile("|".join(map(re.escape, added)))
+        self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
+        self.type = np.dtype(f"<u{self.width}")
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.chars = _byte_chars()
-        self.model = self.tok.model
-        self.inner = Memory(lambda p: self._part(" " + p), cache_parts)     # parts that follow a space
-        self.first = Memory(self._part, cache_parts // 8)                   # parts that begin a text
+        self.tokenize = self.tok.model.tokenize
+        self.inner = Memory(self._inner, memory_bytes * 7 // 8)             # parts that follow a space
+        self.first = Memory(self._part, memory_bytes // 8)                  # parts that begin a text
 
     def _piece(self, piece: str) -> list[int]:
         word = piece.encode("utf-8").decode("latin-1").translate(self.chars)
-        return [t.id for t in self.model.tokenize(word)]
+        return [t.id for t in self.tokenize(word)]
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+
+    def _inner(self, part: str) -> bytes:
+        if not part or part[0].isspace():
+            raise _Odd
+        if part.isascii() and part.isalpha():
+            return self._packed([t.id for t in self.tokenize("\u0120" + part)])       # a word is one piece
+        if part[-1] in ".,;:!?" and part[:-1].isascii() and part[:-1].isalpha():
+            return self.inner[part[:-1]] + self.first[part[-1]]
+        return self._part(" " + part)
 
     def _part(self, s: str) -> bytes:
         """Ids of one part (none for an empty one).  Latin letters take the model directly (the pattern's
@@ -76,24 +106,26 @@ class TextEncoder:
         if not s:
             return b""
         if not s.isascii() and max(s) >= "ɐ":
-            ids = self.tok.encode(s, add_special_tokens=False).ids
-        elif s[1:].isalpha() and (s[0] == " " or s[0].isalpha()):
-            ids = self._piece(s)                # a word is one piece
-        else:
-            ids = [i for piece in self.pieces(s) for i in self._piece(piece)]
-        return pack(f"<{len(ids)}I", *ids)
+            return self._whole(s)
+        return self._packed([i for piece in self.pieces(s) for i in self._piece(piece)])
+
+    def _whole(self, s: str) -> bytes:
+        return self._packed(self.tok.encode(s, add_special_tokens=False).ids)
+
+    def encode_one(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.control is not None and self.control.search(text):
+            return self._whole(text)
+        parts = text.split(" ")
+        try:
+            return self.first[parts[0]] + b"".join(map(self.inner.__getitem__, parts[1:]))
+        except _Odd:
+            parts = _CUT.split(text)
+            return self.first[parts[0]] + b"".join(map(self.inner.__getitem__, parts[1:]))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-                continue
-            parts = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-            self.inner.trim()
-            self.first.trim()
-            out.append(self.first[parts[0]] + b"".join(map(self.inner.__getitem__, parts[1:])))
-        return out
+        return [self.encode_one(t) for t in texts]
 
 
 @lru_cache(maxsize=2)
