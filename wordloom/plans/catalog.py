@@ -505,6 +505,13 @@ def q_train_local(spark, sf):
     return TR.train(spark, C.corpus_lines(spark, sf), cfg).history
 
 
+def q_train_stratified(spark, sf):
+    """Epoch history of stratified rounds over the whole corpus: sequential SGD, nothing
+    merged or capped (no SQL form: pytest recomputes it update by update)."""
+    cfg = TRAIN_CFG.with_(algorithm="stratified", embedding_dim=16, shards=4)
+    return TR.train(spark, C.corpus_lines(spark, sf), cfg).history.drop("elapsed_secs")
+
+
 def q_training_history(spark, sf):
     """Everything but the wall time."""
     return _train(spark, sf).history.select(
@@ -546,6 +553,7 @@ QUERIES.update({
     "model_roundtrip": q_model_roundtrip,
     "loss_curve_points": q_loss_curve_points,
     "train_local": q_train_local,
+    "train_stratified": q_train_stratified,
     "pca_2d": q_pca_2d,
     "pca_top50": q_pca_top50,
     "pca_ranges": q_pca_ranges,
