@@ -55,10 +55,10 @@ def collect_stats(vocab: DataFrame) -> VocabStats:
 
 def check_trainable(stats: VocabStats) -> None:
     if stats.vocab_size == 0:
-        raise EmptyVocabularyError("Vocabulary is empty after min_count filtering")
+        raise EmptyVocabularyError("no word occurs often enough to be kept")
     if stats.vocab_size < 2:
         raise CorpusTooSmallError(
-            f"Corpus too small: only {stats.vocab_size} unique tokens (need >= 2)")
+            f"{stats.vocab_size} different word is left; training takes two or more")
 
 
 def word_count_lookup(words: DataFrame, vocab: DataFrame, word_col: str = "word") -> DataFrame:
