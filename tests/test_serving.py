@@ -120,3 +120,74 @@ def test_scan_and_blocks_agree(spark, small, monkeypatch):
     scan = sorted(map(tuple, S.most_similar(q, small, 3).collect()))
     monkeypatch.setattr(S, "SMALL_QUERIES", 0)
     assert scan == sorted(map(tuple, S.most_similar(q, small, 3).collect()))
+
+
+def clustered(n, groups, dim=8, seed=3):
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(groups, dim))
+    x = centre[np.arange(n) % groups] + 0.05 * rng.normal(size=(n, dim))
+    return x.astype(np.float32)
+
+
+def brute(x, queries, excl, k):
+    import numpy as np
+    x, q = x.astype(np.float64), queries.astype(np.float64)
+    nx, nq = np.linalg.norm(x, axis=1), np.linalg.norm(q, axis=1)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        s = (q @ x.T) / np.outer(nq, nx)
+    s[(nq < VX.COSINE_NORM_FLOOR)[:, None] | (nx < VX.COSINE_NORM_FLOOR)[None, :]] = 0.0
+    out = []
+    for i in range(len(q)):
+        ids = [j for j in np.lexsort((np.arange(len(x)), -np.round(s[i], 9))) if j not in excl[i]][:k]
+        out.append([(int(j), round(float(s[i, j]), 6)) for j in ids])
+    return out
+
+
+def test_cells_skip_most_blocks_and_stay_exact(spark):
+    from wordloom.operators import nearest as N
+    x = clustered(1200, 24)
+    x[7], x[8], x[600] = 0.0, 0.0, x[601]                    # too short ones, and a tie
+    emb = emb_df(spark, [(i, f"w{i}", [float(v) for v in r]) for i, r in enumerate(x)])
+    q = emb.select(F.col("idx").alias("qid"), F.col("word").alias("qname"),
+                   F.col("vec").cast("array<double>").alias("qvec"), F.array("idx").alias("excl"))
+    visits, cands, _, _ = N.plan_visits(q, emb, 5, 1200, 64, 50)
+    met = visits.count()
+    blocks = cands.select("cell", "blk").distinct().count()
+    assert blocks >= 24 and met < 0.3 * 1200 * blocks
+    got = S.top_k_cosine(q, emb, 5).collect()
+    want = brute(x, x, [{i} for i in range(len(x))], 5)
+    by = {}
+    for r in got:
+        by.setdefault(r["qid"], {})[r["rank"]] = (r["idx"], round(r["similarity"], 6))
+    for i, w in enumerate(want):
+        mine = [by[i][rank] for rank in range(1, 6)]
+        assert [s for _, s in mine] == pytest.approx([s for _, s in w], abs=2e-6)
+        assert mine == w or len({s for _, s in w}) < 5
+
+
+def test_cells_with_small_blocks_equal_one_block(spark, monkeypatch):
+    x = clustered(400, 7, seed=9)
+    x[5] = 0.0
+    emb = emb_df(spark, [(i, f"w{i}", [float(v) for v in r]) for i, r in enumerate(x)])
+    words = emb.select("word")
+
+    def rows():
+        return sorted((r["query"], r["word"], round(r["similarity"], 6), r["rank"])
+                      for r in S.most_similar(words, emb, 6).collect())
+    whole = rows()
+    monkeypatch.setattr(S, "QUERY_BLOCK_ROWS", 13)
+    monkeypatch.setattr(S, "CAND_BLOCK_ROWS", 9)
+    assert rows() == whole and len(whole) == 400 * 6
+
+
+def test_cells_of_odd_tables(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL_QUERIES", 0)
+    none = emb_df(spark, [])
+    q = spark.createDataFrame([("a",)], "word string")
+    assert S.most_similar(q, none, 3).count() == 0
+    zero = emb_df(spark, [(0, "a", [0.0, 0.0]), (1, "b", [0.0, 0.0]), (2, "c", None)])
+    assert [tuple(r) for r in S.most_similar(q, zero, 3).collect()] == [("a", "b", 0.0, 1)]
+    same = emb_df(spark, [(i, f"w{i}", [1.0, 2.0]) for i in range(30)])
+    got = S.most_similar(same.select("word"), same, 2).collect()
+    assert len(got) == 60

@@ -2,28 +2,23 @@
 
 Lookups and pair similarity are joins plus JVM vector expressions.  Nearest
 neighbours and analogies are an exact top-k by cosine over the whole
-vocabulary.  That scan is done block-wise: queries are cut into query blocks,
-candidates into candidate blocks, each query block meets each candidate
-block exactly once in a cogroup, and a numpy matrix product scores the pair
-of blocks and keeps only its per-query top-k.  A final per-query top-k
-over (k x candidate blocks) rows finishes the job.  Groups are bounded by
-the block sizes, so no group or task ever holds a whole table, and no
-all-pairs table is ever written.  A small query set (counted) goes to every
-task instead, and the candidates are scanned in place without a shuffle.
+vocabulary: blocks of candidates in cells of like direction, of which a query
+visits those that can hold one of its k best (:mod:`.nearest`).  A small query
+set (counted) goes to every task instead, and the candidates are scanned in
+place without a shuffle.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as VX
+from .nearest import nearest
+from .topk import RESULT, best_of_block
 
-# Near-square blocks: a query is copied V / 4096 times and a candidate Q / 4096.
+# Rows of a block of queries, and of a cell's block of candidates.
 QUERY_BLOCK_ROWS = 4096
 CAND_BLOCK_ROWS = 4096
 SMALL_QUERIES = 256           # query rows sent to every task
@@ -72,64 +67,6 @@ def pair_similarity(pairs: DataFrame, emb: DataFrame, strict: bool = False,
     return out
 
 
-def _block_of(col: str, n_blocks: int) -> F.Column:
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(n_blocks)).cast("int")
-
-
-def _topk_kernel(k: int):
-    def run(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        cols = ["qid", "qname", "idx", "word", "similarity"]
-        if len(q) == 0 or len(c) == 0:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "qname": pd.Series([], dtype="object"),
-                                 "idx": pd.Series([], dtype="int64"),
-                                 "word": pd.Series([], dtype="object"),
-                                 "similarity": pd.Series([], dtype="float64")})[cols]
-        qm = np.stack(q["qvec"].to_numpy()).astype(np.float64)
-        cm = np.stack(c["vec"].to_numpy()).astype(np.float64)
-        cidx = c["idx"].to_numpy(dtype=np.int64)
-        nq = np.sqrt(np.einsum("ij,ij->i", qm, qm))
-        nc = np.sqrt(np.einsum("ij,ij->i", cm, cm))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            s = (qm @ cm.T) / np.outer(nq, nc)
-        s = np.clip(s, -1.0, 1.0)
-        s[(nq < VX.COSINE_NORM_FLOOR)[:, None] | (nc < VX.COSINE_NORM_FLOOR)[None, :]] = 0.0
-        pos = {int(v): j for j, v in enumerate(cidx)}
-        for i, ex in enumerate(q["excl"].to_numpy()):
-            if ex is None:
-                continue
-            for e in ex:
-                j = pos.get(int(e))
-                if j is not None:
-                    s[i, j] = -np.inf
-        kk = min(k, s.shape[1])
-        out_q, out_i, out_s, out_n = [], [], [], []
-        qids = q["qid"].to_numpy(dtype=np.int64)
-        qnames = q["qname"].to_numpy()
-        part = np.argpartition(-s, kk - 1, axis=1)[:, :kk]
-        for i in range(s.shape[0]):
-            row = s[i]
-            thr = row[part[i]].min()
-            if thr == -np.inf:
-                cand = np.nonzero(row > -np.inf)[0]
-            else:
-                cand = np.nonzero(row >= thr)[0]
-            if cand.size == 0:
-                continue
-            order = np.lexsort((cidx[cand], -row[cand]))[:kk]
-            sel = cand[order]
-            out_q.append(np.full(sel.size, qids[i], dtype=np.int64))
-            out_n.append(np.full(sel.size, qnames[i], dtype=object))
-            out_i.append(cidx[sel])
-            out_s.append(row[sel])
-        if not out_q:
-            return run(key, q.iloc[0:0], c.iloc[0:0])
-        oi = np.concatenate(out_i)
-        words = c.set_index("idx").loc[oi, "word"].to_numpy()
-        return pd.DataFrame({"qid": np.concatenate(out_q), "qname": np.concatenate(out_n), "idx": oi,
-                             "word": words, "similarity": np.concatenate(out_s)})[cols]
-    return run
-
-
 def top_k_cosine(queries: DataFrame, emb: DataFrame, k: int, n_queries: int | None = None,
                  n_cands: int | None = None) -> DataFrame:
     """Exact top-k by cosine for every query row.
@@ -141,28 +78,18 @@ def top_k_cosine(queries: DataFrame, emb: DataFrame, k: int, n_queries: int | No
     n_queries = n_queries if n_queries is not None else queries.count()
     w = Window.partitionBy("qid", "qname").orderBy(F.desc("similarity"), F.asc("idx"))
     q = queries.select("qid", "qname", F.col("qvec").cast("array<double>").alias("qvec"), "excl")
-    schema = "qid long, qname string, idx long, word string, similarity double"
     if n_queries <= SMALL_QUERIES:
         rows = q.collect()                       # at most SMALL_QUERIES rows
-        part = emb.select("idx", "word", "vec").mapInPandas(_scan_kernel(rows, k), schema)
+        part = emb.select("idx", "word", "vec").mapInPandas(_scan_kernel(rows, k), RESULT)
         return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     n_cands = n_cands if n_cands is not None else emb.count()
-    qb = max(1, math.ceil(n_queries / QUERY_BLOCK_ROWS))
-    cb = max(1, math.ceil(n_cands / CAND_BLOCK_ROWS))
-    q = (q.withColumn("qblk", _block_of("qid", qb))
-         .withColumn("cblk", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
-    c = (emb.select("idx", "word", "vec")
-         .withColumn("cblk", _block_of("idx", cb))
-         .withColumn("qblk", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-    part = (q.groupBy("qblk", "cblk")
-            .cogroup(c.groupBy("qblk", "cblk"))
-            .applyInPandas(_topk_kernel(k), schema))
+    part = nearest(q, emb, k, n_cands, QUERY_BLOCK_ROWS, CAND_BLOCK_ROWS)
     return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def _scan_kernel(rows, k: int):
     """Best k of every query among a task's candidates, batch by batch."""
-    best_of = _topk_kernel(k)
+    best_of = best_of_block(k)
 
     def run(batches):
         if not rows:
