@@ -202,8 +202,9 @@ def cbow_gradients(examples: DataFrame, means: DataFrame, scored: DataFrame, wei
     gh = slim.join(_side(weights, "target", "w_out", "v_t", vocab_size, dim), "target").groupBy(*EX_KEY).agg(
         *[F.sum(F.col("g") * F.col("v_t")[j].cast("double")).alias(f"_s{j}") for j in range(dim)])
     gh = gh.select(*EX_KEY, VX.assemble("_s", dim).alias("gh"))
-    per_ctx = examples.select(*EX_KEY, F.size("context").alias("n_ctx"), F.explode("context").alias("ctx")) \
-        .join(gh, EX_KEY)
+    # The join moves a centre once; its context uses exist only between it and the sum.
+    per_ctx = examples.select(*EX_KEY, "context").join(gh, EX_KEY) \
+        .select(F.size("context").alias("n_ctx"), "gh", F.explode("context").alias("ctx"))
     g_in = _grad_sum(per_ctx, "ctx", F.lit(1.0) / F.col("n_ctx").cast("double"), "gh", dim, "in", one)
     return g_in.unionByName(g_out)
 
