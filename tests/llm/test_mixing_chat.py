@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from wordloom.llm import chat as C
 from wordloom.llm import mixing as X
@@ -74,6 +75,27 @@ def test_windows_round_trip(spark, budget):
         assert r.n_tokens <= budget or longest > stride or r.conv_id in (1, 3)
 
 
+def test_long_system_turns_keep_the_budget(spark):
+    rows = [(c, t, "system" if t == 0 else ["user", "assistant"][t % 2], "w " * (n if t == 0 else 20 + t % 5))
+            for c, n in enumerate([1, 126, 200, 500, 690]) for t in range(40)]
+    rows += [(9, 0, "system", "w " * 2000), (9, 1, "assistant", "ok ok"), (9, 2, "user", "x")]
+    w = C.format_windows(conv(spark, rows), 1024, 256)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in C.digests(w).collect()}
+    assert got == expect(rows)
+    seen = w.collect()
+    assert all(r.n_tokens <= 1024 for r in seen if r.conv_id != 9)
+    # A system turn that leaves no room: one own turn a window.
+    assert sorted(len(r.formatted.split(C.TURN)) - 1 - r.n_repeated for r in seen if r.conv_id == 9) == [1, 1, 1]
+
+
+def test_token_counts_of_the_caller(spark):
+    rows = [(1, t, "user" if t % 2 else "assistant", "one") for t in range(12)]
+    df = conv(spark, rows).withColumn("my count", F.when(F.col("turn") != 3, 30).cast("int"))
+    w = C.format_windows(df, 200, 20, 0, tokens="my count").collect()
+    assert sum(len(r.formatted.split(C.TURN)) - 1 - r.n_repeated for r in w) == 12
+    assert len(w) == 4 and all(r.n_tokens <= 200 for r in w)
+
+
 def test_repeats_are_limited_and_masked(spark):
     rows = [(1, t, "assistant" if t % 2 else "user", f"t{t} " * 5) for t in range(40)]
     w = C.format_windows(conv(spark, rows), 60, 20, 4).orderBy("window").collect()

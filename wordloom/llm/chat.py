@@ -5,12 +5,15 @@ backslash is doubled and every control string (``<|``, ``<s>``, ``</s>``, ``[INS
 ``[/INST]``) gets a backslash after its first character, so control strings in a
 formatted window are the template's own; :func:`unescape` reverses it exactly.
 
-Windows: a turn's tokens are its words plus its markers.  With running sums of
-tokens per conversation, a turn belongs to window ``floor(before / stride)``,
-``stride = (budget - history - system) / 2``; so a window whose turns are at most
-``stride`` long keeps the budget, and a longer turn is never cut but stands in a
-window that exceeds it.  A window begins with the conversation's system turn (if
-its first turn is one), then repeats the turns that start at most ``history``
+Windows: a turn's tokens are its words plus its markers, or a column of the caller's
+own counts.  With running sums of tokens per conversation, a turn belongs to window
+``floor(before / stride)``, ``stride = (budget - history - room) / 2``, where ``room`` is
+the conversation's own system turn, or ``system`` if that is more.  So a window whose
+other turns are at most ``stride`` long keeps the budget, whatever the length of the
+system turn; a longer turn is never cut but stands in a window that exceeds it.  A system
+turn that leaves no room (``stride`` would be below one) gives every turn a window of its
+own, all of which exceed the budget.  A window begins with the conversation's system turn
+(if its first turn is one), then repeats the turns that start at most ``history``
 tokens before the window's own, then has its own turns.  Loss spans (code points
 of the formatted string) cover the assistant texts of the window's own turns
 only, so each is under loss exactly once.
@@ -29,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import store, table
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 BUDGET, HISTORY, SYSTEM = 1024, 256, 128
@@ -55,34 +58,44 @@ def _tokens(text: str, role: str) -> Column:
     return F.regexp_count(text, words) + F.regexp_count(role, words) + MARKERS
 
 
+def _stride(first: Column, budget: int, history: int, system: int) -> Column:
+    """Tokens between window starts, from the conversation's first (turn, role, -tokens)."""
+    room = F.greatest(F.lit(system), F.when(first["role"] == "system", -first["col3"]).otherwise(0))
+    return F.greatest(F.floor((F.lit(budget - history) - room) / F.lit(2)), F.lit(1))
+
+
 def format_windows(conv: DataFrame, budget: int = BUDGET, history: int = HISTORY,
-                   system: int = SYSTEM) -> DataFrame:
+                   system: int = SYSTEM, tokens: str | None = None) -> DataFrame:
     """``(conv_id, window, formatted, n_repeated, loss, n_tokens)``: ``loss`` holds
-    ``(start, length)`` spans, ``n_repeated`` how many leading turns are repeats."""
-    stride = (budget - history - system) // 2
-    if stride < 1:
+    ``(start, length)`` spans, ``n_repeated`` how many leading turns are repeats.
+    ``tokens`` names a column of token counts (markers included; null: 0)."""
+    if (budget - history - system) // 2 < 1:
         raise ValueError("the budget must exceed history and system by two tokens")
     t = conv.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(NO_ID)).alias("c"),
         F.coalesce(F.col("turn").cast("long"), F.lit(NO_ID)).alias("turn"),
-        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")) \
-        .withColumn("blk", F.floor(F.col("turn") / F.lit(TURN_BLOCK))).withColumn("tok", _tokens("text", "role"))
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
+        (F.lit(None).cast("long") if tokens is None else F.coalesce(F.col(tokens).cast("long"), F.lit(0))).alias("tok")) \
+        .withColumn("blk", F.floor(F.col("turn") / F.lit(TURN_BLOCK)))
+    if tokens is None:
+        t = t.withColumn("tok", _tokens("text", "role").cast("long"))
     inside = Window.partitionBy("c", "blk").orderBy("turn", "role", "text").rowsBetween(
         Window.unboundedPreceding, -1)
     before = Window.partitionBy("c").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = t.groupBy("c", "blk").agg(F.sum("tok").alias("bt"), F.count(F.lit(1)).alias("bn")).select(
-        "c", "blk", F.coalesce(F.sum("bt").over(before), F.lit(0)).alias("t0"),
+    blocks = t.groupBy("c", "blk").agg(F.sum("tok").alias("bt"), F.count(F.lit(1)).alias("bn"),
+                                   F.min(F.struct("turn", "role", -F.col("tok"))).alias("f")).select(
+        "c", "blk", _stride(F.min("f").over(Window.partitionBy("c")), budget, history, system).alias("stride"), F.coalesce(F.sum("bt").over(before), F.lit(0)).alias("t0"),
         F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("n0"))
     rows = t.select("*", F.coalesce(F.sum("tok").over(inside), F.lit(0)).alias("ti"),
                     F.count(F.lit(1)).over(inside).alias("ni")).join(blocks, ["c", "blk"])
     head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT))
-    rows = rows.select(
-        "c", (F.col("n0") + F.col("ni")).alias("pos"), (F.col("t0") + F.col("ti")).alias("at"), "tok", "role",
+    rows = store(rows.select(
+        "c", "stride", (F.col("n0") + F.col("ni")).alias("pos"), (F.col("t0") + F.col("ti")).alias("at"), "tok", "role",
         head.alias("head"), escape(F.col("text")).alias("body")) \
-        .withColumn("own", F.floor(F.col("at") / F.lit(stride)))
+        .withColumn("own", F.floor(F.col("at") / F.col("stride"))), "turns")
     retained = (F.col("pos") == 0) & (F.col("role") == "system")
     # Own window, and every later one that this turn may be history of.
-    last = F.floor((F.col("at") + F.lit(history)) / F.lit(stride))
+    last = F.floor((F.col("at") + F.lit(history)) / F.col("stride"))
     placed = rows.withColumn("keep", retained).withColumn("w", F.explode(F.when(
         retained, F.array("own")).otherwise(F.sequence("own", last))))
     starts = rows.groupBy("c", "own").agg(F.min("at").alias("start")).withColumnRenamed("own", "w")
@@ -146,13 +159,12 @@ def digests(windows: DataFrame) -> DataFrame:
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.sql(f"""SELECT * FROM VALUES (-1L, 0L, 'user', '{probe}'), (-1L, 1L, 'assistant', '{probe}')
+                          AS t(conv_id, turn, role, text)""")
     conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return digests(format_windows(conv.unionByName(extra)))
 
 
-_STRIDE = (BUDGET - HISTORY - SYSTEM) // 2
 _W = r"'[^\x20\x09-\x0D]+'"
 
 
@@ -171,8 +183,10 @@ t AS (SELECT *, len(regexp_extract_all(text, {_W})) + len(regexp_extract_all(rol
              row_number() OVER o - 1 AS pos
       FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
 r AS (SELECT *, coalesce(sum(tok) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING
-             AND 1 PRECEDING), 0)::BIGINT AS pre, pos = 0 AND role = 'system' AS keep FROM t),
-o AS (SELECT *, pre // {_STRIDE} AS own FROM r),
+             AND 1 PRECEDING), 0)::BIGINT AS pre, pos = 0 AND role = 'system' AS keep,
+             min({{'t': turn, 'r': role, 'k': -tok}}) OVER (PARTITION BY conv_id) AS f FROM t),
+o AS (SELECT *, pre // greatest(({BUDGET - HISTORY} - greatest({SYSTEM}, CASE WHEN f.r = 'system' THEN -f.k ELSE 0 END))
+                                // 2, 1) AS own FROM r),
 s AS (SELECT conv_id, own AS w, min(pre) AS start FROM o GROUP BY ALL),
 f AS (SELECT o.conv_id, sum(chars)::BIGINT AS formatted_chars FROM o JOIN s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
         AND (s.w = o.own OR s.w > o.own AND (o.keep OR s.start - o.pre <= {HISTORY})) GROUP BY 1)
