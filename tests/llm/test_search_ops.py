@@ -64,6 +64,48 @@ def test_proximity(spark):
     assert got == {(1, 0), (2, 5), (3, 3)}
 
 
+def near_brute(docs, items, slop):
+    import re
+    words = [re.findall(r"[a-z0-9]+", (t or "").lower()) for _, t in docs]
+    cf = {}
+    for w in words:
+        for x in w:
+            cf[x] = cf.get(x, 0) + 1
+    out = []
+    for w in words:
+        n = 0
+        for _, text in items:
+            v = re.findall(r"[a-z0-9]+", text.lower())
+            size, hit = min(13, len(v)), False
+            for s in range(len(v) - size + 1 if v else 0):
+                i0 = min(range(s, s + size), key=lambda i: (cf.get(v[i], 0), v[i], i))
+                hit = hit or any(
+                    all(any(x == v[i] and abs(p - i - (p0 - i0)) <= slop for p, x in enumerate(w)) for i in range(s, s + size))
+                    for p0, x0 in enumerate(w) if x0 == v[i0])
+            n += hit
+        out.append(n)
+    return out
+
+
+def test_near_items_and_word_counts_equal_brute_force(spark):
+    import random
+    rnd = random.Random(2)
+    items = [(i, " ".join(rnd.choices("abcdefghijklmnop", k=rnd.choice([1, 3, 13, 15, 20])))) for i in range(12)]
+    docs = [(1, None), (2, ""), (3, " .,"), (4, "..a"), (5, "a b."), (6, " a  b ")]
+    for k in range(40):
+        w = rnd.choice(items)[1].split()
+        for _ in range(k % 4):
+            w.insert(rnd.randrange(len(w) + 1), rnd.choice(["zz", "b"]))
+        docs.append((10 + k, "-".join([*rnd.choices("abcdefgh", k=5), *w, "end"])))
+    docs += [docs[-1], (None, docs[-2][1])]
+    got = D.contamination(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string"), 2).collect()
+    import re
+    want = sorted((str(d), len(re.findall("[a-z0-9]+", t or "")), n) for (d, t), n in zip(docs, near_brute(docs, items, 2)))
+    assert sorted((str(r.doc_id), r.n_words, r.n_near) for r in got) == want
+    assert sum(n for *_, n in want) > 40
+
+
 def test_decontaminate_stage_keeps_clean_rows(spark, tmp_path):
     passage = " ".join(f"p{i}" for i in range(20))
     spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
