@@ -202,3 +202,26 @@ def test_counts_equal_brute_force(spark, sf_tables):
 def test_token_output_of_the_table(sf_tables):
     got = sorted(map(tuple, sf_tables.query("op9_token_output").collect()), key=lambda r: r[1])
     assert got == expected(sf_tables.con.execute("SELECT doc_id, text FROM documents").fetchall())
+
+
+def test_comments_cells_and_formulas_of_an_article():
+    long = ("The river rose again last night, and the people of the valley, who had seen it before, moved their "
+            "things upstairs. By the morning it was calm; nobody was hurt, and the road was open.")
+    more = [long.replace("river", w) for w in ("lake", "sea", "pond", "brook", "well")]
+
+    def p(texts):
+        return "".join(f"<p>{x}</p>" for x in texts)
+    # Reader comments that are most of the article element still are comments.
+    assert H.extract(f"<article><p>{long}</p><div class='comments'>{p(more)}</div></article>") == long
+    assert H.extract(f"<article>{long}<div class='comments'>{''.join(more)}</div></article>") == long
+    assert H.extract(f"<div><p>{long}</p></div><div class='comments'>{p(more)}</div>") == long
+    # Marks around all of the text say nothing.
+    assert H.extract(f"<body><form>{p(more)}</form></body>") == "\n".join(more)
+    assert H.extract(f"<article><div class='comments-open'>{p(more)}</div></article>") == "\n".join(more)
+    # A layout's cell of short text beside the article's cell; a table inside an article stays.
+    assert H.extract(f"<table><tr><td>m1 m2</td><td>{p([long, more[0]])}</td></tr></table>") == f"{long}\n{more[0]}"
+    kept = f"<h1>T</h1><p>{long}</p><table><tr><td>a</td><td>b 1</td></tr></table><p>{more[0]}</p>"
+    assert H.extract(f"<body>{kept}</body>") == f"T\n{long}\na\nb 1\n{more[0]}"
+    # Formulas are words of their paragraph.
+    assert H.extract(f"<article><p>We have <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here. {long}</p></article>") \
+        == f"We have x=2 here. {long}"

@@ -55,7 +55,7 @@ ENDS_AT = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"opt
            "th": {"td", "th", "tr", "tbody", "thead", "tfoot"}}
 SCOPE = {"ul", "ol", "dl", "table", "select", "menu", "article", "section", "div", "main", "body"}
 # Elements, roles and class words of what is not the article.
-AWAY_TAGS = {"script", "style", "noscript", "template", "svg", "math", "canvas", "object", "nav", "aside", "footer",
+AWAY_TAGS = {"script", "style", "noscript", "template", "svg", "canvas", "object", "nav", "aside", "footer",
              "form", "button", "select", "option", "textarea", "iframe", "title", "head", "dialog", "menu", "search",
              "fieldset", "label", "input", "noembed", "noframes", "xmp", "audio", "video"}
 AWAY_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "menu", "menubar", "dialog", "alert",
@@ -273,6 +273,26 @@ def _fused(chars, marks):
     return np.sqrt((1 + chars) * (1 + marks)) - 1
 
 
+def _passes_outside(nodes: list[Node], mark: int, region: int | None) -> bool:
+    """Whether unmarked text beside a mark reaches the path ratio of the mark's own."""
+    best = [0.0, 0.0]
+    ratio = defaultdict(lambda: [0, 0, 0])
+    for x in nodes:
+        if region is not None and region not in x.chain:
+            continue
+        for side, kept in ((0, [p[0] for p in x.parts if mark in p[2] and not p[1]]),
+                           (1, [p[0] for p in x.parts if not p[2] and not p[1]])):
+            if kept:
+                r = ratio[side, x.path]
+                r[0] += sum(len(s.strip()) for s in kept)
+                r[1] += len(_PUNCT.findall(unescape("".join(kept))))
+                r[2] += 1
+    for (side, _), (c, m, n) in ratio.items():
+        best[side] = max(best[side], float(_fused(c / n, m / n)))
+    # Without a known article a tagline beside a form around the page must not count.
+    return best[1] > 0 and best[1] >= (0.5 if region is None else 0.15) * best[0]
+
+
 def away_marks(nodes: list[Node], tags: list[str], marks: list[tuple[float, bool]], named: set[int]) -> set[int]:
     """The marks whose parts are not the article."""
     if not marks:
@@ -307,7 +327,8 @@ def away_marks(nodes: list[Node], tags: list[str], marks: list[tuple[float, bool
             for i in on:
                 inside[i] += n
                 within.add(i)
-    void = {i for i, n in inside.items() if 2 * n > whole}
+    void = {i for i, n in inside.items() if 2 * n > whole
+            and (marks[i][0] > CLEAR or not _passes_outside(nodes, i, region))}
     # Outside a known article a name says more.
     share = {i: v if region is None or i in within else 0.0 if v <= CLEAR else 0.1 * v
              for i, (v, _) in enumerate(marks) if i not in void}
@@ -330,7 +351,8 @@ def away_marks(nodes: list[Node], tags: list[str], marks: list[tuple[float, bool
     best = defaultdict(float)
     for (i, _), (c, m, n) in ratio.items():
         best[i] = max(best[i], float(_fused(c / n, m / n)))
-    return gone | {i for i, v in share.items() if v * best[i] < 0.25 * best[None]}
+    # One long run does not outweigh a clear name.
+    return gone | {i for i, v in share.items() if v * min(best[i], 2 * best[None]) < 0.25 * best[None]}
 
 
 def path_scores(nodes: list[Node], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -405,7 +427,7 @@ def _container(nodes: list[Node], texts: list[str], content: np.ndarray, passed:
     if around:
         depth = around[-1]
     else:
-        while depth > 1 and tags[chain[depth - 1]] not in ("body", "html", "") \
+        while depth > 1 and tags[chain[depth]] != "td" and tags[chain[depth - 1]] not in ("body", "html", "") \
                 and whole[depth - 1, chain[depth - 1]] <= 1.25 * total:
             depth -= 1
     siblings = {x.chain[depth] for x, t, c in zip(nodes, texts, passed) if c and x.linked < 0.8 * len(t)
