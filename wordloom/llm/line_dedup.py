@@ -254,17 +254,18 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "seg", "a", F.explode("nodes").alias("b")).where("a < b")
     pairs = store(met.where("a is not null").select("a", "b", "seg").union(level.select("a", "b", "seg")).distinct(),
                   "line-pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = store(_texts_of(long, wanted), "line-texts")
-    cold = store(pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("s")), "a")
-                 .join(texts.select(F.col("node").alias("b"), F.col("line").alias("r")), "b")
-                 .select("a", "b", "seg", "s", "r").mapInArrow(_verify_pairs, "a long, b long"), "line-links")
-
     zero = F.lit(0)
     members = hot.select("key", "seg", zero.alias("side"), zero.alias("longer"), "node").union(
         hot.select("key", "seg", F.lit(1), zero, "node")).union(
         met.where("a is null").select("key", "seg", F.lit(1), "longer", F.col("b"))).distinct()
     members = store(members, "hot-members")
+    # One more pass over the texts, for the lines of pairs and of large keys alike.
+    texts = store(_texts_of(long, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(
+        members.select("node")).distinct()), "line-texts")
+    cold = store(pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("s")), "a")
+                 .join(texts.select(F.col("node").alias("b"), F.col("line").alias("r")), "b")
+                 .select("a", "b", "seg", "s", "r").mapInArrow(_verify_pairs, "a long, b long"), "line-links")
+
     sizes = members.groupBy("key").agg(
         F.ceil(F.count(F.when(F.col("side") == 0, 1)) / F.lit(BLOCK)).cast("int").alias("ni"),
         F.ceil(F.count(F.when(F.col("side") == 1, 1)) / F.lit(BLOCK)).cast("int").alias("nj"))
@@ -274,9 +275,7 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = busy.withColumn("own", own).withColumn("other", F.explode(other)).select(
         "key", "seg", F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("other")).alias("i"),
         F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("own")).alias("j"), "side", "longer", "node")
-    hot_nodes = busy.select("node").distinct()
-    hot_texts = store(_texts_of(long, hot_nodes), "hot-texts")
-    blocks = store(placed.join(hot_texts, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    blocks = store(placed.join(texts, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
                    .mapInArrow(_verify_blocks, "node long, n long, other long"), "hot-links")
 
     counts = cold.select(F.col("a").alias("node"), F.lit(1).cast("long").alias("n")).union(
@@ -290,15 +289,18 @@ def near_duplicate_lines(docs: DataFrame) -> DataFrame:
     """``(doc_id, line_no, class_id, n_links, component_id, kept)`` per line; the
     first line of a component by (doc_id, line_no) is kept."""
     counts, groups = line_links(docs)
-    rows = split_lines(docs.select("doc_id", "text")).select("doc_id", "line_no", "node", "check")
+    linked = store(groups.join(counts, "node", "left"), "linked-lines")
+    rows = store(split_lines(docs.select("doc_id", "text")).select("doc_id", "line_no", "node", "check"), "line-rows")
     classes = rows.groupBy("node", "check").agg(F.min(F.struct("doc_id", "line_no")).alias("c"), F.count(F.lit(1)).alias("m"))
-    known = classes.join(groups, "node", "left").join(counts, "node", "left")
+    # Only lines with copies or links need a lookup; all others stand alone.
+    known = store(classes.join(measured_broadcast(linked, 32), "node", "left").where("m > 1 or root is not null"),
+                  "line-classes")
     least = known.where("root is not null").groupBy("root").agg(
         F.min("c").alias("g"), F.min("node").alias("least"))
-    # Only lines with copies or links need a lookup; all others stand alone.
-    labels = known.where("m > 1 or root is not null").join(least, "root", "left").select(
-        "node", "check", F.coalesce("g", "c").alias("first"), F.coalesce("least", "node").alias("component"), "n_links")
-    return rows.join(labels, ["node", "check"], "left").select(
+    labels = store(known.join(least, "root", "left").select(
+        "node", "check", F.coalesce("g", "c").alias("first"), F.coalesce("least", "node").alias("component"), "n_links"),
+        "line-labels")
+    return rows.join(measured_broadcast(labels, 64), ["node", "check"], "left").select(
         "doc_id", "line_no", F.col("node").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("component", "node").alias("component_id"),
         F.coalesce(F.col("first").eqNullSafe(F.struct("doc_id", "line_no")) | F.col("first").isNull(),
