@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from wordloom.llm import decontam as D
 from wordloom.llm import embed_dedup as V
@@ -186,14 +187,40 @@ def test_edit_distance_and_segments():
     assert all(LD.first_shared(y, x) >= 0 for x, y, w in zip(a, b, want) if w)
 
 
-def check_lines(spark, rows, monkeypatch):
-    got = LD.near_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+def test_long_pairs_are_compared_in_bounded_batches():
+    import tracemalloc
+
+    rng = random.Random(2)
+    long = "".join(rng.choice("abcdé") for _ in range(20000))
+    a = [long + "xy"] + ["a line of thirty characters %03d" % (i % 7) for i in range(1500)]
+    b = [long] + ["a line of thirty characters %03d" % (i % 5) for i in range(1500)]
+    want = [lev(x, y) <= 2 for x, y in zip(a[1:], b[1:])]
+    tracemalloc.start()
+    got = LD.within_limit(a, b).tolist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [True, *want]
+    assert peak < 40 << 20                  # 1,501 pairs padded to 20,000 would be 240 MB
+
+
+def test_code_points_of_a_slice():
+    import pyarrow as pa
+
+    lines = ["ab", "é\U0001f600", "", "xyz"]
+    points, n = LD._code_points(pa.array(["skip", *lines, "skip"]).slice(1, 4))
+    assert n.tolist() == [len(x) for x in lines]
+    assert points.tolist() == [ord(c) for x in lines for c in x]
+
+
+def check_lines(spark, rows, monkeypatch, limit=2, least=20):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0 as node", "'x' as line")
+    got = LD.near_duplicate_lines(docs, limit, least).collect()
     lines = [(d, n, x) for d, t in rows if t is not None for n, x in enumerate(t.split("\n"))]
     assert sorted((r.doc_id, r.line_no) for r in got) == sorted((d, n) for d, n, _ in lines)
     text = {(d, n): x for d, n, x in lines}
     kinds = sorted(set(text.values()))
-    links = {x: {y for y in kinds if y != x and min(len(x), len(y)) >= 20 and abs(len(x) - len(y)) <= 2
-                 and lev(x, y) <= 2} for x in kinds}
+    links = {x: {y for y in kinds if y != x and min(len(x), len(y)) >= least and abs(len(x) - len(y)) <= limit
+                 and lev(x, y) <= limit} for x in kinds}
     comp = {x: i for i, x in enumerate(kinds)}
     for _ in kinds:
         comp = {x: min([c] + [comp[y] for y in links[x]]) for x, c in comp.items()}
@@ -218,6 +245,30 @@ def test_lines_equal_brute_force(spark, monkeypatch):
     rng.shuffle(lines)
     rows = [(i, "\n".join(lines[i::12])) for i in range(12)] + [(50, None), (51, "")]
     check_lines(spark, rows, monkeypatch)
+    check_lines(spark, rows, monkeypatch, limit=3, least=15)
+
+
+def test_lines_of_one_hash_are_told_apart(spark, monkeypatch):
+    """Every two lines share their first 64 bits with another one: the second 64 decide."""
+    split = LD.split_lines
+
+    def colliding(docs):
+        return split(docs).withColumn("node", F.xxhash64(F.length("line") % 2, F.substring("line", 1, 3)))
+
+    monkeypatch.setattr(LD, "split_lines", colliding)
+    kinds = ["abcd" + c * 24 for c in "mnop"]
+    near = ["xyz" + k[3:] for k in kinds[:2]] + ["uvw" + kinds[0][3:]]
+    rows = [(i, t) for i, t in enumerate([*kinds, *near, "abcd" + "m" * 22 + "..", "pqr" + "m" * 25])]
+    got = {r.doc_id: r for r in LD.near_duplicate_lines(
+        spark.createDataFrame(rows, "doc_id long, text string"), limit=3).collect()}
+    text = dict(rows)
+    for d, r in got.items():
+        assert r.n_links == sum(lev(text[d], t) <= 3 and split_key(t) != split_key(text[d]) for t in text.values()), text[d]
+        assert r.kept or any(lev(text[d], t) <= 3 for e, t in text.items() if e < d)
+
+
+def split_key(t):
+    return len(t) % 2, t[:3]
 
 
 def test_hot_segments_equal_brute_force(spark, monkeypatch):

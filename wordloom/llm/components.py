@@ -21,7 +21,7 @@ def _rank(c: str) -> F.Column:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``links(a long, b long)`` -> ``(node, root)``: equal roots mean linked.
+    """``links(a, b)`` of ids of one type that sorts -> ``(node, root)``: equal roots mean linked.
 
     Self-links, repeated links and both directions are allowed; nodes without
     a link to another node are not returned; no links give no rows.

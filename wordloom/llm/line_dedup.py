@@ -1,12 +1,12 @@
 """Near-duplicate lines by a segment-partition edit join.
 
-Two different lines link if their edit distance is at most ``LIMIT`` and both have
-at least ``MIN_CHARS`` code points (so an edit budget never exceeds a tenth of a
-line); equal lines of any length are one class.
+Two different lines link if their edit distance is at most ``limit`` and both have
+at least ``min_chars`` code points (by default 2 and 20: an edit budget never exceeds a
+tenth of a line); equal lines of any length are one class.
 
-* An indexed line is cut into ``LIMIT + 1`` segments of nearly equal length; with at
-  most ``LIMIT`` edits one of them stands unchanged in the other line.
-* A line probes, for every length from its own down to ``LIMIT`` less, the substrings
+* An indexed line is cut into ``limit + 1`` segments of nearly equal length; with at
+  most ``limit`` edits one of them stands unchanged in the other line.
+* A line probes, for every length from its own down to ``limit`` less, the substrings
   that can meet a segment of a line of that length (multi-match-aware starts: twelve
   probes for a limit of 2, three of them its own segments).  Segments and probes
   are 64-bit keys of (length, segment number, content), computed for a whole Arrow
@@ -16,21 +16,28 @@ line); equal lines of any length are one class.
   blocks of ``BLOCK`` indexed and probing lines that meet in one task each, which
   emits link counts and a spanning forest instead of pairs.
 * Candidates are verified by banded bit-parallel edit distance on whole lines, many
-  pairs per machine word operation.  A pair that shares several segments counts
-  at the first of them only, so each link is counted once.
+  pairs per machine word operation, in batches of bounded code points.  A pair that
+  shares several segments counts at the first of them only, so each link is counted once.
 
 Rows: a null text has no lines, an empty text one empty line.  Repeated rows are
-repeated lines.  Lines carry their hash as class id.  Empty tables give no rows.
+repeated lines; a null doc_id sorts first, and rows of equal (doc_id, line_no) and text
+are kept or dropped together.  Other columns are ignored.  A line of any length is
+hashed and compared whole, in a batch of its own if it is very long.  Lines are told
+apart by 128 bits (``node, check``); the class and component ids shown are the first
+64 of them.  Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache, partial
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import measured_broadcast, sorted_groups, store, table
+from .common import bounded, measured_broadcast, sorted_groups, store, table
 from .components import components
 from .embed_dedup import block_forest
 from .shingles import _POWERS, U64, fmix
@@ -39,7 +46,8 @@ LIMIT = 2
 MIN_CHARS = 20
 HOT = 16
 BLOCK = 256
-CHUNK = 1 << 20               # code points hashed at once
+CHUNK = 1 << 20               # bytes hashed at once
+CELLS = 1 << 20               # code points compared at once
 
 
 def segments(n: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
@@ -69,48 +77,58 @@ def _span_keys(points: np.ndarray):
     return keys
 
 
-def _index_rows(keys, first, n):
+def _index_rows(keys, first, n, limit, min_chars):
     """(line, segment, key) of every segment."""
-    start, length = segments(n)
-    for i in range(LIMIT + 1):
+    start, length = segments(n, limit)
+    for i in range(limit + 1):
         yield np.arange(len(n)), i, keys(first + start[:, i], length[:, i], n, i)
 
 
-def _probe_rows(keys, first, n):
+def _probe_rows(keys, first, n, limit, min_chars):
     """(line, how much longer than the line it looks for, key) of every probe but
     the unshifted ones at equal length, which are the line's own segments."""
-    for delta in range(LIMIT + 1):
-        at = np.flatnonzero(n - delta >= MIN_CHARS)
+    for delta in range(limit + 1):
+        at = np.flatnonzero(n - delta >= min_chars)
         l = n[at] - delta
-        start, length = segments(l)
-        for i in range(LIMIT + 1):
-            for shift in probe_starts(i, 0, delta):
+        start, length = segments(l, limit)
+        for i in range(limit + 1):
+            for shift in probe_starts(i, 0, delta, limit):
                 s = start[:, i] + shift
                 ok = (s >= 0) & (s + length[:, i] <= n[at])
                 if delta or shift:
                     yield at[ok], delta, keys(first[at[ok]] + s[ok], length[ok, i], l[ok], i)
 
 
-def _line_keys(rows_of, name: str):
+def _distinct(batches):
+    """Batches of (node, check, line) with every line once."""
+    for b in batches:
+        node, check = (b.column(i).to_numpy() for i in range(2))
+        order = np.lexsort((check, node))
+        again = (np.diff(node[order]) == 0) & (np.diff(check[order]) == 0)
+        yield b.take(pa.array(np.sort(np.delete(order, np.flatnonzero(again) + 1))))
+
+
+def _code_points(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All code points of an Arrow string array, one line after the other, and the
+    lines' lengths; no Python string per line."""
+    lines = lines.cast(pa.large_string())
+    ends = np.frombuffer(lines.buffers()[1], dtype=np.int64)[lines.offset:lines.offset + len(lines) + 1]
+    raw = memoryview(lines.buffers()[2])[ends[0]:ends[-1]]
+    points = np.frombuffer(str(raw, "utf-8").encode("utf-32-le"), dtype="<u4")
+    return points, pc.utf8_length(lines).to_numpy().astype(np.int64)
+
+
+def _line_keys(rows_of, name: str, limit: int, min_chars: int):
     """Distinct long lines of a batch -> (``name``, key, node)."""
     def run(batches):
-        for b in batches:
-            lines = list(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())).items())
-            part, size = [], 0
-            for k, (node, text) in enumerate(lines):
-                part.append((node, text))
-                size += len(text)
-                if size < CHUNK and k + 1 < len(lines):
-                    continue
-                n = np.array([len(t) for _, t in part], dtype=np.int64)
-                points = np.frombuffer("".join(t for _, t in part).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-                node_of = np.array([x for x, _ in part], dtype=np.int64)
-                got = list(rows_of(_span_keys(points), np.cumsum(n) - n, n))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([np.full(len(at), v, dtype=np.int32) for at, v, _ in got])),
-                     pa.array(np.concatenate([key for *_, key in got])),
-                     pa.array(node_of[np.concatenate([at for at, *_ in got])])], [name, "key", "node"])
-                part, size = [], 0
+        for part in bounded(_distinct(batches), 2, CHUNK):
+            points, n = _code_points(part.column(2))
+            node_of = part.column(0).to_numpy()
+            got = list(rows_of(_span_keys(points), np.cumsum(n) - n, n, limit, min_chars))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([np.full(len(at), v, dtype=np.int32) for at, v, _ in got])),
+                 pa.array(np.concatenate([key for *_, key in got])),
+                 pa.array(node_of[np.concatenate([at for at, *_ in got])])], [name, "key", "node"])
     return run
 
 
@@ -118,10 +136,15 @@ def within_limit(a: list[str], b: list[str], limit: int = LIMIT) -> np.ndarray:
     """Which pairs are at edit distance <= ``limit``: banded bit-parallel columns,
     one machine word per pair.  Needs ``len(a) >= len(b) > limit``."""
     out = np.zeros(len(a), dtype=bool)
-    order = np.argsort([len(x) for x in a], kind="stable")
-    for lo in range(0, len(order), 2048):
-        pick = order[lo:lo + 2048]
+    size = np.array([len(x) for x in a], dtype=np.int64)
+    order = np.argsort(size, kind="stable")
+    lo = 0
+    while lo < len(order):
+        # As many pairs as fit the bound when padded to the longest of them.
+        cells = size[order[lo:lo + 2048]] * np.arange(1, min(2048, len(order) - lo) + 1)
+        pick = order[lo:lo + max(1, int(np.searchsorted(cells, CELLS, side="right")))]
         out[pick] = _columns([a[k] for k in pick], [b[k] for k in pick], limit)
+        lo += len(pick)
     return out
 
 
@@ -163,58 +186,69 @@ def _columns(a: list[str], b: list[str], limit: int) -> np.ndarray:
     return (dist <= limit) & (n - m <= limit)
 
 
+@lru_cache(maxsize=1 << 14)
+def _places(n: int, delta: int, limit: int) -> tuple:
+    """(start, end, where a ``delta`` longer line may hold it) of each segment."""
+    start, length = (x[0].tolist() for x in segments(np.array([n]), limit))
+    return tuple((a, a + m, tuple(at for at in probe_starts(i, a, delta, limit) if at >= 0))
+                 for i, (a, m) in enumerate(zip(start, length)))
+
+
 def first_shared(s: str, r: str, limit: int = LIMIT) -> int:
     """The first segment of ``s`` that a probe of the longer line ``r`` meets, or -1."""
-    start, length = segments(np.array([len(s)]), limit)
-    for i in range(limit + 1):
-        seg = s[start[0, i]:start[0, i] + length[0, i]]
-        for at in probe_starts(i, int(start[0, i]), len(r) - len(s), limit):
-            if at >= 0 and r[at:at + len(seg)] == seg:
+    for i, (a, z, places) in enumerate(_places(len(s), len(r) - len(s), limit)):
+        seg = s[a:z]
+        for at in places:
+            if r.startswith(seg, at):
                 return i
     return -1
 
 
-def _linked(s: list[str], r: list[str], seg: list[int]) -> np.ndarray:
+def _linked(s: list[str], r: list[str], seg: list[int], limit: int) -> np.ndarray:
     """Pairs (indexed line, probing line) that link and count at this segment."""
-    ok = np.array([first_shared(x, y) == i for x, y, i in zip(s, r, seg)], dtype=bool)
+    ok = np.array([0 <= len(y) - len(x) <= limit and first_shared(x, y, limit) == i for x, y, i in zip(s, r, seg)],
+                  dtype=bool)
     at = np.flatnonzero(ok)
     if len(at):
-        ok[at] = within_limit([r[k] for k in at], [s[k] for k in at])
+        ok[at] = within_limit([r[k] for k in at], [s[k] for k in at], limit)
     return ok
 
 
-def _verify_pairs(batches):
-    for b in batches:
-        a, z, seg, s, r = (b.column(i).to_pylist() for i in range(5))
-        at = np.flatnonzero(_linked(s, r, seg))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([a[k] for k in at], pa.int64()), pa.array([z[k] for k in at], pa.int64())], ["a", "b"])
+def _verify_pairs(limit: int, batches):
+    """(a, its check, b, its check, segment, line of a, line of b) -> the ids that link."""
+    for b in bounded(batches, 5):
+        seg, s, r = (b.column(i).to_pylist() for i in range(4, 7))
+        yield b.select([0, 1, 2, 3]).filter(pa.array(_linked(s, r, seg, limit)))
 
 
-def _verify_blocks(batches):
+def _verify_blocks(limit: int, batches):
     for g in sorted_groups(batches, ["key", "i", "j"]):
         side = g["side"].to_numpy()
         l, r = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(l) or not len(r):
             continue
-        node, text, longer = g["node"].to_numpy(), g["line"].tolist(), g["longer"].to_numpy()
+        text, longer = g["line"].tolist(), g["longer"].to_numpy()
+        ids, place = np.unique(g[["node", "check"]].to_numpy(), axis=0, return_inverse=True)
+        place = place.ravel()
         u, v = (x.ravel() for x in np.meshgrid(l, r, indexing="ij"))
         # Lines of one length meet twice: the smaller id counts as indexed.
-        ok = np.where(longer[v] > 0, node[u] != node[v], node[u] < node[v])
+        ok = np.where(longer[v] > 0, place[u] != place[v], place[u] < place[v])
         at = np.flatnonzero(ok)
-        ok[at] = _linked([text[k] for k in u[at]], [text[k] for k in v[at]], [int(g["seg"].iat[0])] * len(at))
+        ok[at] = _linked([text[k] for k in u[at]], [text[k] for k in v[at]], [int(g["seg"].iat[0])] * len(at), limit)
         close = ok.reshape(len(l), len(r))
         if not close.any():
             continue
-        a, b = block_forest(close, node[l], node[r])
-        nodes = np.concatenate([node[l], node[r]])
+        a, b = block_forest(close, place[l], place[r])
+        member = np.concatenate([place[l], place[r]])
         n = np.concatenate([close.sum(axis=1), close.sum(axis=0)])
-        some = n > 0
-        none = [None]
+        member, n = member[n > 0], n[n > 0]
+        # Link counts of lines, then the forest's links.
+        one, two = np.concatenate([member, b]), np.concatenate([np.zeros_like(member), a])
+        forest = np.arange(len(one)) >= len(member)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([*nodes[some].tolist(), *b.tolist()], pa.int64()),
-             pa.array([*n[some].tolist(), *none * len(b)], pa.int64()),
-             pa.array([*none * int(some.sum()), *a.tolist()], pa.int64())], ["node", "n", "other"])
+            [pa.array(ids[one, 0]), pa.array(ids[one, 1]), pa.array(np.concatenate([n, np.zeros_like(b)]), mask=forest),
+             pa.array(ids[two, 0], mask=~forest), pa.array(ids[two, 1], mask=~forest)],
+            ["node", "check", "n", "other", "other_check"])
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -224,17 +258,20 @@ def split_lines(docs: DataFrame) -> DataFrame:
 
 
 def _texts_of(lines: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(node, line)`` of distinct ``nodes``.  Up to the size gate the ids go to
+    """``(node, check, line)`` of distinct ``nodes``.  Up to the size gate the ids go to
     the lines; beyond it both shuffle."""
     nodes = store(nodes, "wanted-lines")
-    return lines.join(measured_broadcast(nodes, 16), "node", "left_semi").dropDuplicates(["node"])
+    return lines.join(measured_broadcast(nodes, 16), "node", "left_semi").dropDuplicates(["node", "check"])
 
 
-def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``node, n_links``; ``node, root``) of lines that link with another one."""
+def line_links(docs: DataFrame, limit: int = LIMIT, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
+    """(``id, n_links``; ``node, root``) of lines that link with another one; ids and
+    roots are structs of node and check."""
+    if not 0 <= limit < min(min_chars, 16):
+        raise ValueError("limit must be from 0 to 15 and less than min_chars")
     lines = split_lines(docs.select("doc_id", "text"))
-    long = lines.where(F.char_length("line") >= MIN_CHARS).select("node", "line")
-    index = long.mapInArrow(_line_keys(_index_rows, "seg"), "seg int, key long, node long").distinct()
+    long = lines.where(F.char_length("line") >= min_chars).select("node", "check", "line")
+    index = long.mapInArrow(_line_keys(_index_rows, "seg", limit, min_chars), "seg int, key long, node long").distinct()
     index = store(index, "line-index")
     # Counts combine map-side; only the large keys are kept and sent to the index.
     large = measured_broadcast(store(index.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
@@ -244,7 +281,7 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # A probe meets each line of a small key, and a large key once.
     targets = few.select("key", "seg", F.col("node").alias("a")).union(
         hot.select("key", "seg", F.lit(None).cast("long")).distinct())
-    probe = long.mapInArrow(_line_keys(_probe_rows, "longer"), "longer int, key long, node long")
+    probe = long.mapInArrow(_line_keys(_probe_rows, "longer", limit, min_chars), "longer int, key long, node long")
     met = store(probe.withColumnRenamed("node", "b").join(targets, "key").where(
         "a is null or (longer > 0 and a <> b) or a < b").distinct(), "line-probes")
 
@@ -262,9 +299,12 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # One more pass over the texts, for the lines of pairs and of large keys alike.
     texts = store(_texts_of(long, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(
         members.select("node")).distinct()), "line-texts")
-    cold = store(pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("s")), "a")
-                 .join(texts.select(F.col("node").alias("b"), F.col("line").alias("r")), "b")
-                 .select("a", "b", "seg", "s", "r").mapInArrow(_verify_pairs, "a long, b long"), "line-links")
+    def side(a: str, check: str, line: str) -> DataFrame:
+        return texts.select(F.col("node").alias(a), F.col("check").alias(check), F.col("line").alias(line))
+
+    cold = store(pairs.join(side("a", "ca", "s"), "a").join(side("b", "cb", "r"), "b")
+                 .select("a", "ca", "b", "cb", "seg", "s", "r")
+                 .mapInArrow(partial(_verify_pairs, limit), "a long, ca long, b long, cb long"), "line-links")
 
     sizes = members.groupBy("key").agg(
         F.ceil(F.count(F.when(F.col("side") == 0, 1)) / F.lit(BLOCK)).cast("int").alias("ni"),
@@ -276,24 +316,30 @@ def line_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "key", "seg", F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("other")).alias("i"),
         F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("own")).alias("j"), "side", "longer", "node")
     blocks = store(placed.join(texts, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-                   .mapInArrow(_verify_blocks, "node long, n long, other long"), "hot-links")
+                   .mapInArrow(partial(_verify_blocks, limit), "node long, check long, n long, other long, other_check long"),
+                   "hot-links")
+
+    def line_id(node: str, check: str) -> F.Column:
+        return F.struct(F.col(node).alias("node"), F.col(check).alias("check"))
 
-    counts = cold.select(F.col("a").alias("node"), F.lit(1).cast("long").alias("n")).union(
-        cold.select("b", F.lit(1).cast("long"))).union(blocks.where("other is null").select("node", "n")) \
-        .groupBy("node").agg(F.sum("n").alias("n_links"))
-    edges = cold.union(blocks.where("other is not null").select("node", "other"))
+    one = F.lit(1).cast("long")
+    links = cold.select(line_id("a", "ca").alias("a"), line_id("b", "cb").alias("b"))
+    counts = links.select(F.col("a").alias("id"), one.alias("n")).union(links.select("b", one)).union(
+        blocks.where("other is null").select(line_id("node", "check"), "n")).groupBy("id").agg(F.sum("n").alias("n_links"))
+    edges = links.union(blocks.where("other is not null").select(line_id("node", "check"), line_id("other", "other_check")))
     return counts, store(components(edges), "line-groups")
 
 
-def near_duplicate_lines(docs: DataFrame) -> DataFrame:
+def near_duplicate_lines(docs: DataFrame, limit: int = LIMIT, min_chars: int = MIN_CHARS) -> DataFrame:
     """``(doc_id, line_no, class_id, n_links, component_id, kept)`` per line; the
     first line of a component by (doc_id, line_no) is kept."""
-    counts, groups = line_links(docs)
-    linked = store(groups.join(counts, "node", "left"), "linked-lines")
+    counts, groups = line_links(docs, limit, min_chars)
+    linked = store(groups.withColumnRenamed("node", "id").join(counts, "id", "left").select(
+        "id.node", "id.check", "root", "n_links"), "linked-lines")
     rows = store(split_lines(docs.select("doc_id", "text")).select("doc_id", "line_no", "node", "check"), "line-rows")
     classes = rows.groupBy("node", "check").agg(F.min(F.struct("doc_id", "line_no")).alias("c"), F.count(F.lit(1)).alias("m"))
     # Only lines with copies or links need a lookup; all others stand alone.
-    known = store(classes.join(measured_broadcast(linked, 32), "node", "left").where("m > 1 or root is not null"),
+    known = store(classes.join(measured_broadcast(linked, 64), ["node", "check"], "left").where("m > 1 or root is not null"),
                   "line-classes")
     least = known.where("root is not null").groupBy("root").agg(
         F.min("c").alias("g"), F.min("node").alias("least"))
@@ -307,9 +353,9 @@ def near_duplicate_lines(docs: DataFrame) -> DataFrame:
                    F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicate_lines(docs: DataFrame) -> DataFrame:
+def drop_near_duplicate_lines(docs: DataFrame, limit: int = LIMIT, min_chars: int = MIN_CHARS) -> DataFrame:
     """``(doc_id, text)`` with only the kept lines, in order."""
-    kept = near_duplicate_lines(docs).where("kept").select("doc_id", "line_no")
+    kept = near_duplicate_lines(docs, limit, min_chars).where("kept").select("doc_id", "line_no")
     lines = split_lines(docs.select("doc_id", "text")).join(kept, ["doc_id", "line_no"], "left_semi")
     return lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l")).select(
         "doc_id", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
