@@ -31,8 +31,7 @@ def step_tables(spark, model):
     enc = E.encode_lines(tokens, vocab, st.vocab_size, st.total_tokens, 1e-2)
     nb = N.bucket_count(st.vocab_size)
     buckets = N.noise_buckets(N.noise_distribution(vocab), nb)
-    ex = E.with_negatives(E.centre_examples(E.sample_sentences(enc, 42, 0), 3, 42, 0), 3, 42, 0, buckets, nb,
-                          st.vocab_size)
+    ex = E.training_examples(E.sample_sentences(enc, 42, 0), 3, 3, 42, 0, buckets, nb, st.vocab_size)
     w = ST.init_weights(vocab, 4, 42, out_init="hash")
     step = ST.sgns_step if model == "skipgram" else ST.cbow_step
     after = step(ex, w, st.vocab_size, 4, 0.025).orderBy("idx").collect()
@@ -49,6 +48,26 @@ def test_large_plans_give_the_same_step(spark, model, request):
     assert np.allclose(small[1], large[1], atol=1e-6)
 
 
+def test_no_exchange_carries_a_context(spark, no_broadcast):
+    tokens = T.tokenize(corpus_df(spark, cycled(TEMPLATES, 40)))
+    vocab = V.build_vocab(tokens, 1)
+    st = V.collect_stats(vocab)
+    enc = session.write_table(E.encode_lines(tokens, vocab, st.vocab_size, st.total_tokens, 1e-2), "encoded")
+    nb = N.bucket_count(st.vocab_size)
+    buckets = session.write_table(N.noise_buckets(N.noise_distribution(vocab), nb), "noise")
+    sents = E.sample_sentences(enc, 42, 0)
+    ex = E.training_examples(sents, 3, 3, 42, 0, buckets, nb, st.vocab_size)
+    # The windows are cut above every exchange.
+    plan = [x for x in ex._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x or "context" in x]
+    cut = [i for i, x in enumerate(plan) if "context" in x]
+    assert cut and max(cut) < min(i for i, x in enumerate(plan) if "Exchange" in x)
+    old = E.with_negatives(E.centre_examples(sents, 3, 42, 0), 3, 42, 0, buckets, nb, st.vocab_size)
+
+    def rows(df):
+        return sorted((r.doc_id, r.line_no, r.p, r.center, *r.context, -1, *r.negatives) for r in df.collect())
+    assert rows(ex) == rows(old)
+
+
 def weights_of(spark, lines, cfg, parts):
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     try:

@@ -91,9 +91,11 @@ def window_width(seed: int, epoch: int, window: int, p) -> F.Column:
     return (F.lit(1) + F.floor(u * F.lit(window))).cast("int")
 
 
-def centre_examples(sents: DataFrame, window: int, seed: int, epoch: int) -> DataFrame:
+def centre_examples(sents: DataFrame, window: int, seed: int, epoch: int, k: int = 0) -> DataFrame:
     """(doc_id, line_no, p, center, win, context ARRAY<BIGINT>), one row per
     centre; context = ids at positions p-win..p+win except p, in order.
+    With ``k`` the sentences hold ``negs`` (k ids per position, in order) and a
+    centre also gets its own as ``negatives``.
 
     The widths are drawn once per position into an array first (a lambda
     body has no common-subexpression elimination, so referring to the draw
@@ -102,7 +104,7 @@ def centre_examples(sents: DataFrame, window: int, seed: int, epoch: int) -> Dat
     """
     n = F.size("t")
     positions = F.sequence(F.lit(0), n - 1)
-    with_w = sents.select(*SENT_KEY, "t", F.transform(
+    with_w = sents.select(*SENT_KEY, "t", *(["negs"] if k else []), F.transform(
         positions, lambda p: window_width(seed, epoch, window, p)).alias("_w"))
 
     def one(p):
@@ -110,12 +112,14 @@ def centre_examples(sents: DataFrame, window: int, seed: int, epoch: int) -> Dat
         start = F.greatest(p - w, F.lit(0))
         left = F.slice("t", start + 1, p - start)
         right = F.slice("t", p + 2, w)
+        own = [F.slice("negs", p * k + 1, F.lit(k)).alias("negatives")] if k else []
         return F.struct(p.alias("p"), F.element_at("t", p + 1).alias("center"),
-                        w.alias("win"), F.concat(left, right).alias("context"))
+                        w.alias("win"), F.concat(left, right).alias("context"), *own)
 
     ex = with_w.select(*SENT_KEY, F.explode(F.transform(positions, one)).alias("e"))
     ex = ex.select(*SENT_KEY, F.col("e.p").cast("int").alias("p"), F.col("e.center").alias("center"),
-                   F.col("e.win").alias("win"), F.col("e.context").alias("context"))
+                   F.col("e.win").alias("win"), F.col("e.context").alias("context"),
+                   *([F.col("e.negatives").alias("negatives")] if k else []))
     return ex.where(F.size("context") > 0)
 
 
@@ -163,6 +167,31 @@ def with_negatives(examples: DataFrame, k: int, seed: int, epoch: int, buckets:
                     F.array(*[F.col(f"_n{s}") for s in range(k)]).alias("negatives"))
 
 
+def sentence_negatives(sents: DataFrame, k: int, seed: int, epoch: int, buckets: DataFrame,
+                       n_buckets: int, vocab_size: int, shifted: bool = False) -> DataFrame:
+    """Sentences with ``negs``: the k negatives of every position, in order.  Only
+    (sentence, position, slot, draw) goes through the lookup; sentences meet
+    their draws again as one row each."""
+    spots = sents.select(*SENT_KEY, F.explode(F.sequence(F.lit(0), F.size("t") - 1)).alias("p"))
+    drawn = negative_samples(spots, k, seed, epoch, buckets, n_buckets, vocab_size, shifted)
+    per = drawn.groupBy(*SENT_KEY).agg(F.array_sort(F.collect_list(F.struct("p", "slot", "neg"))).alias("d"))
+    return sents.join(per.select(*SENT_KEY, F.transform("d", lambda x: x["neg"]).alias("negs")), SENT_KEY)
+
+
+def training_examples(sents: DataFrame, window: int, k: int, seed: int, epoch: int, buckets: DataFrame,
+                      n_buckets: int, vocab_size: int, shifted: bool = False) -> DataFrame:
+    """(doc_id, line_no, p, center, context, negatives) of an epoch's sentences.
+
+    With a noise table under the size gate, draws are looked up in place.
+    Beyond it the lookup shuffles, so it runs before the windows are cut: no
+    exchange then carries a context."""
+    if k == 0 or N.in_place(n_buckets, vocab_size):
+        return with_negatives(centre_examples(sents, window, seed, epoch), k, seed, epoch, buckets, n_buckets,
+                              vocab_size, shifted)
+    full = sentence_negatives(sents, k, seed, epoch, buckets, n_buckets, vocab_size, shifted)
+    return centre_examples(full, window, seed, epoch, k).drop("win")
+
+
 def estimate_pairs(encoded: DataFrame, window: int) -> DataFrame:
     """sum over sentences of max(in-vocab length - 1, 0) * window * 2."""
     per = F.greatest(F.size("toks") - F.lit(1), F.lit(0)).cast("bigint") * F.lit(window * 2)

@@ -49,6 +49,11 @@ def noise_buckets(dist: DataFrame, n_buckets: int) -> DataFrame:
     return dist.select(F.explode(F.sequence(first, last)).alias("bucket"), "idx", "lo", "hi")
 
 
+def in_place(n_buckets: int, vocab_size: int) -> bool:
+    """Whether the bucket table (B + V rows, known) is under the broadcast gate."""
+    return fits_broadcast(n_buckets + vocab_size, _BUCKET_ROW_BYTES)
+
+
 def lookup_draws(draws: DataFrame, buckets: DataFrame, n_buckets: int, vocab_size: int,
                  u_col: str = "u", out_col: str = "neg", shifted: bool = False) -> DataFrame:
     """Map uniform draws to word ids through the bucketed ranges.
@@ -58,7 +63,7 @@ def lookup_draws(draws: DataFrame, buckets: DataFrame, n_buckets: int, vocab_siz
     """
     side = buckets.select(F.col("bucket").alias("_b"), F.col("idx").alias("_nidx"),
                           F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
-    if fits_broadcast(n_buckets + vocab_size, _BUCKET_ROW_BYTES):
+    if in_place(n_buckets, vocab_size):
         side = F.broadcast(side)
     keyed = draws.withColumn("_b", F.floor(F.col(u_col) * F.lit(n_buckets)).cast("bigint"))
     hit = keyed.join(side, "_b").where((F.col(u_col) >= F.col("_lo")) & (F.col(u_col) < F.col("_hi")))
@@ -80,7 +85,7 @@ def noise_table(dist: DataFrame, n_buckets: int, vocab_size: int,
     side = noise_buckets(dist, n_buckets).select(
         F.col("bucket").alias("_b"), F.col("idx").alias("_nidx"),
         F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
-    if fits_broadcast(n_buckets + vocab_size, _BUCKET_ROW_BYTES):
+    if in_place(n_buckets, vocab_size):
         side = F.broadcast(side)
     keyed = slots.withColumn("_t", theta).withColumn(
         "_b", (F.ceil(F.col("_t") * F.lit(n_buckets)) - 1).cast("bigint"))

@@ -210,8 +210,7 @@ def q_negative_samples(spark, sf):
 def q_training_examples(spark, sf):
     _, vocab, stats, enc, buckets, nb = _noise_parts(spark, sf)
     s = E.sample_sentences(enc, CHECK_SEED, CHECK_EPOCH)
-    ex = E.centre_examples(s, CHECK_WINDOW, CHECK_SEED, CHECK_EPOCH)
-    full = E.with_negatives(ex, CHECK_NEGATIVES, CHECK_SEED, CHECK_EPOCH, buckets, nb, stats.vocab_size)
+    full = E.training_examples(s, CHECK_WINDOW, CHECK_NEGATIVES, CHECK_SEED, CHECK_EPOCH, buckets, nb, stats.vocab_size)
     return full.select("doc_id", "line_no", "p", "center", _arr_str("context").alias("context"),
                        _arr_str("negatives").alias("negatives"))
 
@@ -373,8 +372,7 @@ def _step_inputs(spark, sf):
     non-zero W_out) over the min_count-5 vocabulary of `documents`."""
     _, vocab, stats, enc, buckets, nb = _noise_parts(spark, sf)
     s = E.sample_sentences(enc, CHECK_SEED, CHECK_EPOCH)
-    ex = E.centre_examples(s, CHECK_WINDOW, CHECK_SEED, CHECK_EPOCH)
-    full = E.with_negatives(ex, CHECK_NEGATIVES, CHECK_SEED, CHECK_EPOCH, buckets, nb, stats.vocab_size)
+    full = E.training_examples(s, CHECK_WINDOW, CHECK_NEGATIVES, CHECK_SEED, CHECK_EPOCH, buckets, nb, stats.vocab_size)
     # Examples and weights are read several times by a step: materialise once.
     full = write_table(full, "examples")
     w = write_table(ST.init_weights(vocab, CHECK_DIM, CHECK_SEED, out_init="hash"), "weights")
