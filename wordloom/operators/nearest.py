@@ -35,6 +35,8 @@ MAX_NUMBERS = 4 << 20         # numbers in the codebook
 SAMPLE_PER_CELL = 16          # rows a cell's direction is fitted on, on average
 FIT_ROUNDS = 6
 SHORT, ODD = -1, -2           # cells of too short and of non-finite vectors
+ROWS = 512                    # rows held against the codebook at once
+OUT_ROWS = 4096               # visits given back at once, each with its query's vector
 SLACK = 1e-6                  # radians: above the rounding error of an angle
 _QUERY = "qid long, qname string, qvec array<double>, excl array<bigint>, cell int"
 
@@ -82,11 +84,17 @@ def _angles(x: np.ndarray, book: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(x @ book.T, -1.0, 1.0))
 
 
+def _few(batches):
+    """The batches in parts of ``ROWS`` rows: what a task holds beside the codebook grows
+    neither with the number of cells times a batch nor with the visits of a batch."""
+    for b in batches:
+        for a in range(0, len(b), ROWS):
+            yield b.iloc[a:a + ROWS]
+
+
 def _assign(book: np.ndarray):
     def run(batches):
-        for c in batches:
-            if not len(c):
-                continue
+        for c in _few(batches):
             x, short, odd = _directions(_matrix(c["vec"]))
             cell, angle = np.full(len(c), SHORT), np.zeros(len(c))
             if len(book):
@@ -105,9 +113,7 @@ def _first_cells(book: np.ndarray, cells: pd.DataFrame):
     real = cells[cells["cell"] >= 0]["cell"].to_numpy()
 
     def run(batches):
-        for q in batches:
-            if not len(q):
-                continue
+        for q in _few(batches):
             x, short, odd = _directions(_matrix(q["qvec"]))
             home = np.full(len(q), int(cells["cell"].max()))
             if len(real):
@@ -123,9 +129,7 @@ def _open_cells(book: np.ndarray, cells: pd.DataFrame):
     real = cell >= 0
 
     def run(batches):
-        for q in batches:
-            if not len(q):
-                continue
+        for q in _few(batches):
             x, short, odd = _directions(_matrix(q["qvec"]))
             best = np.zeros((len(q), len(cell)))
             best[:, cell == ODD] = np.inf
@@ -135,8 +139,9 @@ def _open_cells(book: np.ndarray, cells: pd.DataFrame):
             best[odd] = np.inf
             floor = q["floor"].fillna(-np.inf).to_numpy(dtype=np.float64)
             at, to = np.nonzero(best >= floor[:, None] - 1e-9)
-            out = q.iloc[at][["qid", "qname", "qvec", "excl", "home", "hblk"]]
-            yield out.assign(cell=cell[to].astype(np.int32))
+            out = q[["qid", "qname", "qvec", "excl", "home", "hblk"]]
+            for a in range(0, len(at), OUT_ROWS):
+                yield out.iloc[at[a:a + OUT_ROWS]].assign(cell=cell[to[a:a + OUT_ROWS]].astype(np.int32))
     return run
 
 
