@@ -4,7 +4,10 @@ The pre-tokenizer of a byte-level BPE always starts a new piece at a space
 that a non-space follows, so a text may be cut before each such space and the
 parts encoded one by one: the ids are the same.  Parts repeat (words do), so
 each Python worker remembers the ids of parts it has seen, up to a bound in
-bytes.  A text that holds a control string of the vocabulary (``<|endoftext|>``)
+bytes.  Most parts are a Latin word with punctuation behind it or a line's end inside:
+they are put together from the word, the punctuation and the line's end, which are
+pieces of their own, so each word goes through the model once whatever stands behind
+it.  A text that holds a control string of the vocabulary (``<|endoftext|>``)
 goes through the library whole: it gives the control's id, as the plain call does.
 ``guard_control=True`` encodes control strings as ordinary text instead.
 
@@ -15,7 +18,8 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
-from struct import pack
+from operator import attrgetter
+from struct import Struct
 
 import numpy as np
 
@@ -24,6 +28,9 @@ MEMORY_BYTES = 128 << 20                    # remembered parts per worker, both
 LONG_PART = 64                              # characters: longer parts are not remembered
 _ENTRY_BYTES = 150                          # of a remembered part besides its characters and ids
 _CUT = re.compile(r" (?=\S)")
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"               # letters, all of them
+_WORD = re.compile(f"([{_LATIN}]+)([!-&(-/:-@\\[-`{{-~]*)")           # an apostrophe may start a piece: not here
+_IDS = attrgetter("id")
 
 
 def _byte_chars() -> dict[int, str]:
@@ -51,7 +58,7 @@ class Memory(dict):
         got = self.old.get(key)
         if got is None:
             got = self.fn(key)
-        if len(key) <= LONG_PART:
+        if len(key) <= LONG_PART and (key == "\n" or "\n" not in key):         # lines' ends seldom repeat
             if self.held > self.most:
                 self.old, self.held = dict(self), 0
                 self.clear()
@@ -80,25 +87,51 @@ class TextEncoder:
         self.type = np.dtype(f"<u{self.width}")
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.chars = _byte_chars()
+        self.letters = {c: chr(c).encode().decode("latin-1").translate(self.chars) for c in (*range(65, 123), *range(0xC0, 0x250))}
+        self.packs = [Struct(f"<{n}{'H' if self.width == 2 else 'I'}").pack for n in range(LONG_PART)]
         self.tokenize = self.tok.model.tokenize
-        self.inner = Memory(self._inner, memory_bytes * 7 // 8)             # parts that follow a space
-        self.first = Memory(self._part, memory_bytes // 8)                  # parts that begin a text
+        self.inner = Memory(self._inner, memory_bytes * 3 // 4)             # parts that follow a space
+        self.first = Memory(self._first, memory_bytes // 4)                 # words and marks without one
 
     def _piece(self, piece: str) -> list[int]:
         word = piece.encode("utf-8").decode("latin-1").translate(self.chars)
         return [t.id for t in self.tokenize(word)]
 
-    def _packed(self, ids: list[int]) -> bytes:
-        return pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+    def _packed(self, ids) -> bytes:
+        n = len(ids)
+        return self.packs[n](*ids) if n < LONG_PART else np.array(ids, dtype=self.type).tobytes()
+
+    def _word(self, word: str, lead: str = "") -> bytes:
+        """Ids of Latin letters: one piece."""
+        return self._packed(tuple(map(_IDS, self.tokenize(lead + (word if word.isascii() else word.translate(self.letters))))))
+
+    def _joined(self, part: str, words: Memory) -> bytes | None:
+        """Ids of a part from those of its pieces, or None; ``words`` are remembered with
+        or without the space before them."""
+        at = _WORD.match(part) if len(part) <= LONG_PART else None
+        if at is None:
+            return None
+        end = at.end()
+        if end == len(part):
+            word, marks = at.groups()
+            return words[word] + self.first[marks] if marks else self._word(word, "\u0120" if words is self.inner else "")
+        # A single line's end between two non-spaces is a piece.
+        if part[end] == "\n" and end + 1 < len(part) and not part[end + 1].isspace():
+            return words[part[:end]] + self.first["\n"] + self.first[part[end + 1:]]
+        return None
 
     def _inner(self, part: str) -> bytes:
+        if part.isascii() and part.isalpha():
+            ids = [t.id for t in self.tokenize("\u0120" + part)]
+            return self._packed(ids)
         if not part or part[0].isspace():
             raise _Odd
-        if part.isascii() and part.isalpha():
-            return self._packed([t.id for t in self.tokenize("\u0120" + part)])       # a word is one piece
-        if part[-1] in ".,;:!?" and part[:-1].isascii() and part[:-1].isalpha():
-            return self.inner[part[:-1]] + self.first[part[-1]]
-        return self._part(" " + part)
+        got = self._joined(part, self.inner)
+        return self._part(" " + part) if got is None else got
+
+    def _first(self, part: str) -> bytes:
+        got = self._joined(part, self.first)
+        return self._part(part) if got is None else got
 
     def _part(self, s: str) -> bytes:
         """Ids of one part (none for an empty one).  Latin letters take the model directly (the pattern's
