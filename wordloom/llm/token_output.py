@@ -39,6 +39,7 @@ from .common import bounded, store, table
 from .tokenizer import DEFAULT_VOCAB, encoder
 
 BLOCK_IDS = 1 << 18
+SLICE_BYTES = 8 << 20        # text encoded at once
 MAX_VOCAB = 1 << 20          # ids a vocabulary may have: bounds the rank table
 RAW = "part int, seq long, doc_id long, ids binary"
 SUM_TASKS = 16
@@ -86,31 +87,36 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return got.reshape(-1).view("<u4")[:n]
 
 
+def _binary(flat: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """One binary value per text."""
+    ends = (cuts * flat.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+
+
 def _encode_sorted(vocab: str, end_id: int):
     def rows(part, seq, docs, ids):
         n = len(ids)
         return pa.RecordBatch.from_arrays(
-            [pa.array([part] * n, pa.int32()), pa.array(seq, pa.int64()), docs, pa.array(ids, pa.binary())],
-            ["part", "seq", "doc_id", "ids"])
+            [pa.array([part] * n, pa.int32()), pa.array(seq, pa.int64()), docs, ids], ["part", "seq", "doc_id", "ids"])
 
     def run(batches):
         enc = encoder(vocab)
         part, seq = TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype=enc.type).tobytes()
         total = np.zeros(enc.tok.get_vocab_size(), dtype=np.int64)
-        for b in bounded(batches, 1):
-            # One join per slice, the end ids in it, serves the counts and the rows.
-            ids = [x + end for x in enc.encode(b.column(1).to_pylist())]
-            got = np.bincount(np.frombuffer(b"".join(ids), dtype=enc.type))
+        for b in bounded(batches, 1, SLICE_BYTES):
+            # One array per slice, the end ids in it, serves the counts and the rows.
+            flat, cuts = enc.encode_column(b.column(1), end)
+            got = np.bincount(flat)
             if len(got) > len(total):                    # an end id outside the vocabulary
                 total = np.append(total, np.zeros(len(got) - len(total), dtype=np.int64))
             total[:len(got)] += got
-            yield rows(part, range(seq, seq + len(ids)), b.column(0).cast(pa.int64()), ids)
-            seq += len(ids)
+            yield rows(part, range(seq, seq + b.num_rows), b.column(0).cast(pa.int64()), _binary(flat, cuts))
+            seq += b.num_rows
         at = np.flatnonzero(total)
         if len(at):
             counts = np.stack([at, total[at]], axis=1).astype("<i8").tobytes()
-            yield rows(part, [COUNTS], pa.array([None], pa.int64()), [counts])
+            yield rows(part, [COUNTS], pa.array([None], pa.int64()), pa.array([counts], pa.binary()))
     return run
 
 
