@@ -10,8 +10,10 @@
   possible cosine is below the floor is not visited.  All others are, block by block.
 
 The codebook and the cell table have at most ``MAX_NUMBERS`` numbers, whatever the
-vocabulary; larger cells only have more blocks.  Groups hold one block of candidates
-and one of queries.  The answer does not depend on the codebook: a poor one only skips
+vocabulary; larger cells only have more blocks.  A first group holds one block of candidates
+and one of queries.  For the rest a task owns a bounded part of the queries, of neighbouring
+cells (:mod:`.owned`): a query moves once, a candidate once per part that may need its cell,
+and a task keeps only the best k of its queries, so neither visits nor their results are moved.  The answer does not depend on the codebook: a poor one only skips
 less.  Vectors shorter than the norm floor have similarity 0 with everything and form a
 cell of their own; vectors with a non-finite component are visited by every query, and
 such a query visits every cell.  Null vectors are no candidates.  A query that is itself
@@ -29,15 +31,16 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as VX
 from ..session import fits_broadcast, write_table
+from .owned import ODD, SHORT, SLACK, Owned, stream
 from .topk import RESULT, best_of_block
 
 MAX_NUMBERS = 4 << 20         # numbers in the codebook
 SAMPLE_PER_CELL = 16          # rows a cell's direction is fitted on, on average
 FIT_ROUNDS = 6
-SHORT, ODD = -1, -2           # cells of too short and of non-finite vectors
 ROWS = 512                    # rows held against the codebook at once
 OUT_ROWS = 4096               # visits given back at once, each with its query's vector
-SLACK = 1e-6                  # radians: above the rounding error of an angle
+OWN_ROWS = 1 << 16            # queries that a task owns
+OWN_NUMBERS = 8 << 20         # numbers in their vectors
 _QUERY = "qid long, qname string, qvec array<double>, excl array<bigint>, cell int"
 
 
@@ -122,29 +125,64 @@ def _first_cells(book: np.ndarray, cells: pd.DataFrame):
     return run
 
 
-def _open_cells(book: np.ndarray, cells: pd.DataFrame):
-    """Every query once per cell whose best possible cosine reaches its floor."""
+def _open(book: np.ndarray, cells: pd.DataFrame):
+    """Which cells' best possible cosine reaches the floors of some queries."""
     cell = cells["cell"].to_numpy()
     radius = cells["radius"].to_numpy()
     real = cell >= 0
 
+    def of(q: pd.DataFrame) -> np.ndarray:
+        x, short, odd = _directions(_matrix(q["qvec"]))
+        best = np.zeros((len(q), len(cell)))
+        best[:, cell == ODD] = np.inf
+        if real.any():
+            away = _angles(x, book[cell[real]]) - radius[real] - SLACK
+            best[:, real] = np.cos(np.maximum(away, 0.0))
+        best[odd] = np.inf
+        floor = q["floor"].fillna(-np.inf).to_numpy(dtype=np.float64)
+        return best >= floor[:, None] - 1e-9
+    return of
+
+
+def _open_cells(book: np.ndarray, cells: pd.DataFrame):
+    """Every query once per cell whose best possible cosine reaches its floor."""
+    cell, open_of = cells["cell"].to_numpy(), _open(book, cells)
+
     def run(batches):
         for q in _few(batches):
-            x, short, odd = _directions(_matrix(q["qvec"]))
-            best = np.zeros((len(q), len(cell)))
-            best[:, cell == ODD] = np.inf
-            if real.any():
-                away = _angles(x, book[cell[real]]) - radius[real] - SLACK
-                best[:, real] = np.cos(np.maximum(away, 0.0))
-            best[odd] = np.inf
-            floor = q["floor"].fillna(-np.inf).to_numpy(dtype=np.float64)
-            at, to = np.nonzero(best >= floor[:, None] - 1e-9)
+            at, to = np.nonzero(open_of(q))
             out = q[["qid", "qname", "qvec", "excl", "home", "hblk"]]
             for a in range(0, len(at), OUT_ROWS):
                 yield out.iloc[at[a:a + OUT_ROWS]].assign(cell=cell[to[a:a + OUT_ROWS]].astype(np.int32))
     return run
 
 
+def _wanted_cells(book: np.ndarray, cells: pd.DataFrame):
+    """The cells that a part's queries may need, each once per batch."""
+    cell, open_of = cells["cell"].to_numpy(), _open(book, cells)
+
+    def run(batches):
+        for q in _few(batches):
+            at, to = np.nonzero(open_of(q))
+            pairs = np.unique(np.stack([q["part"].to_numpy()[at], cell[to]]), axis=1)
+            yield pd.DataFrame({"part": pairs[0].astype(np.int32), "cell": pairs[1].astype(np.int32)})
+    return run
+
+
+def _shares(homes: pd.DataFrame, most: int, least: int) -> tuple[list[tuple[int, int, int]], int]:
+    """(home, its first part, its parts) and the number of parts: ``most`` queries in a part,
+    and ``least`` parts if there are queries for them; a cell with more is cut."""
+    size = max(1, min(most, -(-int(homes["n"].sum()) // least)))
+    out, part, held = [], 0, 0
+    for home, n in homes.sort_values("home")[["home", "n"]].itertuples(index=False):
+        if held and held + n > size:
+            part, held = part + 1, 0
+        cut = -(-n // size)
+        out.append((int(home), part, int(cut)))
+        part, held = (part + cut, 0) if cut > 1 else (part, held + n)
+    return out, part + (held > 0)
+
+
 def _blocks(key, n) -> F.Column:
     return F.pmod(F.xxhash64(key), n).cast("int")
 
@@ -165,46 +203,73 @@ def nearest(queries: DataFrame, emb: DataFrame, k: int, n_cands: int, query_bloc
             cell_rows: int) -> DataFrame:
     """``(qid, qname, idx, word, similarity)``: rows among which every query's best
     ``k`` are.  ``queries``: ``(qid, qname, qvec array<double>, excl)``."""
-    visits, cands, first, low = plan_visits(queries, emb, k, n_cands, query_block, cell_rows)
-    later = visits.where("cell <> home or blk <> hblk").select("cell", "blk", "qid", "qname", "qvec", "excl")
-    return first.unionByName(_meet(later, cands, k, query_block)).unionByName(low)
+    p = _Plan(queries, emb, k, n_cands, query_block, cell_rows)
+    if p.known is None:
+        return p.first.unionByName(p.low)
+    return p.first.unionByName(_rest(p, k)).unionByName(p.low)
+
+
+def _rest(p: "_Plan", k: int) -> DataFrame:
+    """Best k of every query outside its first block."""
+    spark = p.known.sparkSession
+    known = write_table(p.known, "nearest-known")
+    homes = known.groupBy("home").agg(F.count(F.lit(1)).alias("n")).toPandas()     # a row per cell
+    if not len(homes):
+        return p.first.limit(0)
+    dim = known.select(F.size("qvec").alias("d")).first()["d"]
+    shares, parts = _shares(homes, max(1, min(OWN_ROWS, OWN_NUMBERS // max(1, dim))), spark.sparkContext.defaultParallelism)
+    shares = F.broadcast(spark.createDataFrame(shares, "home int, base int, cut int"))
+    known = known.join(shares, "home").withColumn("part", (F.col("base") + _blocks("qid", F.col("cut"))).cast("int"))
+    wanted = known.select("part", "qvec", "floor").mapInPandas(_wanted_cells(p.book, p.table), "part int, cell int").distinct()
+    wanted = write_table(wanted, "nearest-wanted")
+    side = F.broadcast(wanted) if fits_broadcast(wanted.count(), 16) else wanted
+    return stream(known, p.cands.join(side, "cell"), parts, Owned(p.book, dict(zip(p.table["cell"], p.table["radius"])), k))
 
 
 def plan_visits(queries: DataFrame, emb: DataFrame, k: int, n_cands: int, query_block: int, cell_rows: int):
     """(which query visits which block, candidates, results of the first blocks,
     results of too short queries)."""
-    book = fit_codebook(emb, n_cands, cell_rows)
-    cands = emb.where("vec is not null").select("idx", "word", "vec")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cands.schema.fields)
-    cands = write_table(cands.mapInPandas(_assign(book), f"{fields}, cell int, angle double"), "nearest-cells")
-    cells = cands.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")) \
-        .withColumn("nb", F.ceil(F.col("n") / F.lit(cell_rows)).cast("int"))
-    cells = write_table(cells, "nearest-radii")       # at most one row per direction, and two
-    table = cells.toPandas()
-    blocks = F.broadcast(cells.select("cell", "nb"))
-    cands = cands.join(blocks, "cell").select("cell", _blocks("idx", F.col("nb")).alias("blk"), "idx", "word", "vec")
-
-    queries = queries.withColumn("short", (VX.norm("qvec") < VX.COSINE_NORM_FLOOR)
-                                 & ~F.exists("qvec", F.isnan))
-    queries = write_table(queries, "nearest-queries")
-    low = _of_short(queries.where("short"), emb, k)
-    queries = queries.where(~F.col("short")).drop("short")
-    if not len(table):
-        empty = low.limit(0)
-        return queries.limit(0).selectExpr("qid", "0 cell", "0 blk", "0 home", "0 hblk", "qname", "qvec", "excl"), \
-            cands, empty, low
-    homes = queries.mapInPandas(_first_cells(book, table), _QUERY).join(blocks, "cell") \
-        .withColumn("blk", _blocks("qid", F.col("nb"))).drop("nb")
-    homes = write_table(homes, "nearest-homes")
-    first = write_table(_meet(homes, cands, k, query_block), "nearest-first")
-    floors = first.groupBy("qid", "qname").agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("floor")) \
-        .where(F.col("n") >= k).drop("n")
-    known = homes.withColumnsRenamed({"cell": "home", "blk": "hblk"}).join(floors, ["qid", "qname"], "left") \
-        .select("qid", "qname", "qvec", "excl", "home", "hblk", "floor")
-    visits = known.mapInPandas(_open_cells(book, table), "qid long, qname string, qvec array<double>, "
-                               "excl array<bigint>, home int, hblk int, cell int") \
-        .join(blocks, "cell").withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).drop("nb")
-    return visits, cands, first, low
+    p = _Plan(queries, emb, k, n_cands, query_block, cell_rows)
+    if p.known is None:
+        return p.queries.limit(0).selectExpr("qid", "0 cell", "0 blk", "0 home", "0 hblk", "qname", "qvec", "excl"), \
+            p.cands, p.first, p.low
+    visits = p.known.mapInPandas(_open_cells(p.book, p.table), "qid long, qname string, qvec array<double>, "
+                                 "excl array<bigint>, home int, hblk int, cell int") \
+        .join(p.blocks, "cell").withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).drop("nb")
+    return visits, p.cands, p.first, p.low
+
+
+class _Plan:
+    """Cells, candidates in their blocks, and queries with their first block's floor."""
+
+    def __init__(self, queries: DataFrame, emb: DataFrame, k: int, n_cands: int, query_block: int, cell_rows: int) -> None:
+        self.book = book = fit_codebook(emb, n_cands, cell_rows)
+        cands = emb.where("vec is not null").select("idx", "word", "vec")
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cands.schema.fields)
+        cands = write_table(cands.mapInPandas(_assign(book), f"{fields}, cell int, angle double"), "nearest-cells")
+        cells = cands.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")) \
+            .withColumn("nb", F.ceil(F.col("n") / F.lit(cell_rows)).cast("int"))
+        cells = write_table(cells, "nearest-radii")       # at most one row per direction, and two
+        self.table = table = cells.toPandas()
+        self.blocks = blocks = F.broadcast(cells.select("cell", "nb"))
+        self.cands = cands.join(blocks, "cell").select("cell", _blocks("idx", F.col("nb")).alias("blk"), "idx", "word", "vec")
+
+        queries = queries.withColumn("short", (VX.norm("qvec") < VX.COSINE_NORM_FLOOR)
+                                     & ~F.exists("qvec", F.isnan))
+        queries = write_table(queries, "nearest-queries")
+        self.low = _of_short(queries.where("short"), emb, k)
+        self.queries = queries = queries.where(~F.col("short")).drop("short")
+        self.known, self.first = None, self.low.limit(0)
+        if not len(table):
+            return
+        homes = queries.mapInPandas(_first_cells(book, table), _QUERY).join(blocks, "cell") \
+            .withColumn("blk", _blocks("qid", F.col("nb"))).drop("nb")
+        homes = write_table(homes, "nearest-homes")
+        self.first = write_table(_meet(homes, self.cands, k, query_block), "nearest-first")
+        floors = self.first.groupBy("qid", "qname").agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("floor")) \
+            .where(F.col("n") >= k).drop("n")
+        self.known = homes.withColumnsRenamed({"cell": "home", "blk": "hblk"}).join(floors, ["qid", "qname"], "left") \
+            .select("qid", "qname", "qvec", "excl", "home", "hblk", "floor")
 
 
 def _of_short(queries: DataFrame, emb: DataFrame, k: int) -> DataFrame:
